@@ -7,13 +7,14 @@ from dockflow import constants as K
 from dockflow.functions.numeric import ratio
 
 
-def zone_of(lat: Column, lon: Column) -> Column:
+def zone_of(lat: str, lon: str) -> Column:
     """First box that holds the point; unknown coordinates fall outside every box."""
-    inside = [
-        F.when(lat.between(lat_lo, lat_hi) & lon.between(lon_lo, lon_hi), F.lit(name))
+    boxes = " ".join(
+        f"WHEN {lat} BETWEEN {lat_lo}D AND {lat_hi}D AND {lon} BETWEEN {lon_lo}D AND {lon_hi}D"
+        f" THEN '{name}'"
         for name, lat_lo, lat_hi, lon_lo, lon_hi in K.ZONE_BOXES
-    ]
-    return F.coalesce(*inside, F.lit(K.ZONE_ELSE))
+    )
+    return F.expr(f"CASE {boxes} ELSE '{K.ZONE_ELSE}' END")
 
 
 def capacity_tier(docks: Column) -> Column:

@@ -153,7 +153,7 @@ def priority_counts(flow: DataFrame) -> DataFrame:
 
 
 def zone_imbalance(flow: DataFrame) -> DataFrame:
-    zone = S.zone_of(F.col("latitude"), F.col("longitude"))
+    zone = S.zone_of("latitude", "longitude")
     return (
         flow.groupBy(zone.alias("zone"))
         .agg(

@@ -7,11 +7,10 @@ never shuffled for it. Results are rows: checkpoint, check, status, value, thres
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dockflow import constants as K
-from dockflow.functions.numeric import ratio
 from dockflow.sources import sinks
 
 RESULT_COLUMNS = ["checkpoint", "check_id", "check", "status", "value", "threshold", "severity"]
@@ -24,56 +23,47 @@ class QualityError(RuntimeError):
 
 @dataclass(frozen=True)
 class Check:
-    """``value`` is an aggregate column; ``rule`` compares it with ``threshold``."""
+    """``value`` is the SQL text of an aggregate; ``rule`` compares it with ``threshold``."""
 
     check_id: str
     name: str
-    value: Column
+    value: str = "value"
     reads: tuple[str, ...] = ()
     rule: str = "zero"
     threshold: float | None = None
     severity: str = ERROR
 
-
-def _passes(rule: Column, value: Column, threshold: Column) -> Column:
-    ok = (
-        F.when(rule == "zero", value == 0)
-        .when(rule == "at_least", value >= threshold)
-        .when(rule == "below", value < threshold)
-    )
-    return F.coalesce(ok, F.lit(False))
+    def passes(self) -> str:
+        return {
+            "zero": f"{self.check_id} = 0",
+            "at_least": f"{self.check_id} >= {self.threshold}",
+            "below": f"{self.check_id} < {self.threshold}",
+        }[self.rule]
 
 
 def _as_results(values: DataFrame, checkpoint: str, checks: list[Check]) -> DataFrame:
     """Turn one row with a column per check id into one row per check."""
-    entries = F.array(
-        *[
-            F.struct(
-                F.lit(c.check_id).alias("check_id"),
-                F.lit(c.name).alias("check"),
-                F.col(c.check_id).cast("double").alias("value"),
-                F.lit(c.rule).alias("rule"),
-                F.lit(c.threshold).cast("double").alias("threshold"),
-                F.lit(c.severity).alias("severity"),
-            )
-            for c in checks
-        ]
-    )
-    rows = values.select(F.explode(entries).alias("r")).select("r.*")
-    failed = F.when(F.col("severity") == ERROR, "FAIL").otherwise("WARN")
-    passed = _passes(F.col("rule"), F.col("value"), F.col("threshold"))
-    return rows.withColumns(
-        {"checkpoint": F.lit(checkpoint), "status": F.when(passed, "PASS").otherwise(failed)}
-    ).select(*RESULT_COLUMNS)
+    rows = []
+    for c in checks:
+        bad = "FAIL" if c.severity == ERROR else "WARN"
+        limit = "NULL" if c.threshold is None else c.threshold
+        rows.append(
+            f"'{checkpoint}', '{c.check_id}', '{c.name}', "
+            f"CASE WHEN {c.passes()} THEN 'PASS' ELSE '{bad}' END, "
+            f"CAST({c.check_id} AS DOUBLE), CAST({limit} AS DOUBLE), '{c.severity}'"
+        )
+    names = ", ".join(f"`{c}`" for c in RESULT_COLUMNS)
+    return values.selectExpr(f"stack({len(rows)}, {', '.join(rows)}) AS ({names})")
 
 
 def run_checks(table: DataFrame, checkpoint: str, checks: list[Check]) -> DataFrame:
     """All checks of a table in one pass. A check on a column that is not there fails."""
-    runnable = [c for c in checks if set(c.reads) <= set(table.columns)]
+    present = set(table.columns)
     values = [
-        (c.value if c in runnable else F.lit(None)).cast("double").alias(c.check_id) for c in checks
+        F.expr(c.value if set(c.reads) <= present else "max(CAST(NULL AS BIGINT))").alias(c.check_id)
+        for c in checks
     ]
-    return _as_results(table.agg(F.count(F.lit(1)).alias("_rows"), *values), checkpoint, checks)
+    return _as_results(table.agg(*values), checkpoint, checks)
 
 
 def run_check_on(values: DataFrame, checkpoint: str, check: Check) -> DataFrame:
@@ -101,27 +91,24 @@ def union_all(parts: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.union, parts)
 
 
-def _null(column: str) -> Column:
-    return F.count_if(F.col(column).isNull())
+def _null(column: str) -> str:
+    return f"count_if({column} IS NULL)"
 
 
-def _outside(column: str, low, high) -> Column:
-    return F.count_if((F.col(column) < low) | (F.col(column) > high))
+def _outside(column: str, low, high) -> str:
+    return f"count_if({column} < {low} OR {column} > {high})"
 
 
-def _rows() -> Column:
-    return F.count(F.lit(1))
+ROWS = "count(1)"
 
 
 def post_ingest(rides: DataFrame, stations: DataFrame, min_rows: int = 1_000_000) -> DataFrame:
     """The 16 checks of the raw tables."""
     point = "post_ingest"
-    early = F.col("start_date") < F.lit("2010-01-01").cast("timestamp")
-    backwards = F.col("end_date") <= F.col("start_date")
     ride_checks = [
         Check("Q01", "rental_id not null", _null("rental_id"), ("rental_id",)),
         Check("Q03", "start_date not null", _null("start_date"), ("start_date",)),
-        Check("Q04", "start_date from 2010 on", F.count_if(early), ("start_date",)),
+        Check("Q04", "start_date from 2010 on", "count_if(start_date < TIMESTAMP '2010-01-01')", ("start_date",)),
         Check("Q05", "duration not null", _null("duration"), ("duration",)),
         Check("Q06", "duration within 60 to 86400 seconds",
               _outside("duration", K.MIN_RIDE_SECONDS, K.MAX_RIDE_SECONDS), ("duration",),
@@ -129,26 +116,26 @@ def post_ingest(rides: DataFrame, stations: DataFrame, min_rows: int = 1_000_000
         Check("Q07", "start_station_id not null", _null("start_station_id"), ("start_station_id",)),
         Check("Q08", "end_station_id not null", _null("end_station_id"), ("end_station_id",),
               severity=WARNING),
-        Check("Q09", "end_date after start_date", F.count_if(backwards), ("start_date", "end_date"),
+        Check("Q09", "end_date after start_date", "count_if(end_date <= start_date)", ("start_date", "end_date"),
               severity=WARNING),
-        Check("Q10", "enough rides", _rows(), (), "at_least", min_rows),
+        Check("Q10", "enough rides", ROWS, (), "at_least", min_rows),
     ]
     station_checks = [
         Check("Q11", "station id not null", _null("id"), ("id",)),
         Check("Q13", "latitude in service area", _outside("latitude", *K.STATION_LAT), ("latitude",)),
         Check("Q14", "longitude in service area", _outside("longitude", *K.STATION_LON),
               ("longitude",)),
-        Check("Q15", "docks positive", F.count_if(F.col("docks_count") <= 0), ("docks_count",)),
+        Check("Q15", "docks positive", "count_if(docks_count <= 0)", ("docks_count",)),
         Check("Q16", "station name not null", _null("name"), ("name",)),
     ]
     return union_all(
         [
             run_checks(rides, point, ride_checks),
             run_check_on(
-                repeats(rides, "rental_id"), point, Check("Q02", "rental_id unique", F.col("value"))
+                repeats(rides, "rental_id"), point, Check("Q02", "rental_id unique")
             ),
             run_checks(stations, point, station_checks),
-            run_check_on(repeats(stations, "id"), point, Check("Q12", "station id unique", F.col("value"))),
+            run_check_on(repeats(stations, "id"), point, Check("Q12", "station id unique")),
         ]
     )
 
@@ -159,8 +146,8 @@ def post_transform(
     """The 18 checks of the mart tables."""
     point = "post_transform"
     key_columns = ["start_station_name", "hire_date", "duration_minutes"]
-    null_cells = reduce(lambda a, b: a + b, [_null(c) for c in key_columns])
-    bad_band = F.count_if(~F.col("duration_band").isin(*K.DURATION_BANDS))
+    null_cells = " + ".join(_null(c) for c in key_columns)
+    bands = ", ".join(f"'{band}'" for band in K.DURATION_BANDS)
     fact_checks = [
         Check("Q17", "rental_id not null", _null("rental_id"), ("rental_id",)),
         Check("Q19", "duration_minutes within 1 to 1440", _outside("duration_minutes", 1, 1440),
@@ -168,24 +155,24 @@ def post_transform(
         Check("Q20", "start_station_id not null", _null("start_station_id"), ("start_station_id",)),
         Check("Q21", "hire_date not null", _null("hire_date"), ("hire_date",)),
         Check("Q22", "start_hour within 0 to 23", _outside("start_hour", 0, 23), ("start_hour",)),
-        Check("Q23", "duration_band known", bad_band, ("duration_band",)),
-        Check("Q24", "NULL rate of key columns", ratio(null_cells, _rows() * 3.0),
+        Check("Q23", "duration_band known", f"count_if(duration_band NOT IN ({bands}))", ("duration_band",)),
+        Check("Q24", "NULL rate of key columns", f"try_divide({null_cells}, count(1) * 3.0D)",
               tuple(key_columns), "below", 0.05, WARNING),
         Check("Q25", "end after start",
-              F.count_if(F.col("end_datetime") <= F.col("start_datetime")),
+              "count_if(end_datetime <= start_datetime)",
               ("start_datetime", "end_datetime")),
         Check("Q26", "imbalance score within 0 to 1",
               _outside("start_station_imbalance_score", 0, 1), ("start_station_imbalance_score",)),
-        Check("Q27", "enough rides", _rows(), (), "at_least", min_rows),
+        Check("Q27", "enough rides", ROWS, (), "at_least", min_rows),
     ]
     station_checks = [
         Check("Q28", "station_id not null", _null("station_id"), ("station_id",)),
         Check("Q30", "latitude plausible", _outside("latitude", 51.0, 52.0), ("latitude",)),
-        Check("Q31", "docks positive", F.count_if(F.col("nb_docks") <= 0), ("nb_docks",)),
+        Check("Q31", "docks positive", "count_if(nb_docks <= 0)", ("nb_docks",)),
     ]
-    date_checks = [Check("Q33", "enough days", _rows(), (), "at_least", 3650)]
+    date_checks = [Check("Q33", "enough days", ROWS, (), "at_least", 3650)]
     orphans = orphan_keys(fact, "start_station_id", dim_stations, "station_id").agg(
-        _rows().alias("value")
+        F.count(F.lit(1)).alias("value")
     )
     unique = [
         ("Q18", "ride_sk unique", fact, "ride_sk"),
@@ -200,19 +187,19 @@ def post_transform(
             run_check_on(
                 orphans,
                 point,
-                Check("Q32", "start stations known", F.col("value"), severity=WARNING),
+                Check("Q32", "start stations known", severity=WARNING),
             ),
             *[
-                run_check_on(repeats(table, key), point, Check(check_id, name, F.col("value")))
+                run_check_on(repeats(table, key), point, Check(check_id, name))
                 for check_id, name, table, key in unique
             ],
         ]
     )
 
 
-def _breaks(condition: Column) -> Column:
+def _breaks(condition: str) -> str:
     """Rows where the condition is not true; an unknown value breaks it."""
-    return F.count_if(~F.coalesce(condition, F.lit(False)))
+    return f"count_if(NOT coalesce({condition}, false))"
 
 
 def delivered_files(
@@ -220,30 +207,30 @@ def delivered_files(
 ) -> DataFrame:
     """File-level checks before loading, with the stricter generation rules."""
     point = "files"
-    known = lambda c: _breaks(F.col(c).isNotNull())
+    known = lambda c: _breaks(f"{c} IS NOT NULL")
     ride_checks = [
         Check("F01", "rental_id not null", known("rental_id"), ("rental_id",)),
         Check("F02", "bike_id not null", known("bike_id"), ("bike_id",)),
         Check("F03", "start_date not null", known("start_date"), ("start_date",)),
         Check("F04", "start_station_id not null", known("start_station_id"), ("start_station_id",)),
-        Check("F05", "duration positive", _breaks(F.col("duration") > 0), ("duration",)),
-        Check("F13", "enough rides", _rows(), (), "at_least", min_rides),
+        Check("F05", "duration positive", _breaks("duration > 0"), ("duration",)),
+        Check("F13", "enough rides", ROWS, (), "at_least", min_rides),
         Check("G04", "duration within 60 to 86400 seconds",
-              _breaks(F.col("duration").between(K.MIN_RIDE_SECONDS, K.MAX_RIDE_SECONDS)),
+              _breaks(f"duration BETWEEN {K.MIN_RIDE_SECONDS} AND {K.MAX_RIDE_SECONDS}"),
               ("duration",)),
         Check("G05", "end_station_id not null", known("end_station_id"), ("end_station_id",)),
-        Check("G06", "end after start", _breaks(F.col("end_date") > F.col("start_date")),
+        Check("G06", "end after start", _breaks("end_date > start_date"),
               ("start_date", "end_date")),
     ]
     station_checks = [
         Check("F06", "station id not null", known("id"), ("id",)),
         Check("F07", "station name not null", known("name"), ("name",)),
-        Check("F08", "docks positive", _breaks(F.col("docks_count") > 0), ("docks_count",)),
-        Check("F11", "latitude in service area", _breaks(F.col("latitude").between(*K.STATION_LAT)),
+        Check("F08", "docks positive", _breaks("docks_count > 0"), ("docks_count",)),
+        Check("F11", "latitude in service area", _breaks("latitude BETWEEN {} AND {}".format(*K.STATION_LAT)),
               ("latitude",)),
         Check("F12", "longitude in service area",
-              _breaks(F.col("longitude").between(*K.STATION_LON)), ("longitude",)),
-        Check("F14", "enough stations", _rows(), (), "at_least", min_stations),
+              _breaks("longitude BETWEEN {} AND {}".format(*K.STATION_LON)), ("longitude",)),
+        Check("F14", "enough stations", ROWS, (), "at_least", min_stations),
     ]
     unique = [("F09", "rental_id unique", rides, "rental_id"), ("F10", "station id unique", stations, "id")]
     return union_all(
@@ -254,7 +241,7 @@ def delivered_files(
                 run_check_on(
                     repeats(table, key, null_is_value=True),
                     point,
-                    Check(check_id, name, F.col("value")),
+                    Check(check_id, name),
                 )
                 for check_id, name, table, key in unique
             ],
@@ -271,7 +258,7 @@ def gate(results: DataFrame) -> None:
 
 
 def status_counts(results: DataFrame) -> DataFrame:
-    return results.groupBy("checkpoint", "status").agg(_rows().alias("checks"))
+    return results.groupBy("checkpoint", "status").agg(F.count(F.lit(1)).alias("checks"))
 
 
 def overall(results: DataFrame) -> DataFrame:
@@ -280,7 +267,7 @@ def overall(results: DataFrame) -> DataFrame:
     return results.agg(
         F.current_timestamp().alias("run_timestamp"),
         F.when(failed == 0, "PASS").otherwise("FAIL").alias("overall_status"),
-        _rows().alias("checks"),
+        F.count(F.lit(1)).alias("checks"),
         failed.alias("failed"),
     )
 

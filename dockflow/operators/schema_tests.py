@@ -6,7 +6,7 @@ column only.
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dockflow import constants as K
@@ -81,55 +81,51 @@ MART_TESTS = {
 }
 
 
-def _failing_rows(test: ColumnTest) -> Column:
+def _literal(value) -> str:
+    return f"'{value}'" if isinstance(value, str) else str(value)
+
+
+def _failing_rows(test: ColumnTest) -> str:
     """Aggregate for the tests that look at one row at a time. NULL passes all but ``not_null``."""
-    value = F.col(test.column)
     if test.kind == "not_null":
-        return F.count_if(value.isNull())
+        return f"count_if({test.column} IS NULL)"
     if test.kind == "accepted_range":
-        return F.count_if(~value.between(*test.args))
-    return F.count_if(~value.isin(*test.args))
+        low, high = test.args
+        return f"count_if({test.column} NOT BETWEEN {low} AND {high})"
+    return f"count_if({test.column} NOT IN ({', '.join(map(_literal, test.args))}))"
 
 
 def _keys_repeated(table: DataFrame, column: str) -> DataFrame:
     keys = table.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("n"))
-    return keys.agg(F.count_if(F.col("n") > 1).alias("failures"))
+    return keys.agg(F.count_if(F.col("n") > 1).alias("t0"))
+
 
+def _rows_lost(table: DataFrame, column: str, parent: DataFrame, key: str) -> DataFrame:
+    lost = orphan_keys(table, column, parent, key)
+    return lost.agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("t0"))
 
-def _as_rows(frame: DataFrame, model: str, test: ColumnTest, failures: Column) -> DataFrame:
-    return frame.select(
-        F.lit(model).alias("model"),
-        F.lit(test.column).alias("column_name"),
-        F.lit(test.kind).alias("test"),
-        F.lit(test.severity).alias("severity"),
-        failures.cast("bigint").alias("failures"),
+
+def _as_rows(counts: DataFrame, model: str, tests: list[ColumnTest]) -> DataFrame:
+    """One row per test from one row with the failures of test i in column ``t{i}``."""
+    rows = ", ".join(
+        f"'{model}', '{t.column}', '{t.kind}', '{t.severity}', t{i}" for i, t in enumerate(tests)
+    )
+    return counts.selectExpr(
+        f"stack({len(tests)}, {rows}) AS (model, column_name, test, severity, failures)"
     )
 
 
 def _model_rows(model: str, tests: list[ColumnTest], tables: dict[str, DataFrame]) -> list[DataFrame]:
     table = tables[model]
     by_row = [t for t in tests if t.kind in ("not_null", "accepted_range", "accepted_values")]
-    counts = table.agg(*[_failing_rows(t).alias(f"t{i}") for i, t in enumerate(by_row)])
-    entries = [
-        F.struct(
-            F.lit(model).alias("model"),
-            F.lit(t.column).alias("column_name"),
-            F.lit(t.kind).alias("test"),
-            F.lit(t.severity).alias("severity"),
-            F.col(f"t{i}").alias("failures"),
-        )
-        for i, t in enumerate(by_row)
-    ]
-    out = [counts.select(F.explode(F.array(*entries)).alias("r")).select("r.*")]
+    counts = table.agg(*[F.expr(_failing_rows(t)).alias(f"t{i}") for i, t in enumerate(by_row)])
+    out = [_as_rows(counts, model, by_row)]
     for test in tests:
         if test.kind == "unique":
-            repeated = _keys_repeated(table, test.column)
-            out.append(_as_rows(repeated, model, test, F.col("failures")))
+            out.append(_as_rows(_keys_repeated(table, test.column), model, [test]))
         elif test.kind == "relationships":
             parent, key = test.args
-            lost = orphan_keys(table, test.column, tables[parent], key)
-            lost = lost.agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("failures"))
-            out.append(_as_rows(lost, model, test, F.col("failures")))
+            out.append(_as_rows(_rows_lost(table, test.column, tables[parent], key), model, [test]))
     return out
 
 

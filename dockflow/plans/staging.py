@@ -9,51 +9,62 @@ from dockflow.functions import calendar, stations
 
 def stg_rides(raw: DataFrame) -> DataFrame:
     """Valid rides: known id, 60 to 86,400 seconds, end after start."""
-    start, end = F.col("start_date").cast("timestamp"), F.col("end_date").cast("timestamp")
-    seconds = F.col("duration").cast("bigint")
-    valid = (
-        F.col("rental_id").isNotNull()
-        & seconds.between(K.MIN_RIDE_SECONDS, K.MAX_RIDE_SECONDS)
-        & (end > start)
-    )
-    return raw.filter(valid).select(
-        F.col("rental_id").cast("bigint").alias("rental_id"),
-        F.col("bike_id").cast("bigint").alias("bike_id"),
-        F.col("start_station_id").cast("bigint").alias("start_station_id"),
+    typed = raw.selectExpr(
+        "CAST(rental_id AS BIGINT) AS rental_id",
+        "CAST(bike_id AS BIGINT) AS bike_id",
+        "CAST(start_station_id AS BIGINT) AS start_station_id",
         "start_station_name",
-        F.col("end_station_id").cast("bigint").alias("end_station_id"),
+        "CAST(end_station_id AS BIGINT) AS end_station_id",
         "end_station_name",
-        start.alias("start_datetime"),
-        end.alias("end_datetime"),
+        "CAST(start_date AS TIMESTAMP) AS start_datetime",
+        "CAST(end_date AS TIMESTAMP) AS end_datetime",
+        "CAST(duration AS BIGINT) AS duration_seconds",
+    )
+    valid = typed.filter(
+        f"""rental_id IS NOT NULL AND end_datetime > start_datetime
+            AND duration_seconds BETWEEN {K.MIN_RIDE_SECONDS} AND {K.MAX_RIDE_SECONDS}"""
+    )
+    start = F.col("start_datetime")
+    return valid.select(
+        *[c for c in typed.columns if c != "duration_seconds"],
         F.to_date(start).alias("hire_date"),
         calendar.start_hour(start).alias("start_hour"),
         calendar.day_of_week(start).alias("day_of_week"),
         calendar.is_weekend(start).alias("is_weekend"),
-        seconds.alias("duration_seconds"),
+        "duration_seconds",
     )
 
 
 def stg_stations(raw: DataFrame) -> DataFrame:
     """Stations inside the service area that have docks."""
-    lat, lon = F.col("latitude").cast("double"), F.col("longitude").cast("double")
-    docks = F.col("docks_count").cast("bigint")
-    valid = (
-        F.col("id").isNotNull()
-        & lat.between(*K.STATION_LAT)
-        & lon.between(*K.STATION_LON)
-        & (docks > 0)
+    typed = raw.selectExpr(
+        "CAST(id AS BIGINT) AS station_id",
+        "name AS station_name",
+        "terminal_name",
+        "CAST(latitude AS DOUBLE) AS latitude",
+        "CAST(longitude AS DOUBLE) AS longitude",
+        "CAST(docks_count AS BIGINT) AS nb_docks",
+        "CAST(installed AS BOOLEAN) AS is_installed",
+        "CAST(locked AS BOOLEAN) AS is_locked",
+        "CAST(temporary AS BOOLEAN) AS is_temporary",
+        "CAST(install_date AS DATE) AS install_date",
+    )
+    valid = typed.filter(
+        f"""station_id IS NOT NULL AND nb_docks > 0
+            AND latitude BETWEEN {K.STATION_LAT[0]}D AND {K.STATION_LAT[1]}D
+            AND longitude BETWEEN {K.STATION_LON[0]}D AND {K.STATION_LON[1]}D"""
     )
-    return raw.filter(valid).select(
-        F.col("id").cast("bigint").alias("station_id"),
-        F.col("name").alias("station_name"),
+    return valid.select(
+        "station_id",
+        "station_name",
         "terminal_name",
-        lat.alias("latitude"),
-        lon.alias("longitude"),
-        stations.zone_of(lat, lon).alias("zone"),
-        docks.alias("nb_docks"),
-        F.col("installed").cast("boolean").alias("is_installed"),
-        F.col("locked").cast("boolean").alias("is_locked"),
-        F.col("temporary").cast("boolean").alias("is_temporary"),
-        stations.capacity_tier(docks).alias("capacity_tier"),
-        F.col("install_date").cast("date").alias("install_date"),
+        "latitude",
+        "longitude",
+        stations.zone_of("latitude", "longitude").alias("zone"),
+        "nb_docks",
+        "is_installed",
+        "is_locked",
+        "is_temporary",
+        stations.capacity_tier(F.col("nb_docks")).alias("capacity_tier"),
+        "install_date",
     )

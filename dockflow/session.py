@@ -11,6 +11,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Split an overloaded join partition even when a later step must shuffle again for it.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Recording the Python line of every column expression doubles the time to build a plan.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

@@ -9,73 +9,71 @@ from pyspark.sql import functions as F
 
 from dockflow.sources import schemas
 
+EVENTS = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
+SUPPLIER = "s_suppkey bigint, s_name string"
 
-def _read(spark: SparkSession, folder: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{table}.parquet")
 
+def _events(spark: SparkSession, folder: str) -> DataFrame:
+    return spark.read.schema(EVENTS).parquet(f"{folder}/events.parquet")
 
-def _ride_ids(spark: SparkSession, folder: str) -> DataFrame:
-    suppliers = _read(spark, folder, "supplier").agg(F.count(F.lit(1))).scalar()
-    events = _read(spark, folder, "events").select(
+
+def _suppliers(spark: SparkSession, folder: str) -> DataFrame:
+    return spark.read.schema(SUPPLIER).parquet(f"{folder}/supplier.parquet")
+
+
+def _ride_ids(events: DataFrame, suppliers: DataFrame) -> DataFrame:
+    n = suppliers.agg(F.count(F.lit(1))).scalar()
+    keys = events.selectExpr(
         "event_id",
         "event_type",
-        "value",
-        F.date_trunc("second", F.col("ts").cast("timestamp")).alias("ts0"),
-        F.expr("(user_id * 2) div 3").alias("b"),
-        F.get_json_object("props", "$.k").cast("bigint").alias("k"),
-    )
-    b, k = F.col("b"), F.col("k")
-    start_id = (b * b) % suppliers
-    end_id = (
-        F.when(k % 50 == 0, F.lit(None).cast("bigint"))
-        .when(F.col("event_type") == "signup", start_id)
-        .when(k >= 95, (b + k) % suppliers)
-        .otherwise(((b + k) * (b + k)) % suppliers)
-    )
-    seconds = F.floor(F.col("value") * 30).cast("bigint")
-    return events.select(
-        F.col("event_id").cast("bigint").alias("rental_id"),
-        seconds.alias("duration"),
-        (F.col("event_id") % 997).cast("bigint").alias("bike_id"),
-        F.timestamp_add("SECOND", seconds, F.col("ts0")).alias("end_date"),
-        end_id.alias("end_station_id"),
-        F.col("ts0").alias("start_date"),
-        start_id.alias("start_station_id"),
+        "CAST(floor(value * 30) AS BIGINT) AS seconds",
+        "date_trunc('second', CAST(ts AS TIMESTAMP)) AS ts0",
+        "(user_id * 2) div 3 AS b",
+        "CAST(get_json_object(props, '$.k') AS BIGINT) AS k",
+    ).withColumn("n", n)
+    return keys.selectExpr(
+        "event_id AS rental_id",
+        "seconds AS duration",
+        "event_id % 997 AS bike_id",
+        "timestampadd(SECOND, seconds, ts0) AS end_date",
+        """CASE WHEN k % 50 = 0 THEN NULL
+                WHEN event_type = 'signup' THEN (b * b) % n
+                WHEN k >= 95 THEN (b + k) % n
+                ELSE ((b + k) * (b + k)) % n END AS end_station_id""",
+        "ts0 AS start_date",
+        "(b * b) % n AS start_station_id",
     )
 
 
-def _names(spark: SparkSession, folder: str, prefix: str) -> DataFrame:
+def _names(suppliers: DataFrame, prefix: str) -> DataFrame:
     # Grouping by the key lets the optimizer drop the lookup when the name is not used.
-    return (
-        _read(spark, folder, "supplier")
-        .groupBy(F.col("s_suppkey").alias(f"{prefix}_key"))
-        .agg(F.min("s_name").alias(f"{prefix}_station_name"))
+    return suppliers.groupBy(F.col("s_suppkey").alias(f"{prefix}_key")).agg(
+        F.min("s_name").alias(f"{prefix}_station_name")
     )
 
 
 def cycle_hire(spark: SparkSession, folder: str) -> DataFrame:
-    rides = _ride_ids(spark, folder)
-    start, end = _names(spark, folder, "start"), _names(spark, folder, "end")
+    suppliers = _suppliers(spark, folder)
+    rides = _ride_ids(_events(spark, folder), suppliers)
+    start, end = _names(suppliers, "start"), _names(suppliers, "end")
     return (
-        rides.join(start, rides.start_station_id == start.start_key, "left")
-        .join(end, rides.end_station_id == end.end_key, "left")
+        rides.join(start, F.expr("start_station_id = start_key"), "left")
+        .join(end, F.expr("end_station_id = end_key"), "left")
         .select(*schemas.RIDES.fieldNames())
     )
 
 
 def cycle_stations(spark: SparkSession, folder: str) -> DataFrame:
-    s = F.col("s_suppkey").cast("bigint")
-    return _read(spark, folder, "supplier").select(
-        s.alias("id"),
-        (s % 33 != 0).alias("installed"),
-        (s % 33 == 1).alias("locked"),
-        F.date_add(F.lit("2010-01-01").cast("date"), (s * 13 % 1460).cast("int")).alias("install_date"),
-        F.col("s_name").alias("name"),
-        F.lpad(s.cast("string"), 5, "0").alias("terminal_name"),
-        F.when(s % 97 == 96, F.lit(52.0))
-        .otherwise((F.lit(51450) + s * 37 % 110) / F.lit(1000.0))
-        .alias("latitude"),
-        ((s * 53 % 260 - 230) / F.lit(1000.0)).alias("longitude"),
-        F.when(s % 89 == 80, F.lit(0).cast("bigint")).otherwise(10 + s * 7 % 31).alias("docks_count"),
-        (s % 20 == 0).alias("temporary"),
+    return _suppliers(spark, folder).selectExpr(
+        "s_suppkey AS id",
+        "s_suppkey % 33 != 0 AS installed",
+        "s_suppkey % 33 = 1 AS locked",
+        "date_add(DATE '2010-01-01', CAST(s_suppkey * 13 % 1460 AS INT)) AS install_date",
+        "s_name AS name",
+        "lpad(CAST(s_suppkey AS STRING), 5, '0') AS terminal_name",
+        """CASE WHEN s_suppkey % 97 = 96 THEN 52.0D
+                ELSE (51450 + s_suppkey * 37 % 110) / 1000.0D END AS latitude""",
+        "(s_suppkey * 53 % 260 - 230) / 1000.0D AS longitude",
+        "CASE WHEN s_suppkey % 89 = 80 THEN 0L ELSE 10 + s_suppkey * 7 % 31 END AS docks_count",
+        "s_suppkey % 20 = 0 AS temporary",
     )
