@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from dockflow import constants as K
 from dockflow.functions import stations as S
 from dockflow.functions.numeric import percent, ratio, weighted_avg
-from dockflow.operators.trends import between_dates, monthly_trend, trailing_days
+from dockflow.operators.trends import between_dates, trailing_days
 
 STATION_KEYS = {
     "start_station_name": "station",
@@ -166,48 +166,67 @@ def imbalance_trend(counted: DataFrame) -> DataFrame:
     )
 
 
-def _extreme(frame: DataFrame, metric: str, label: Column, value: Column, order: Column) -> DataFrame:
-    return frame.agg(
-        F.lit(metric).alias("metric"),
-        F.max_by(label.cast("string"), order).alias("label"),
-        F.max_by(value.cast("double"), order).alias("value"),
+def _metric_rows(values: DataFrame, metrics: dict[str, tuple[str, str]]) -> DataFrame:
+    """Rows (metric, label, value) from one row; ``metrics`` names the label and value columns."""
+    rows = ", ".join(
+        f"'{metric}', CAST({label} AS STRING), CAST({value} AS DOUBLE)"
+        for metric, (label, value) in metrics.items()
     )
+    return values.selectExpr(f"stack({len(metrics)}, {rows}) AS (metric, label, value)")
 
 
 def trend_extremes(counted: DataFrame, rides: DataFrame) -> DataFrame:
     """Mean and worst day of the imbalance trend, best and worst month, busiest hours.
 
-    Ties go to the earlier day, month or hour.
+    Ties go to the earlier day, month or hour. Months and hours come from one count of the rides.
     """
-    trend = imbalance_trend(counted)
-    months = monthly_trend(rides)
-    hours = rides.groupBy("start_hour", "is_weekend").agg(F.count(F.lit(1)).alias("ride_count"))
-    day, month, hour = F.col("hire_date"), F.col("month"), F.col("start_hour")
-    early_day = -F.unix_date(day).cast("double")
-    early_month = -F.unix_date(month).cast("double")
-    score, count = F.col("avg_imbalance"), F.col("ride_count")
-    early_hour = -hour.cast("double")
-    mean = trend.agg(
-        F.lit("mean_imbalance").alias("metric"),
-        F.lit(None).cast("string").alias("label"),
-        F.avg(score).alias("value"),
+    trend = imbalance_trend(counted).selectExpr(
+        "avg_imbalance", "struct(avg_imbalance, -unix_date(hire_date) AS d, hire_date) AS ranked"
+    )
+    days = trend.agg(F.avg("avg_imbalance").alias("mean"), F.max("ranked").alias("top")).selectExpr(
+        "mean", "top.hire_date AS worst_day", "top.avg_imbalance AS worst"
+    )
+    cells = rides.groupBy(
+        F.trunc("hire_date", "MONTH").alias("month"), "start_hour", "is_weekend"
+    ).agg(F.count(F.lit(1)).alias("n"))
+    months = (
+        cells.groupBy("month")
+        .agg(F.sum("n").alias("n"))
+        .selectExpr(
+            "struct(n, -unix_date(month) AS d, month) AS best",
+            "struct(-n AS n, -unix_date(month) AS d, month) AS least",
+        )
+        .agg(F.max("best").alias("best"), F.max("least").alias("least"))
+    )
+    hours = (
+        cells.groupBy("start_hour", "is_weekend")
+        .agg(F.sum("n").alias("n"))
+        .selectExpr("is_weekend", "struct(n, -start_hour AS h, start_hour) AS r")
+        .agg(
+            F.max(F.when(~F.col("is_weekend"), F.col("r"))).alias("weekday"),
+            F.max(F.when(F.col("is_weekend"), F.col("r"))).alias("weekend"),
+        )
+    )
+    return (
+        _metric_rows(
+            days, {"mean_imbalance": ("NULL", "mean"), "max_imbalance_day": ("worst_day", "worst")}
+        )
+        .union(
+            _metric_rows(
+                months,
+                {
+                    "peak_month": ("best.month", "best.n"),
+                    "trough_month": ("least.month", "-least.n"),
+                },
+            )
+        )
+        .union(
+            _metric_rows(
+                hours,
+                {
+                    "weekday_peak_hour": ("weekday.start_hour", "weekday.n"),
+                    "weekend_peak_hour": ("weekend.start_hour", "weekend.n"),
+                },
+            )
+        )
     )
-    parts = [
-        _extreme(trend, "max_imbalance_day", day, score, F.struct(score, early_day)),
-        _extreme(months, "peak_month", month, count, F.struct(count, early_month)),
-        _extreme(months, "trough_month", month, count, F.struct(-count, early_month)),
-        _extreme(
-            hours.filter(~F.col("is_weekend")),
-            "weekday_peak_hour",
-            hour,
-            count,
-            F.struct(count, early_hour),
-        ),
-        _extreme(
-            hours.filter("is_weekend"), "weekend_peak_hour", hour, count, F.struct(count, early_hour)
-        ),
-    ]
-    out = mean
-    for part in parts:
-        out = out.union(part)
-    return out

@@ -100,14 +100,29 @@ def duration_filter(
     return picked.filter(F.col("duration_minutes").between(low, high))
 
 
+def bounded_sample(
+    rows: DataFrame, key: str, limit: int, population: DataFrame | None = None
+) -> DataFrame:
+    """At most ``limit`` rows: those whose key has the smallest md5, the same on every run.
+
+    The digest is uniform, so all but about ``limit`` rows are dropped where they are read: the
+    bound lies six standard deviations above the wanted share. Only the rest is ranked.
+    ``population`` may name a cheaper frame to count than ``rows``.
+    """
+    digest = F.md5(F.col(key).cast("string"))
+    position = F.conv(F.substring(digest, 1, 12), 16, 10).cast("double") / F.lit(2.0**48)
+    total = (rows if population is None else population).agg(_rides()).scalar()
+    wanted = limit + 6.0 * limit**0.5 + 50.0
+    near = rows.filter(position * total <= F.lit(wanted))
+    return near.orderBy(digest, key).limit(limit)
+
+
 def duration_sample(rides: DataFrame, date_from: str, date_to: str, limit: int = 50_000) -> DataFrame:
-    """The bounded sample behind the distribution plots: the first rides by id."""
-    return (
-        duration_filter(rides, date_from, date_to)
-        .select("rental_id", "duration_minutes", "duration_band", "is_weekend", "peak_hour_flag")
-        .orderBy("rental_id")
-        .limit(limit)
+    """The bounded sample behind the distribution plots."""
+    rows = duration_filter(rides, date_from, date_to).select(
+        "rental_id", "duration_minutes", "duration_band", "is_weekend", "peak_hour_flag"
     )
+    return bounded_sample(rows, "rental_id", limit)
 
 
 def category_counts(rides: DataFrame, column: str) -> DataFrame:
@@ -123,6 +138,13 @@ def duration_band_counts(rides: DataFrame, date_from: str, date_to: str) -> Data
     return category_counts(duration_filter(rides, date_from, date_to), "duration_band")
 
 
-def recent_rides(rides: DataFrame, as_of: str, days: int = 30, limit: int = 500_000) -> DataFrame:
-    """Capped fetch of the trailing days; which rides survive the cap is not defined."""
-    return trailing_days(rides, as_of, days).limit(limit)
+def recent_rides(
+    rides: DataFrame,
+    as_of: str,
+    days: int = 30,
+    limit: int = 500_000,
+    population: DataFrame | None = None,
+) -> DataFrame:
+    """Capped fetch of the trailing days. ``population`` may be a cheaper frame of the same rides."""
+    counted = trailing_days(rides if population is None else population, as_of, days)
+    return bounded_sample(trailing_days(rides, as_of, days), "rental_id", limit, counted)

@@ -52,8 +52,23 @@ class Warehouse:
 
     @cached_property
     def fact_rides(self) -> DataFrame:
+        """The fact as a view: nothing is stored, the daily flow is counted within the query."""
         return marts.fact_rides(self.rides_enriched, self.station_daily)
 
+    def with_stored_daily(self, path: str) -> "Warehouse":
+        """The same tables, the daily flow counted once and read from ``path`` by all of them.
+
+        It is small, several tables read it, and its row count decides whether the fact broadcasts
+        it. A lost executor costs a re-read instead of a re-count of all rides.
+        """
+        stored = Warehouse(self.raw_rides, self.raw_stations)
+        daily = self.spark.read.schema(self.station_daily.schema).parquet(
+            sinks.write_table(self.station_daily, path)
+        )
+        stored.station_daily = daily
+        stored.fact_rides = marts.fact_rides(stored.rides_enriched, daily, daily.count())
+        return stored
+
     @cached_property
     def explored(self) -> DataFrame:
         return explore.explored(self.raw_rides)
@@ -92,27 +107,17 @@ class Published:
 def publish(
     warehouse: Warehouse, folder: str, settings: PublishSettings | None = None
 ) -> Published:
-    """Check the raw tables, store the marts, check the marts. A failed gate raises.
-
-    The station-day table is stored first: it is small, both marts read it, and a lost executor
-    then costs a re-read instead of a re-count of all rides.
-    """
+    """Check the raw tables, store the marts, check the marts. A failed gate raises."""
     settings = settings or PublishSettings()
     spark = warehouse.spark
     ingest = quality.post_ingest(warehouse.raw_rides, warehouse.raw_stations, settings.min_rows)
     ingest_path = quality.save_results(ingest, f"{folder}/checks/post_ingest")
     quality.gate(quality.read_results(spark, ingest_path))
 
-    daily = spark.read.parquet(
-        sinks.write_table(warehouse.station_daily, f"{folder}/int_station_daily_stats")
-    )
-    days = spark.read.parquet(sinks.write_table(warehouse.dim_date, f"{folder}/dim_date"))
-    stations = spark.read.parquet(
-        sinks.write_table(marts.dim_stations(warehouse.stg_stations, daily), f"{folder}/dim_stations")
-    )
-    fact_path = sinks.write_fact(
-        marts.fact_rides(warehouse.rides_enriched, daily), f"{folder}/fact_rides"
-    )
+    stored = warehouse.with_stored_daily(f"{folder}/int_station_daily_stats")
+    days = spark.read.parquet(sinks.write_table(stored.dim_date, f"{folder}/dim_date"))
+    stations = spark.read.parquet(sinks.write_table(stored.dim_stations, f"{folder}/dim_stations"))
+    fact_path = sinks.write_fact(stored.fact_rides, f"{folder}/fact_rides")
     fact = sinks.read_fact(spark, fact_path, marts.FACT_COLUMNS)
 
     tables = {"fact_rides": fact, "dim_stations": stations, "dim_date": days}
@@ -128,4 +133,4 @@ def publish(
     checks = quality.union_all(
         [quality.read_results(spark, p) for p in (ingest_path, transform_path)]
     )
-    return Published(daily, days, stations, fact, checks)
+    return Published(stored.station_daily, days, stations, fact, checks)

@@ -63,6 +63,11 @@ def _six(*columns: str) -> dict[str, int]:
 DATES = (DATE_FROM, DATE_TO)
 
 
+def _stored(w: Warehouse) -> Warehouse:
+    """For queries that read the fact: the daily flow is counted once and stored."""
+    return w.with_stored_daily(sinks.fresh_path(w.spark, "station-days"))
+
+
 def _scenario(w: Warehouse) -> DataFrame:
     return stations.scenario_list(w.station_day_rides, *DATES, MIN_RIDES_SCENARIO)
 
@@ -103,7 +108,7 @@ _register(
 FACT_DIGITS = _six(
     "start_station_imbalance_score", "start_station_utilisation_rate", "start_station_rolling_7d_avg"
 )
-_register("fact_rides", lambda w: w.fact_rides, FACT_DIGITS)
+_register("fact_rides", lambda w: _stored(w).fact_rides, FACT_DIGITS)
 
 # --- mart reports ---
 _register("kpi_summary", lambda w: stations.kpi_summary(w.station_day_rides, *DATES))
@@ -136,7 +141,11 @@ _register("time_period_counts", lambda w: trends.time_period_counts(w.banded_rid
 _register("duration_band_counts", lambda w: trends.duration_band_counts(w.banded_rides, *DATES))
 _register("draining_filling_top10", lambda w: stations.draining_filling_top(_hotspots(w)))
 _register("duration_sample", lambda w: trends.duration_sample(w.banded_rides, *DATES))
-_register("recent_rides", lambda w: trends.recent_rides(w.fact_rides, AS_OF), FACT_DIGITS)
+_register(
+    "recent_rides",
+    lambda w: trends.recent_rides(_stored(w).fact_rides, AS_OF, population=w.banded_rides),
+    FACT_DIGITS,
+)
 
 # --- flow on raw rides ---
 _register("station_flow", _flow, _six("imb_score"))
@@ -183,11 +192,14 @@ _register("rule_segments", lambda w: segments.rule_segments(w.banded_rides), _si
 
 # --- data quality ---
 _register("quality_post_ingest", lambda w: quality.post_ingest(w.raw_rides, w.raw_stations, MIN_ROWS), _six("value"))
-_register(
-    "quality_post_transform",
-    lambda w: quality.post_transform(w.fact_rides, w.dim_stations, w.dim_date, MIN_ROWS),
-    _six("value"),
-)
+
+
+def _post_transform(w: Warehouse) -> DataFrame:
+    stored = _stored(w)
+    return quality.post_transform(stored.fact_rides, stored.dim_stations, stored.dim_date, MIN_ROWS)
+
+
+_register("quality_post_transform", _post_transform, _six("value"))
 _register("quality_files", lambda w: quality.delivered_files(w.raw_rides, w.raw_stations), _six("value"))
 
 
@@ -202,7 +214,8 @@ def _staging_tests(w: Warehouse) -> DataFrame:
 
 
 def _mart_tests(w: Warehouse) -> DataFrame:
-    tables = {"fact_rides": w.fact_rides, "dim_stations": w.dim_stations, "dim_date": w.dim_date}
+    s = _stored(w)
+    tables = {"fact_rides": s.fact_rides, "dim_stations": s.dim_stations, "dim_date": s.dim_date}
     return schema_tests.run_schema_tests(schema_tests.MART_TESTS, tables)
 
 
@@ -284,7 +297,7 @@ def _load_raw(w: Warehouse) -> DataFrame:
 
 
 def _write_fact(w: Warehouse) -> DataFrame:
-    path = sinks.write_fact(w.fact_rides, _path(w, "fact"))
+    path = sinks.write_fact(_stored(w).fact_rides, _path(w, "fact"))
     return sinks.read_fact(w.spark, path, marts.FACT_COLUMNS)
 
 

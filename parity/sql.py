@@ -417,9 +417,10 @@ UNION ALL
 oracle(
     "duration_sample",
     f"""SELECT rental_id, duration_minutes, duration_band, is_weekend, peak_hour_flag FROM fact
-WHERE {D} AND duration_minutes BETWEEN 1 AND 120 ORDER BY rental_id LIMIT 50000""",
+WHERE {D} AND duration_minutes BETWEEN 1 AND 120 ORDER BY md5(CAST(rental_id AS VARCHAR)), rental_id LIMIT 50000""",
 )
-oracle("recent_rides", f"SELECT * FROM fact_rounded WHERE hire_date >= DATE '{Q.AS_OF}' - 30 LIMIT 500000")
+oracle("recent_rides", f"""SELECT * FROM fact_rounded WHERE hire_date >= DATE '{Q.AS_OF}' - 30
+ORDER BY md5(CAST(rental_id AS VARCHAR)), rental_id LIMIT 500000""")
 
 # --- flow on raw rides ---
 oracle("station_flow", "SELECT * REPLACE (round(imb_score, 6) AS imb_score) FROM flow_table")
