@@ -141,33 +141,40 @@ def peak_offpeak(rides: DataFrame) -> DataFrame:
 def histogram(values: DataFrame, series: str, value: str, bins: dict[str, int]) -> DataFrame:
     """Equal-width histogram per series between its minimum and maximum, the last bin closed.
 
-    ``bins`` gives the number of bins of every series. Distinct values are counted first, so only
-    they are joined with the range of their series. Empty bins are kept with a zero count.
+    ``bins`` gives the number of bins of every series. Distinct values are counted first, so ride
+    rows are read once. Empty bins are kept with a zero count.
     """
     spark = values.sparkSession
     counted = values.filter(F.col(value).isNotNull()).groupBy(series, value).agg(_n().alias("n"))
     ranges = counted.groupBy(series).agg(
         F.min(value).alias("low"), F.max(value).alias("high"), F.sum("n").alias("total")
     )
-    wanted = spark.createDataFrame(list(bins.items()), f"{series} string, bin_count int")
-    width = (F.col("high") - F.col("low")) / F.col("bin_count")
-    ranges = ranges.join(wanted, series).withColumn("width", width)
-    position = F.floor(F.try_divide(F.col(value) - F.col("low"), F.col("width"))).cast("bigint")
-    bin_of = F.least(F.coalesce(position, F.lit(0)), F.col("bin_count") - F.lit(1)).cast("bigint")
+    # A handful of series: their ranges travel as one small map instead of a join.
+    entry = F.struct(F.col(series), F.struct("low", "high", "total"))
+    range_of = ranges.agg(F.map_from_entries(F.collect_list(entry)).alias("m")).scalar()
+    bin_counts = F.create_map(*[F.lit(part) for pair in bins.items() for part in pair])
+
+    def with_range(frame: DataFrame) -> DataFrame:
+        found = frame.withColumns(
+            {"r": F.element_at(range_of, F.col(series)), "bins": F.element_at(bin_counts, F.col(series))}
+        ).filter(F.col("r").isNotNull())
+        return found.withColumn("width", (F.col("r.high") - F.col("r.low")) / F.col("bins"))
+
+    position = F.floor(F.try_divide(F.col(value) - F.col("r.low"), F.col("width")))
+    bin_of = F.least(F.coalesce(position, F.lit(0)), F.col("bins") - F.lit(1)).cast("bigint")
     filled = (
-        counted.join(ranges.select(series, "low", "width", "bin_count"), series)
-        .groupBy(series, bin_of.alias("bin"))
-        .agg(F.sum("n").alias("n"))
+        with_range(counted).groupBy(series, bin_of.alias("bin")).agg(F.sum("n").alias("n"))
+    )
+    slots = spark.createDataFrame(
+        [(name, i) for name, count in bins.items() for i in range(count)], f"{series} string, bin bigint"
     )
-    grid = ranges.withColumn("bin", F.explode(F.sequence(F.lit(0), F.col("bin_count") - 1)))
-    grid = grid.withColumn("bin", F.col("bin").cast("bigint"))
     n = F.coalesce(F.col("n"), F.lit(0))
-    return grid.join(filled, [series, "bin"], "left").select(
+    return with_range(slots.join(filled, [series, "bin"], "left")).select(
         series,
         "bin",
-        (F.col("low") + F.col("bin") * F.col("width")).alias("bin_low"),
+        (F.col("r.low") + F.col("bin") * F.col("width")).alias("bin_low"),
         n.alias("n"),
-        ratio(n, F.col("total") * F.col("width")).alias("density"),
+        ratio(n, F.col("r.total") * F.col("width")).alias("density"),
     )
 
 

@@ -55,7 +55,7 @@ def difference(spark, con, name: str, folder: str) -> str | None:
     sql = entry.oracle_sql().get(name)
     if sql is None:
         return None
-    theirs = con.execute(sql).to_arrow_table()
+    theirs = con.sql(sql).to_arrow_table()
     if types_of(ours) != types_of(theirs):
         a, b = types_of(ours), types_of(theirs)
         return f"types differ: {[(k, a.get(k), b.get(k)) for k in a | b if a.get(k) != b.get(k)]}"
