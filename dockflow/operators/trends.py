@@ -110,10 +110,14 @@ def bounded_sample(
     ``population`` may name a cheaper frame to count than ``rows``.
     """
     digest = F.md5(F.col(key).cast("string"))
-    position = F.conv(F.substring(digest, 1, 12), 16, 10).cast("double") / F.lit(2.0**48)
-    total = (rows if population is None else population).agg(_rides()).scalar()
     wanted = limit + 6.0 * limit**0.5 + 50.0
-    near = rows.filter(position * total <= F.lit(wanted))
+    share = F.lit(wanted * 2.0**48) / F.count(F.lit(1))
+    # Twelve hex digits of the digest against the same digits of the share; "g" lets all pass.
+    bound = F.when(share >= 2.0**48, "g").otherwise(
+        F.lower(F.lpad(F.hex(F.floor(share).cast("bigint")), 12, "0"))
+    )
+    counted = rows if population is None else population
+    near = rows.filter(F.substring(digest, 1, 12) <= counted.agg(bound.alias("b")).scalar())
     return near.orderBy(digest, key).limit(limit)
 
 

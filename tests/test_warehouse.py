@@ -175,6 +175,46 @@ def test_shuffled_joins_give_the_same_fact(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
+def test_one_busy_station_is_split_over_tasks(spark):
+    """A third of the rides start at one station; the sorted-merge plan splits its partition."""
+    n = 30_000
+    hot = F.pmod(F.xxhash64("id"), F.lit(3)) == 0
+    rides = spark.range(0, n, 1, 8).select(
+        F.col("id").alias("rental_id"),
+        F.lit(600).cast("bigint").alias("duration"),
+        F.lit(1).cast("bigint").alias("bike_id"),
+        F.timestamp_seconds(F.lit(1704110400 + 600)).alias("end_date"),
+        F.when(F.col("id") % 3 > 0, F.pmod(F.xxhash64("id"), F.lit(200))).alias("end_station_id"),
+        F.sha2(F.col("id").cast("string"), 512).alias("end_station_name"),
+        F.timestamp_seconds(F.lit(1704110400)).alias("start_date"),
+        F.when(hot, 7).otherwise(F.pmod(F.col("id"), F.lit(200))).cast("bigint").alias("start_station_id"),
+        F.lit("S").alias("start_station_name"),
+    )
+    stations = stations_frame(spark, [station(i) for i in range(200)])
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "200KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100KB",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        enriched = Warehouse(rides, stations).rides_enriched
+        # Names are read too, so that the rows have a size worth splitting.
+        width = F.sum(F.length("end_station_name")).alias("width")
+        got = enriched.groupBy("start_zone").agg(F.count(F.lit(1)).alias("n"), width)
+        assert sum(r.n for r in got.collect()) == n
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin(skew=true)" in plan
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
 def test_publish_stores_checked_tables(spark):
     w = given(spark, SMALL)
     published = publish(w, sinks.fresh_path(spark, "publish"), PublishSettings(min_rows=900))
