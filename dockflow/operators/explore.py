@@ -138,14 +138,17 @@ def peak_offpeak(rides: DataFrame) -> DataFrame:
     )
 
 
-def histogram(values: DataFrame, series: str, value: str, bins: dict[str, int]) -> DataFrame:
+def histogram(
+    values: DataFrame, series: str, value: str, bins: dict[str, int], weight: str | None = None
+) -> DataFrame:
     """Equal-width histogram per series between its minimum and maximum, the last bin closed.
 
-    ``bins`` gives the number of bins of every series. Distinct values are counted first, so ride
+    ``bins`` gives the number of bins of every series; a row counts once or ``weight`` times. Distinct values are counted first, so ride
     rows are read once. Empty bins are kept with a zero count.
     """
     spark = values.sparkSession
-    counted = values.filter(F.col(value).isNotNull()).groupBy(series, value).agg(_n().alias("n"))
+    size = _n() if weight is None else F.sum(weight)
+    counted = values.filter(F.col(value).isNotNull()).groupBy(series, value).agg(size.alias("n"))
     ranges = counted.groupBy(series).agg(
         F.min(value).alias("low"), F.max(value).alias("high"), F.sum("n").alias("total")
     )

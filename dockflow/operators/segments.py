@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from dockflow import constants as K
 from dockflow.functions.numeric import percent, weighted_avg
+from dockflow.operators.explore import histogram
 
 
 @dataclass(frozen=True)
@@ -172,6 +173,13 @@ def weekend_share_by_segment(labelled: DataFrame) -> DataFrame:
     return labelled.groupBy("label").agg(share.alias("weekend_pct")).orderBy("weekend_pct")
 
 
+def durations_by_segment(labelled: DataFrame, labels: list[str], clip_at: float = 60.0) -> DataFrame:
+    """Histogram of ride minutes per segment in 30 bins, long rides clipped."""
+    minutes = F.least(F.col("duration_minutes"), F.lit(clip_at))
+    points = labelled.select("label", minutes.alias("minutes"), "n_rides")
+    return histogram(points, "label", "minutes", dict.fromkeys(labels, 30), weight="n_rides")
+
+
 def rule_segments(rides: DataFrame) -> DataFrame:
     """Segment shares by rule: weekday peak rides commute, weekend rides are leisure, others casual."""
     commuter, leisure, casual = K.SEGMENTS_3

@@ -33,6 +33,13 @@ def daily_trend(rides: DataFrame, date_from: str, date_to: str) -> DataFrame:
     return picked.groupBy("hire_date").agg(_rides().alias("rides")).orderBy("hire_date")
 
 
+def calendar_rides(dim_date: DataFrame, rides: DataFrame) -> DataFrame:
+    """Every day of the date dimension with its number of rides."""
+    counted = rides.groupBy(F.col("hire_date").alias("full_date")).agg(_rides().alias("rides"))
+    joined = dim_date.join(counted, "full_date", "left")
+    return joined.select(*dim_date.columns, F.coalesce("rides", F.lit(0)).alias("rides"))
+
+
 def hourly_demand(rides: DataFrame, date_from: str, date_to: str) -> DataFrame:
     picked = between_dates(rides, date_from, date_to)
     return picked.groupBy("start_hour").agg(_rides().alias("rides")).orderBy("start_hour")

@@ -1,5 +1,7 @@
 """Reading raw tables: declared schemas, pruned extracts, incremental windows, record validation."""
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -99,25 +101,33 @@ def as_text(table: DataFrame) -> DataFrame:
     return table.select(*[F.col(c).cast("string").alias(c) for c in table.columns])
 
 
-def _listing(table: DataFrame, rows: list[tuple], schema: str) -> DataFrame:
-    return table.sparkSession.createDataFrame(rows, schema)
+def filled_counts(table: DataFrame) -> DataFrame:
+    """Number of values per column, from one pass: column_name, filled."""
+    counts = table.agg(*[F.count(c).alias(c) for c in table.columns])
+    return counts.unpivot([], counts.columns, "column_name", "filled")
 
 
 def column_listing(table: DataFrame) -> DataFrame:
-    """Name, type and position of every column."""
+    """Name, type, position and number of values of every column."""
     rows = [(f.name, f.dataType.simpleString(), i) for i, f in enumerate(table.schema, 1)]
-    return _listing(table, rows, "column_name string, data_type string, ordinal_position int")
+    listed = table.sparkSession.createDataFrame(
+        rows, "column_name string, data_type string, ordinal_position int"
+    )
+    return listed.join(filled_counts(table), "column_name").orderBy("ordinal_position")
 
 
 def schema_presence(tables: dict[str, DataFrame]) -> DataFrame:
-    """One row per expected column, telling whether the table has it."""
-    any_table = next(iter(tables.values()))
-    rows = [
-        (name, column, column in rename_aliases(table).columns)
-        for name, table in tables.items()
-        for column in schemas.EXPECTED_COLUMNS[name]
-    ]
-    return _listing(any_table, rows, "table_name string, column_name string, present boolean")
+    """One row per expected column: whether the table has it, and how many values it holds."""
+    parts = []
+    for name, table in tables.items():
+        delivered = rename_aliases(table)
+        rows = [(name, c, c in delivered.columns) for c in schemas.EXPECTED_COLUMNS[name]]
+        expected = table.sparkSession.createDataFrame(
+            rows, "table_name string, column_name string, present boolean"
+        )
+        parts.append(expected.join(filled_counts(delivered), "column_name", "left"))
+    out = reduce(DataFrame.union, parts)
+    return out.select("table_name", "column_name", "present", F.coalesce("filled", F.lit(0)).alias("filled"))
 
 
 def require_columns(name: str, table: DataFrame) -> None:

@@ -9,6 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from dockflow import constants as K
 from dockflow.operators import (
     explore,
     features,
@@ -101,7 +102,7 @@ _register(
     ),
     _six("rolling_7d_avg_departures"),
 )
-_register("dim_date", lambda w: w.dim_date)
+_register("dim_date", lambda w: trends.calendar_rides(w.dim_date, w.banded_rides))
 _register(
     "dim_stations", lambda w: w.dim_stations, _six("avg_imbalance_score_7d", "avg_utilisation_rate_7d")
 )
@@ -243,6 +244,11 @@ _register("crew_plan", lambda w: planning.crew_plan(_rebalancing(w), _scenario(w
 _register("action_statement", lambda w: planning.action_statement(_scenario(w)))
 _register("dispatch_recommendation", lambda w: planning.dispatch_recommendation(_scenario(w), NOW_HOUR))
 _register("forecast_fallback", lambda w: forecast.fallback_forecast(w.stg_stations, w.banded_rides))
+_register(
+    "forecast_fallback_totals",
+    lambda w: forecast.forecast_totals(forecast.fallback_forecast(w.stg_stations, w.banded_rides)),
+    _six("total_24h", "peak_total", "offpeak_total"),
+)
 
 # --- demand features ---
 _register("demand_features", lambda w: features.demand_features(w.banded_rides), _six("rolling_7d_avg"))
@@ -292,8 +298,9 @@ def _csv_roundtrip(w: Warehouse) -> DataFrame:
 
 
 def _load_raw(w: Warehouse) -> DataFrame:
-    path = sinks.load_raw(w.raw_rides, schemas.RIDES, _path(w, "raw-rides"))
-    return w.spark.read.parquet(path)
+    stored = w.spark.read.parquet(sinks.load_raw(w.raw_rides, schemas.RIDES, _path(w, "raw-rides")))
+    received = F.col("_sdc_received_at").isNotNull() & F.col("_sdc_sequence").isNotNull()
+    return stored.select(*schemas.RIDES.fieldNames(), "_sdc_table_version", received.alias("has_receipt"))
 
 
 def _write_fact(w: Warehouse) -> DataFrame:
@@ -330,7 +337,7 @@ _register("load_raw", _load_raw)
 _register("write_fact", _write_fact, FACT_DIGITS)
 _register("write_dims", _write_dims)
 _register("export_dispatch", _export_dispatch)
-_register("fact_schema", lambda w: readers.column_listing(w.fact_rides))
+_register("fact_schema", lambda w: readers.column_listing(_stored(w).fact_rides))
 _register("schema_presence", _schema_presence)
 _register("quality_report", _quality_report)
 
@@ -383,10 +390,14 @@ def _profile(points: DataFrame, spec: segments.SegmentSpec) -> DataFrame:
     return segments.profile(segments.assign(points, _spec(spec)), spec)
 
 
-def _segment_hours(w: Warehouse) -> DataFrame:
-    assigned = segments.assign(_mart_points(w), _spec(segments.MART_SPEC))
-    labelled = segments.label_points(assigned, segments.profile(assigned, segments.MART_SPEC))
-    return segments.hourly_by_segment(labelled)
+def _labelled(points: DataFrame, spec: segments.SegmentSpec) -> DataFrame:
+    assigned = segments.assign(points, _spec(spec))
+    return segments.label_points(assigned, segments.profile(assigned, spec))
+
+
+def _segment_durations(w: Warehouse) -> DataFrame:
+    labelled = _labelled(_rider_points(w), segments.RIDER_SPEC)
+    return segments.durations_by_segment(labelled, K.SEGMENTS_4)
 
 
 _register("train_compare", _train_compare)
@@ -396,4 +407,13 @@ _register("forecast_totals", lambda w: forecast.forecast_totals(_forecast(w)))
 _register("kmeans_scan", lambda w: segments.scan_k(_rider_points(w), _spec(segments.RIDER_SPEC, 1)))
 _register("segment_profile_k4", lambda w: _profile(_rider_points(w), segments.RIDER_SPEC))
 _register("segment_profile_k3", lambda w: _profile(_mart_points(w), segments.MART_SPEC))
-_register("segment_hours_k3", _segment_hours)
+_register(
+    "segment_hours_k3", lambda w: segments.hourly_by_segment(_labelled(_mart_points(w), segments.MART_SPEC))
+)
+_register("segment_durations_k4", _segment_durations)
+_register(
+    "segment_weekend_k4",
+    lambda w: segments.weekend_share_by_segment(_labelled(_rider_points(w), segments.RIDER_SPEC)),
+)
+_register("segment_points_k4", _rider_points, _six("duration_minutes"))
+_register("segment_points_k3", _mart_points)

@@ -310,7 +310,11 @@ oracle(
     """SELECT hire_date, station_id, total_departures,
        round(rolling_7d_avg_departures, 6) AS rolling_7d_avg_departures FROM station_rolling""",
 )
-oracle("dim_date", "SELECT * FROM dim_date")
+CTES["day_counts"] = "SELECT hire_date, count(*) AS rides FROM stg_rides GROUP BY 1"
+oracle(
+    "dim_date",
+    "SELECT d.*, coalesce(c.rides, 0) AS rides FROM dim_date d LEFT JOIN day_counts c ON d.full_date = c.hire_date",
+)
 oracle(
     "dim_stations",
     """SELECT * REPLACE (round(avg_imbalance_score_7d, 6) AS avg_imbalance_score_7d,
@@ -591,6 +595,23 @@ oracle(
 )
 
 
+oracle(
+    "segment_points_k4",
+    """SELECT round(duration_minutes, 6) AS duration_minutes, CAST(is_weekend AS DOUBLE) AS is_weekend,
+       CAST(peak_hour_flag AS DOUBLE) AS peak_hour_flag,
+       CAST(start_hour IN (7, 8, 9, 17, 18, 19) AS DOUBLE) AS is_commuter_hour,
+       CAST(start_hour IN (10, 11, 12, 13, 14, 15, 16) AS DOUBLE) AS is_leisure_hour,
+       CAST(start_hour IN (20, 21, 22, 23, 0, 1, 2) AS DOUBLE) AS is_night, count(*) AS n_rides
+FROM explored GROUP BY ALL""",
+)
+oracle(
+    "segment_points_k3",
+    f"""SELECT duration_minutes, CAST(start_hour AS DOUBLE) AS start_hour, CAST(is_weekend AS DOUBLE) AS is_weekend,
+       CAST(peak_hour_flag AS DOUBLE) AS peak_hour_flag, count(*) AS n_rides
+FROM fact WHERE {D} AND duration_minutes BETWEEN 1 AND 120 GROUP BY ALL""",
+)
+
+
 # --- data quality ---
 def _check(point: str, check_id: str, name: str, value: str, rule: str = "= 0",
            threshold: str = "NULL", severity: str = "error") -> str:
@@ -890,6 +911,15 @@ oracle(
        round_even(p + p * 0.25e0, 1) AS upper_ci, hour IN (7, 8, 17, 18) AS is_peak FROM fallback""",
 )
 
+oracle(
+    "forecast_fallback_totals",
+    """SELECT station_id, round(sum(f), 6) AS total_24h,
+       round(sum(CASE WHEN hour IN (7, 8, 17, 18) THEN f ELSE 0 END), 6) AS peak_total,
+       round(sum(CASE WHEN hour IN (7, 8, 17, 18) THEN 0 ELSE f END), 6) AS offpeak_total,
+       min(CASE WHEN hour IN (7, 8, 17, 18) THEN hour END) AS next_peak_hour
+FROM (SELECT station_id, hour, round_even(p, 1) AS f FROM fallback) GROUP BY 1""",
+)
+
 # --- demand features ---
 oracle(
     "demand_features",
@@ -931,6 +961,7 @@ FROM cycle_hire WHERE end_station_id IS NULL""",
 
 # --- sinks that must give back what was written ---
 oracle("csv_roundtrip", "SELECT * FROM cycle_hire")
+oracle("load_raw", "SELECT *, CAST(1 AS BIGINT) AS _sdc_table_version, TRUE AS has_receipt FROM cycle_hire")
 oracle("write_fact", "SELECT * FROM fact_rounded")
 oracle(
     "write_dims",
@@ -944,6 +975,43 @@ oracle(
 FROM rebalancing WHERE {_PICKED}""",
 )
 oracle("stream_incremental", "SELECT * FROM cycle_hire")
+
+
+def _presence(table: str, columns: str) -> list[str]:
+    return [
+        f"SELECT '{table}' AS table_name, '{c}' AS column_name, TRUE AS present, count({c}) AS filled FROM {table}"
+        for c in columns.split()
+    ]
+
+
+oracle(
+    "schema_presence",
+    "\nUNION ALL ".join(
+        _presence(
+            "cycle_hire",
+            "rental_id bike_id duration start_date start_station_id start_station_name end_date "
+            "end_station_id end_station_name",
+        )
+        + _presence("cycle_stations", "id name latitude longitude docks_count terminal_name")
+    ),
+)
+_FACT_TYPES = """ride_sk string, rental_id bigint, bike_id bigint, hire_date date, start_datetime timestamp,
+end_datetime timestamp, start_hour bigint, day_of_week bigint, is_weekend boolean, time_period string,
+peak_hour_flag bigint, duration_seconds bigint, duration_minutes double, duration_band string,
+start_station_id bigint, start_station_name string, start_zone string, start_nb_docks bigint,
+start_capacity_tier string, start_lat double, start_lon double, end_station_id bigint,
+end_station_name string, end_zone string, end_nb_docks bigint, end_capacity_tier string, end_lat double,
+end_lon double, is_round_trip boolean, start_station_imbalance_score double,
+start_station_is_imbalanced boolean, start_station_imbalance_direction string,
+start_station_net_flow bigint, start_station_utilisation_rate double, start_station_rolling_7d_avg double"""
+oracle(
+    "fact_schema",
+    "\nUNION ALL ".join(
+        f"SELECT '{c}' AS column_name, '{t}' AS data_type, CAST({i} AS INTEGER) AS ordinal_position, "
+        f"count({c}) AS filled FROM fact"
+        for i, (c, t) in enumerate((pair.split() for pair in _FACT_TYPES.split(",")), 1)
+    ),
+)
 oracle(
     "quality_report",
     f"""SELECT checkpoint, status, count(*) AS checks FROM ({ORACLE["quality_post_ingest"]}) GROUP BY 1, 2""",

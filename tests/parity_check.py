@@ -16,7 +16,7 @@ TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages "
     "benchmark labels conversations"
 ).split()
-ARROW_NAMES = {"int64": "bigint", "double": "double", "string": "string", "bool": "boolean",
+ARROW_NAMES = {"int64": "bigint", "int32": "int", "double": "double", "string": "string", "bool": "boolean",
                "date32[day]": "date", "large_string": "string"}
 
 

@@ -10,7 +10,8 @@ EAGER = {
     "train_compare", "feature_importance", "forecast_all", "forecast_totals", "kmeans_scan",
     "segment_profile_k4", "segment_profile_k3", "segment_hours_k3", "csv_roundtrip", "load_raw",
     "write_fact", "write_dims", "export_dispatch", "quality_report", "stream_incremental",
-    "recent_rides", "quality_post_transform", "schema_tests_marts",
+    "recent_rides", "quality_post_transform", "schema_tests_marts", "segment_durations_k4",
+    "segment_weekend_k4",
 }
 LAZY = sorted(set(QUERIES) - EAGER)
 

@@ -35,16 +35,18 @@ def test_schema_presence(spark):
     rides = rides_frame(spark, []).drop("bike_id")
     stations = stations_frame(spark, []).withColumnRenamed("docks_count", "nbdocks")
     listed = readers.schema_presence({"cycle_hire": rides, "cycle_stations": stations})
-    assert [tuple(r) for r in listed.filter("NOT present").collect()] == [("cycle_hire", "bike_id", False)]
+    assert [tuple(r) for r in listed.filter("NOT present").collect()] == [("cycle_hire", "bike_id", False, 0)]
     readers.require_columns("cycle_stations", stations)
     with pytest.raises(ValueError, match="bike_id"):
         readers.require_columns("cycle_hire", rides)
 
 
 def test_column_listing_keeps_order(spark):
-    listed = readers.column_listing(rides_frame(spark, [])).collect()
+    table = rides_frame(spark, [ride(1, "2024-01-01 10:00:00", 60, 1, None)])
+    listed = readers.column_listing(table).collect()
     assert [r.column_name for r in listed] == schemas.RIDES.fieldNames()
     assert listed[3].data_type == "timestamp" and listed[3].ordinal_position == 4
+    assert [r.filled for r in listed] == [1, 1, 1, 1, 0, 0, 1, 1, 1]
 
 
 def test_incremental_window_is_open_below_and_closed_above(spark):
