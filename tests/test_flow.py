@@ -13,12 +13,16 @@ from tests.frames import ride, rides_frame, rows, station, stations_frame
 
 @pytest.fixture(scope="module")
 def raw(spark):
-    return testdata.cycle_hire(spark, SMALL).persist()
+    frame = testdata.cycle_hire(spark, SMALL).persist()
+    yield frame
+    frame.unpersist()
 
 
 @pytest.fixture(scope="module")
 def places(spark):
-    return testdata.cycle_stations(spark, SMALL).persist()
+    frame = testdata.cycle_stations(spark, SMALL).persist()
+    yield frame
+    frame.unpersist()
 
 
 @pytest.fixture(scope="module")
