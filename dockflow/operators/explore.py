@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from dockflow import constants as K
 from dockflow.functions import calendar, rides as R
 from dockflow.functions.numeric import percent, ratio
+from dockflow.sources.literals import literal_rows
 
 
 def explored(raw: DataFrame) -> DataFrame:
@@ -84,13 +85,11 @@ def hourly_profile(rides: DataFrame, group: str) -> DataFrame:
 
 def dow_counts(rides: DataFrame) -> DataFrame:
     """Rides per day name in calendar order; a day without rides shows zero."""
-    days = rides.sparkSession.createDataFrame(
-        list(enumerate(K.DAY_NAMES)), "day_order bigint, day_name string"
-    )
+    days = literal_rows(rides.sparkSession, ["day_order", "day_name"], list(enumerate(K.DAY_NAMES)))
     counted = rides.groupBy("day_name").agg(_n().alias("rides"))
     return (
         days.join(counted, "day_name", "left")
-        .select("day_order", "day_name", F.coalesce("rides", F.lit(0)).alias("rides"))
+        .select(F.col("day_order").cast("bigint").alias("day_order"), "day_name", F.coalesce("rides", F.lit(0)).alias("rides"))
         .orderBy("day_order")
     )
 
@@ -168,9 +167,9 @@ def histogram(
     filled = (
         with_range(counted).groupBy(series, bin_of.alias("bin")).agg(F.sum("n").alias("n"))
     )
-    slots = spark.createDataFrame(
-        [(name, i) for name, count in bins.items() for i in range(count)], f"{series} string, bin bigint"
-    )
+    series_bins = literal_rows(spark, [series, "last"], [(k, count - 1) for k, count in bins.items()])
+    first, last = F.lit(0).cast("bigint"), F.col("last").cast("bigint")
+    slots = series_bins.select(series, F.explode(F.sequence(first, last)).alias("bin"))
     n = F.coalesce(F.col("n"), F.lit(0))
     return with_range(slots.join(filled, [series, "bin"], "left")).select(
         series,

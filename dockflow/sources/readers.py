@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from dockflow.sources import schemas
+from dockflow.sources.literals import literal_rows
 
 TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss"
 
@@ -110,9 +111,8 @@ def filled_counts(table: DataFrame) -> DataFrame:
 def column_listing(table: DataFrame) -> DataFrame:
     """Name, type, position and number of values of every column."""
     rows = [(f.name, f.dataType.simpleString(), i) for i, f in enumerate(table.schema, 1)]
-    listed = table.sparkSession.createDataFrame(
-        rows, "column_name string, data_type string, ordinal_position int"
-    )
+    names = ["column_name", "data_type", "ordinal_position"]
+    listed = literal_rows(table.sparkSession, names, rows)
     return listed.join(filled_counts(table), "column_name").orderBy("ordinal_position")
 
 
@@ -122,9 +122,7 @@ def schema_presence(tables: dict[str, DataFrame]) -> DataFrame:
     for name, table in tables.items():
         delivered = rename_aliases(table)
         rows = [(name, c, c in delivered.columns) for c in schemas.EXPECTED_COLUMNS[name]]
-        expected = table.sparkSession.createDataFrame(
-            rows, "table_name string, column_name string, present boolean"
-        )
+        expected = literal_rows(table.sparkSession, ["table_name", "column_name", "present"], rows)
         parts.append(expected.join(filled_counts(delivered), "column_name", "left"))
     out = reduce(DataFrame.union, parts)
     return out.select("table_name", "column_name", "present", F.coalesce("filled", F.lit(0)).alias("filled"))

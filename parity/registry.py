@@ -36,7 +36,7 @@ MIN_RIDES_REBALANCING, MIN_RIDES_SCENARIO, MIN_RIDES_HOTSPOT = 20, 10, 50
 INCREMENT_AFTER, INCREMENT_UNTIL = "2024-01-15 00:00:00", "2024-01-22 12:00:00"
 DEV_LIMIT = 1000
 NOW_HOUR = 5
-POINT = (51.508, -0.195)
+POINT = (51.50302, 0.02699)
 SMALL_MODELS = models.TrainSettings(forest_trees=10, boost_rounds=10)
 STARTS = 2
 
@@ -223,6 +223,14 @@ def _mart_tests(w: Warehouse) -> DataFrame:
 _register("schema_tests_staging", _staging_tests)
 _register("schema_tests_marts", _mart_tests)
 _register("assert_ride_duration", lambda w: schema_tests.rides_ending_before_start(w.banded_rides))
+
+
+def _raw_as_typed(w: Warehouse) -> DataFrame:
+    names = {"start_date": "start_datetime", "end_date": "end_datetime", "duration": "duration_seconds"}
+    return w.raw_rides.withColumnsRenamed(names)
+
+
+_register("assert_raw_duration", lambda w: schema_tests.rides_ending_before_start(_raw_as_typed(w)))
 _register(
     "fk_orphans",
     lambda w: quality.orphan_keys(w.banded_rides, "start_station_id", w.stg_stations, "station_id"),

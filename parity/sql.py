@@ -812,6 +812,11 @@ oracle(
     """SELECT rental_id, start_datetime, end_datetime, duration_seconds FROM fact
 WHERE end_datetime <= start_datetime OR duration_seconds <= 0""",
 )
+oracle(
+    "assert_raw_duration",
+    """SELECT rental_id, start_date AS start_datetime, end_date AS end_datetime, duration AS duration_seconds
+FROM cycle_hire WHERE end_date <= start_date OR duration <= 0""",
+)
 oracle(
     "fk_orphans",
     """SELECT start_station_id AS "key", count(*) AS "rows" FROM fact f
@@ -829,7 +834,7 @@ FROM scenario WHERE {_PICKED}""",
 oracle("danger_zone", "SELECT * FROM danger")
 oracle(
     "station_at_point",
-    f"SELECT * FROM scenario WHERE round(lat, 4) = {Q.POINT[0]} AND round(lon, 4) = {Q.POINT[1]}",
+    f"SELECT * FROM scenario WHERE round(lat, 4) = round({Q.POINT[0]}e0, 4) AND round(lon, 4) = round({Q.POINT[1]}e0, 4)",
 )
 CTES["markers"] = """
 SELECT station_id AS id, station_name AS name, zone, latitude, longitude, nb_docks AS nbdocks,
