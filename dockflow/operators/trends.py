@@ -112,19 +112,23 @@ def bounded_sample(
 ) -> DataFrame:
     """At most ``limit`` rows: those whose key has the smallest md5, the same on every run.
 
-    The digest is uniform, so all but about ``limit`` rows are dropped where they are read: the
-    bound lies six standard deviations above the wanted share. Only the rest is ranked.
+    The digest of distinct keys is uniform, so a bound six standard deviations above the wanted share
+    drops all but about ``limit`` rows where they are read, and only the rest is ranked. Should a
+    repeated key leave fewer than ``limit`` rows below the bound, all rows are ranked.
     ``population`` may name a cheaper frame to count than ``rows``.
     """
     digest = F.md5(F.col(key).cast("string"))
+    prefix = F.substring(digest, 1, 12)
     wanted = limit + 6.0 * limit**0.5 + 50.0
     share = F.lit(wanted * 2.0**48) / F.count(F.lit(1))
     # Twelve hex digits of the digest against the same digits of the share; "g" lets all pass.
-    bound = F.when(share >= 2.0**48, "g").otherwise(
+    share_text = F.when(share >= 2.0**48, "g").otherwise(
         F.lower(F.lpad(F.hex(F.floor(share).cast("bigint")), 12, "0"))
     )
     counted = rows if population is None else population
-    near = rows.filter(F.substring(digest, 1, 12) <= counted.agg(bound.alias("b")).scalar())
+    bound = counted.agg(share_text.alias("bound")).scalar()
+    below = counted.filter(prefix <= bound).agg((F.count(F.lit(1)) >= limit).alias("enough"))
+    near = rows.filter((prefix <= bound) | ~below.scalar())
     return near.orderBy(digest, key).limit(limit)
 
 

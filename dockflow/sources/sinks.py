@@ -2,6 +2,7 @@
 
 import tempfile
 import uuid
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,6 +11,11 @@ from pyspark.sql import types as T
 FACT_ORDER = ["hire_date", "start_station_id", "end_station_id"]
 
 
+@lru_cache
+def _local_folder(application_id: str) -> str:
+    return tempfile.mkdtemp(prefix="dockflow-")
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
@@ -20,9 +26,7 @@ def shared_folder(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="dockflow-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return _local_folder(spark.sparkContext.applicationId)
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:

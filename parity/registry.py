@@ -242,6 +242,11 @@ _register("danger_zone", lambda w: planning.danger_zone(_scenario(w)))
 _register("station_at_point", lambda w: planning.station_at_point(_scenario(w), *POINT))
 STATION_MAP_DIGITS = _six("imb_score", "radius")
 _register("station_map", lambda w: planning.station_map(w.dim_stations), STATION_MAP_DIGITS)
+_register(
+    "station_map_filtered",
+    lambda w: planning.filter_map(planning.station_map(w.dim_stations), planning.URGENT, ["draining", "filling"]),
+    STATION_MAP_DIGITS,
+)
 _register("map_summary", lambda w: planning.map_summary(planning.station_map(w.dim_stations)))
 _register(
     "map_centre",

@@ -862,6 +862,10 @@ oracle(
        {_colour(34, 234, 249, 239)} AS red, {_colour(197, 179, 115, 68)} AS green,
        {_colour(94, 8, 22, 68)} AS blue, round(least(imb_score * 200 + 60, 300e0), 6) AS radius FROM markers""",
 )
+oracle(
+    "station_map_filtered",
+    ORACLE["station_map"] + " WHERE priority IN ('CRITICAL', 'HIGH') AND imb_direction IN ('draining', 'filling')",
+)
 oracle(
     "map_summary",
     """SELECT count(*) AS stations, count(*) FILTER (WHERE priority = 'CRITICAL') AS critical,

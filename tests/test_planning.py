@@ -96,6 +96,14 @@ def test_bounded_sample_is_exact_and_repeatable(spark):
     assert trends.bounded_sample(frame, "rental_id", 50_000).count() == 40_000
 
 
+def test_bounded_sample_survives_a_key_that_holds_most_rows(spark):
+    # The repeated key sorts last by digest: the bound alone would leave too few rows.
+    frame = spark.range(0, 30_000, 1, 4).withColumnRenamed("id", "rental_id")
+    last = frame.orderBy(F.md5(F.col("rental_id").cast("string")).desc()).first()[0]
+    hot = frame.union(spark.range(0, 60_000, 1, 4).select(F.lit(last).alias("rental_id")))
+    assert trends.bounded_sample(hot, "rental_id", 900).count() == 900
+
+
 def test_fallback_forecast_covers_every_station_and_hour(spark):
     w = Warehouse(testdata.cycle_hire(spark, MEDIUM), testdata.cycle_stations(spark, MEDIUM))
     hours = forecast.fallback_forecast(w.stg_stations, w.banded_rides)

@@ -1,5 +1,6 @@
 from datetime import datetime
 from pathlib import Path
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
@@ -105,6 +106,16 @@ def test_shared_folder_is_the_one_the_session_names(spark):
     assert sinks.fresh_path(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
 
 
+def test_only_a_local_session_may_use_a_folder_of_this_machine():
+    def session(master):
+        context = SimpleNamespace(master=master, applicationId="app-1")
+        return SimpleNamespace(conf={}, sparkContext=context)
+
+    assert sinks.shared_folder(session("local[2]")) == sinks.shared_folder(session("local[2]"))
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        sinks.shared_folder(session("yarn"))
+
+
 def test_stored_fact_is_complete_and_pruned_by_day(spark, tmp_path):
     w = Warehouse(testdata.cycle_hire(spark, SMALL), testdata.cycle_stations(spark, SMALL))
     path = sinks.write_fact(w.fact_rides, str(tmp_path / "fact"))
