@@ -89,7 +89,11 @@ def dow_counts(rides: DataFrame) -> DataFrame:
     counted = rides.groupBy("day_name").agg(_n().alias("rides"))
     return (
         days.join(counted, "day_name", "left")
-        .select(F.col("day_order").cast("bigint").alias("day_order"), "day_name", F.coalesce("rides", F.lit(0)).alias("rides"))
+        .select(
+            F.col("day_order").cast("bigint").alias("day_order"),
+            "day_name",
+            F.coalesce("rides", F.lit(0)).alias("rides"),
+        )
         .orderBy("day_order")
     )
 
@@ -142,8 +146,8 @@ def histogram(
 ) -> DataFrame:
     """Equal-width histogram per series between its minimum and maximum, the last bin closed.
 
-    ``bins`` gives the number of bins of every series; a row counts once or ``weight`` times. Distinct values are counted first, so ride
-    rows are read once. Empty bins are kept with a zero count.
+    ``bins`` gives the number of bins of every series; a row counts once, or ``weight`` times.
+    Distinct values are counted first, so the rows are read once. Empty bins are kept.
     """
     spark = values.sparkSession
     size = _n() if weight is None else F.sum(weight)
@@ -164,9 +168,7 @@ def histogram(
 
     position = F.floor(F.try_divide(F.col(value) - F.col("r.low"), F.col("width")))
     bin_of = F.least(F.coalesce(position, F.lit(0)), F.col("bins") - F.lit(1)).cast("bigint")
-    filled = (
-        with_range(counted).groupBy(series, bin_of.alias("bin")).agg(F.sum("n").alias("n"))
-    )
+    filled = with_range(counted).groupBy(series, bin_of.alias("bin")).agg(F.sum("n").alias("n"))
     series_bins = literal_rows(spark, [series, "last"], [(k, count - 1) for k, count in bins.items()])
     first, last = F.lit(0).cast("bigint"), F.col("last").cast("bigint")
     slots = series_bins.select(series, F.explode(F.sequence(first, last)).alias("bin"))

@@ -42,14 +42,17 @@ class Check:
 
 
 def _as_results(values: DataFrame, checkpoint: str, checks: list[Check]) -> DataFrame:
-    """Turn one row with a column per check id into one row per check."""
+    """Turn one row with a column per check id into one row per check.
+
+    A warning lowers a failure to WARN, but a value that could not be computed always fails.
+    """
     rows = []
     for c in checks:
         bad = "FAIL" if c.severity == ERROR else "WARN"
         limit = "NULL" if c.threshold is None else c.threshold
         rows.append(
             f"'{checkpoint}', '{c.check_id}', '{c.name}', "
-            f"CASE WHEN {c.passes()} THEN 'PASS' ELSE '{bad}' END, "
+            f"CASE WHEN {c.check_id} IS NULL THEN 'FAIL' WHEN {c.passes()} THEN 'PASS' ELSE '{bad}' END, "
             f"CAST({c.check_id} AS DOUBLE), CAST({limit} AS DOUBLE), '{c.severity}'"
         )
     names = ", ".join(f"`{c}`" for c in RESULT_COLUMNS)
@@ -57,7 +60,7 @@ def _as_results(values: DataFrame, checkpoint: str, checks: list[Check]) -> Data
 
 
 def run_checks(table: DataFrame, checkpoint: str, checks: list[Check]) -> DataFrame:
-    """All checks of a table in one pass. A check on a column that is not there fails."""
+    """All checks of a table in one pass. A check on a column that is not there has no value."""
     present = set(table.columns)
     values = [
         F.expr(c.value if set(c.reads) <= present else "max(CAST(NULL AS BIGINT))").alias(c.check_id)

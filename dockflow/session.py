@@ -16,6 +16,23 @@ SETTINGS = {
 }
 
 
+MB = 1024 * 1024
+
+
+def sized_for(input_bytes: int, task_bytes: int = 256 * MB) -> dict[str, str]:
+    """Settings that keep a task near ``task_bytes`` for a job that reads ``input_bytes``.
+
+    Shuffles start with enough partitions for the whole input; adaptive execution merges those that
+    turn out small, which after the counting aggregations is nearly all of them.
+    """
+    partitions = max(200, min(100_000, -(-input_bytes // task_bytes)))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(task_bytes),
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(task_bytes),
+    }
+
+
 def build_session(
     app_name: str = "dockflow", master: str | None = None, extra: dict[str, str] | None = None
 ) -> SparkSession:

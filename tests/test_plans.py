@@ -2,6 +2,7 @@
 
 import pytest
 
+from dockflow.session import MB, sized_for
 from parity.registry import QUERIES
 from tests.conftest import SMALL
 
@@ -63,3 +64,11 @@ def test_fact_with_a_small_daily_table_shuffles_no_rides(spark):
 def test_top_k_needs_no_global_sort(spark):
     for name in ("top_stations", "station_volume_top20", "top_imbalanced"):
         assert "TakeOrderedAndProject" in plan(spark, name)
+
+
+def test_task_sizes_follow_the_input():
+    assert sized_for(10 * MB)["spark.sql.shuffle.partitions"] == "200"
+    terabytes = sized_for(2 * 1024**4)
+    assert int(terabytes["spark.sql.shuffle.partitions"]) == 8192
+    assert terabytes["spark.sql.adaptive.advisoryPartitionSizeInBytes"] == str(256 * MB)
+    assert sized_for(100 * 1024**4)["spark.sql.shuffle.partitions"] == "100000"

@@ -79,7 +79,13 @@ def test_missing_column_fails_its_checks_only(spark):
     rides = rides_frame(spark, GOOD_RIDES).drop("duration")
     got = statuses(quality.post_ingest(rides, stations_frame(spark, GOOD_STATIONS), 1))
     assert {c for c, s in got.items() if s != "PASS"} == {"Q05", "Q06"}
-    assert (got["Q05"], got["Q06"]) == ("FAIL", "WARN")
+    assert (got["Q05"], got["Q06"]) == ("FAIL", "FAIL")
+
+
+def test_null_rate_of_an_empty_fact_fails(spark):
+    w = Warehouse(rides_frame(spark, []), stations_frame(spark, GOOD_STATIONS))
+    got = statuses(quality.post_transform(w.fact_rides, w.dim_stations, w.dim_date, 1))
+    assert {c for c, s in got.items() if s != "PASS"} == {"Q24", "Q27"} and got["Q24"] == "FAIL"
 
 
 def test_file_checks_treat_unknown_as_broken(spark):

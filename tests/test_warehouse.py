@@ -1,5 +1,6 @@
 """Warehouse tables on hand-made rides and on the given tables."""
 
+import random
 from datetime import date
 
 import pytest
@@ -118,7 +119,25 @@ def test_two_names_multiply_rides(spark):
     assert status["Q18"] == "FAIL"
 
 
-@pytest.mark.parametrize("rides", [RIDES, TWO_NAMES], ids=["plain", "two names"])
+def random_rides(n, seed=5):
+    """Few stations, days and names, so that every kind of collision occurs."""
+    pick = random.Random(seed)
+    return [
+        ride(
+            i,
+            f"2024-01-{pick.randint(1, 4):02d} {pick.randint(0, 23):02d}:00:00",
+            pick.choice([30, 60, 700, 4000]),
+            pick.choice([None, 1, 1, 1, 2, 9]),
+            pick.choice([None, 1, 2, 3, 9]),
+            name=pick.choice([None, "A", "B"]),
+        )
+        for i in range(n)
+    ]
+
+
+@pytest.mark.parametrize(
+    "rides", [RIDES, TWO_NAMES, random_rides(300)], ids=["plain", "two names", "random"]
+)
 def test_counted_rides_equal_the_grouped_fact(spark, rides):
     w = build(spark, rides, STATIONS)
     grouped = enrich.station_day_rides_of_fact(w.fact_rides)
