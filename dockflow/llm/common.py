@@ -1,7 +1,9 @@
 """Helpers shared by the operators: where intermediate tables go, and the connected components of links."""
 
+import os
 import uuid
 from collections.abc import Iterable
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -47,7 +49,16 @@ def release(spark: SparkSession) -> None:
     delete_path(spark, shared_folder(spark))
 
 
+def importable(spark: SparkSession) -> None:
+    """Let Python workers import this library from where it lies; a cluster without that folder takes --py-files."""
+    environment, root = spark.sparkContext.environment, str(Path(__file__).resolve().parents[2])
+    paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([root, *paths])
+
+
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    importable(spark)
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 

@@ -83,8 +83,13 @@ def flight(probabilities: list[float], sizes: list[int], random: Random) -> list
     return result
 
 
-def landing(probabilities: list[float], sizes: list[int], random: Random) -> list[float]:
-    """What the flight left becomes 0 or 1: words balance between two, then chance with the probability left."""
+def landing(probabilities: list[float], sizes: list[int], before: list[float], random: Random) -> list[float]:
+    """What the flight left becomes 0 or 1, then the words that this adds or takes are set right.
+
+    Two documents first keep their words in balance, then chance decides with the probability left. A source's last
+    document may be very long; so, as long as it brings the words nearer to ``before``, the document that fits the
+    difference best changes sides.
+    """
     result = list(probabilities)
     held = [i for i, p in enumerate(result) if SETTLED < p < 1 - SETTLED]
     if len(held) == 2 and sizes[held[0]] and sizes[held[1]]:
@@ -98,7 +103,15 @@ def landing(probabilities: list[float], sizes: list[int], random: Random) -> lis
     for k in held:
         if 0 < result[k] < 1:
             result[k] = float(random.random() < result[k])
-    return result
+    free = [i for i, p in enumerate(before) if SETTLED < p < 1 - SETTLED and sizes[i]]
+    over = sum((result[i] - before[i]) * sizes[i] for i in free)
+    while True:
+        sides = [i for i in free if result[i] == (over > 0)]
+        best = min(sides, key=lambda i: (abs(abs(over) - sizes[i]), i), default=None)
+        if best is None or abs(abs(over) - sizes[best]) >= abs(over):
+            return result
+        over -= sizes[best] if result[best] else -sizes[best]
+        result[best] = 1.0 - result[best]
 
 
 def _seeded(*parts: object) -> Random:
@@ -113,7 +126,7 @@ def _fly(level: int, seed: int, last: bool):
         sizes = [r[1] for r in rows]
         result = flight([r[2] for r in rows], sizes, random)
         if last:
-            result = landing(result, sizes, random)
+            result = landing(result, sizes, [r[2] for r in rows], random)
         return pa.RecordBatch.from_arrays(
             [pa.array([r[0] for r in rows], pa.int64()), pa.array(result, pa.float64())], ["at", "p"]
         )

@@ -5,16 +5,31 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from dockflow.llm.common import read_table
+from dockflow.llm.credentials import secret_scan
+from dockflow.llm.licenses import license_scan
 from dockflow.llm.mixing import mixed
+from dockflow.llm.personal import personal_data
 from dockflow.llm.simhash import near_duplicates
 from dockflow.llm.tokens import encoded
 
 
+def op3_licenses(spark: SparkSession, folder: str) -> DataFrame:
+    return license_scan(read_table(spark, folder, "documents"))
+
+
 def op4_simhash(spark: SparkSession, folder: str) -> DataFrame:
     found = near_duplicates(read_table(spark, folder, "documents"), words=3, radius=2)
     return found.select("doc_id", "fingerprint", "component_id")
 
 
+def op6_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    return secret_scan(read_table(spark, folder, "documents"))
+
+
+def op7_personal(spark: SparkSession, folder: str) -> DataFrame:
+    return personal_data(read_table(spark, folder, "documents"))
+
+
 def op8_token_ids(spark: SparkSession, folder: str) -> DataFrame:
     found = encoded(read_table(spark, folder, "documents"), vocabulary="word_bpe_49k.json", end_id=2)
     return found.select("doc_id", "start", "n_tokens", "ids_crc32", "shard", "first_frame")
@@ -26,7 +41,10 @@ def op9_mixing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_licenses": op3_licenses,
     "op4_simhash": op4_simhash,
+    "op6_secrets": op6_secrets,
+    "op7_personal": op7_personal,
     "op8_token_ids": op8_token_ids,
     "op9_mixing": op9_mixing,
 }
