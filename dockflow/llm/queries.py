@@ -3,16 +3,23 @@
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from dockflow.llm import conversations
 from dockflow.llm.common import read_table
 from dockflow.llm.credentials import secret_scan
 from dockflow.llm.licenses import license_scan
 from dockflow.llm.mixing import mixed
+from dockflow.llm.neighbours import nearest
 from dockflow.llm.personal import personal_data
 from dockflow.llm.simhash import near_duplicates
 from dockflow.llm.tokens import encoded
 
 
+def op2_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    return nearest(read_table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
 def op3_licenses(spark: SparkSession, folder: str) -> DataFrame:
     return license_scan(read_table(spark, folder, "documents"))
 
@@ -40,13 +47,19 @@ def op9_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "size", "source_size", "target", "taken", "copies")
 
 
+def op10_chat(spark: SparkSession, folder: str) -> DataFrame:
+    return conversations.chat_format(read_table(spark, folder, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_neighbours": op2_neighbours,
     "op3_licenses": op3_licenses,
     "op4_simhash": op4_simhash,
     "op6_secrets": op6_secrets,
     "op7_personal": op7_personal,
     "op8_token_ids": op8_token_ids,
     "op9_mixing": op9_mixing,
+    "op10_chat": op10_chat,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op10_chat": conversations.ORACLE}
