@@ -12,6 +12,7 @@ import zlib
 from bisect import bisect_left, bisect_right
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
+from functools import lru_cache
 
 import numpy as np
 import public_tokenizers
@@ -51,7 +52,10 @@ class WordEncoder(dict):
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
-        self.kind = f"<u{width}"
+        self.code = {2: "H", 4: "I"}[width]
+
+    def packed(self, ids: list[int]) -> bytes:
+        return struct.pack(f"<{len(ids)}{self.code}", *ids)
 
     def __missing__(self, word: bytes) -> bytes:
         bare = word.rstrip(b".,")
@@ -62,10 +66,9 @@ class WordEncoder(dict):
             if lower != word:
                 found = self[lower]
             else:
-                found = np.array([t.id for t in self.model.tokenize(word.decode())], dtype=self.kind).tobytes()
+                found = self.packed([t.id for t in self.model.tokenize(word.decode())])
         else:
-            ids = self.tokenizer.encode(word.decode(), add_special_tokens=False).ids
-            found = np.array(ids, dtype=self.kind).tobytes()
+            found = self.packed(self.tokenizer.encode(word.decode(), add_special_tokens=False).ids)
         if len(self) >= MEMO_WORDS:
             self.clear()
         self[word] = found
@@ -75,6 +78,12 @@ class WordEncoder(dict):
         return b"".join(map(self.__getitem__, (text or b"").split()))  # bytes: ASCII white space
 
 
+@lru_cache(maxsize=2)
+def encoder_of(vocabulary: str) -> WordEncoder:
+    """One encoder a worker process, so that later tasks find the words of earlier ones."""
+    return WordEncoder(vocabulary if "/" in vocabulary else public_tokenizers.path(vocabulary))
+
+
 @dataclass
 class ShardWriter:
     """Writes documents in the order they come; memory holds one frame and the index."""
@@ -193,8 +202,8 @@ def write_shards(
     rows = docs.select(F.col("doc_id").cast("bigint"), "text", F.monotonically_increasing_id().alias("row"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = WordEncoder(vocabulary if "/" in vocabulary else public_tokenizers.path(vocabulary))
-        end = np.array([end_id], dtype=encoder.kind).tobytes()
+        encoder = encoder_of(vocabulary)
+        end = encoder.packed([end_id])
         task = TaskContext.get()
         name = f"{folder}/shard-{task.partitionId():06d}.tok.zst"
         system, local = filesystem(name)
@@ -249,7 +258,7 @@ def read_shards(manifest: DataFrame) -> DataFrame:
                 ]
                 yield pa.RecordBatch.from_arrays(columns, schema=READ_ARROW)
 
-    spread = placed.repartition(F.col("shard"))
+    spread = placed.repartition(max(1, manifest.count()), "shard")  # a task per shard, whatever its row's size
     return spread.mapInArrow(run, READ)
 
 
