@@ -26,7 +26,7 @@ def stored(frame: DataFrame, name: str) -> DataFrame:
     """The frame written as a table in the shared folder and read again: lineage ends here, and it is computed once."""
     spark = frame.sparkSession
     path = fresh_path(spark, name)
-    frame.write.parquet(path)
+    frame.write.option("compression", "zstd").parquet(path)
     table = spark.read.schema(frame.schema).parquet(path)
     table.stored_at = path  # for discard()
     return table
@@ -67,6 +67,12 @@ def lower_ascii(text: Column) -> Column:
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
+def row_digest(table: DataFrame) -> Column:
+    """A hash of all columns of a row (Spark hashes no maps, so those do not count)."""
+    kinds = (f for f in table.schema if "map<" not in f.dataType.simpleString())
+    return F.xxhash64(*[table[f.name] for f in kinds])
+
+
 def connected_components(links: DataFrame, max_rounds: int = 60) -> DataFrame:
     """(node, root) for every node of the undirected links (a, b); root is the smallest node of its component.
 

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dockflow.llm.common import stored
+from dockflow.llm.common import row_digest, stored
 
 WEIGHTS = (5.0, 2.0, 1.0)
 WORD = r"[^\x20\x09-\x0D]+"
@@ -202,7 +202,7 @@ def mixed(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: float = 3
         F.col("doc_id").cast("bigint"),
         F.col("source").cast("string"),
         F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("bigint").alias("size"),
-        F.xxhash64("text", "source").alias("digest"),
+        row_digest(docs).alias("digest"),
         F.monotonically_increasing_id().alias("row"),
     )
     sized = stored(sized, "sizes")
@@ -225,3 +225,14 @@ def mixed(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: float = 3
         "digest",
         "row",
     )
+
+
+def mixed_documents(docs: DataFrame, **how) -> DataFrame:
+    """The documents of the mix, all columns as they are: each row as often as the mix takes it, so maybe not at all."""
+    copies = mixed(docs, **how).groupBy(F.col("doc_id").alias("_id"), F.col("digest").alias("_digest"))
+    copies = copies.agg(F.sum("copies").alias("_copies")).where("_copies > 0")
+    marked = docs.withColumns({"_doc": F.col("doc_id").cast("bigint"), "_row": row_digest(docs)})
+    same = F.col("_doc").eqNullSafe(F.col("_id")) & (F.col("_row") == F.col("_digest"))
+    # Rows that are equal in all columns have one key, and the copies of all of them.
+    taken = marked.join(copies, same).dropDuplicates(["_doc", "_row"])
+    return taken.select(*docs.columns, F.explode(F.sequence(F.lit(1), "_copies")).alias("_copy")).drop("_copy")

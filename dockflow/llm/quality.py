@@ -198,5 +198,6 @@ def graded_documents(docs: DataFrame, labels: DataFrame, threshold: float = 0.5,
 
 
 def select_quality(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, **how) -> DataFrame:
-    """The rows of graded_documents that are kept."""
-    return graded_documents(docs, labels, threshold, **how).where("keep")
+    """The documents whose p_good is at least ``threshold``, all columns as they are; all, if no document is rated."""
+    model = train(docs, labels, **how)
+    return docs if model is None else docs.where(tail_probabilities(model, F.col("text"))["p_good"] >= threshold)

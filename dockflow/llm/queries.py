@@ -7,15 +7,22 @@ from pyspark.sql import functions as F
 
 from dockflow.llm import conversations
 from dockflow.llm.common import read_table
+from dockflow.llm.contamination import leaks
 from dockflow.llm.credentials import secret_scan
 from dockflow.llm.licenses import license_scan
 from dockflow.llm.mixing import mixed
 from dockflow.llm.neighbours import nearest
 from dockflow.llm.personal import personal_data
+from dockflow.llm.quality import graded_documents
 from dockflow.llm.simhash import near_duplicates
 from dockflow.llm.tokens import encoded
 
 
+def op1_leaks(spark: SparkSession, folder: str) -> DataFrame:
+    found = leaks(read_table(spark, folder, "documents"), read_table(spark, folder, "benchmark"))
+    return found.select("doc_id", "item_id", "cosine", "lcs", "answer", "first_word", "last_word")
+
+
 def op2_neighbours(spark: SparkSession, folder: str) -> DataFrame:
     return nearest(read_table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
 
@@ -29,6 +36,12 @@ def op4_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "fingerprint", "component_id")
 
 
+def op5_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """The documents that the classifier selects, with their grades."""
+    found = graded_documents(read_table(spark, folder, "documents"), read_table(spark, folder, "labels"))
+    return found.where("keep").select("doc_id", "expected_grade", "p_fair", "p_good", "keep")
+
+
 def op6_secrets(spark: SparkSession, folder: str) -> DataFrame:
     return secret_scan(read_table(spark, folder, "documents"))
 
@@ -52,9 +65,11 @@ def op10_chat(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_leaks": op1_leaks,
     "op2_neighbours": op2_neighbours,
     "op3_licenses": op3_licenses,
     "op4_simhash": op4_simhash,
+    "op5_quality": op5_quality,
     "op6_secrets": op6_secrets,
     "op7_personal": op7_personal,
     "op8_token_ids": op8_token_ids,
