@@ -67,6 +67,17 @@ def lower_ascii(text: Column) -> Column:
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
+def unused(table: DataFrame, *names: str) -> list[str]:
+    """The names, lengthened until no column of the table has them."""
+    taken = {c.lower() for c in table.columns}
+    made = []
+    for name in names:
+        while name in taken:
+            name += "_"
+        made.append(name)
+    return made
+
+
 def row_digest(table: DataFrame) -> Column:
     """A hash of all columns of a row (Spark hashes no maps, so those do not count)."""
     kinds = (f for f in table.schema if "map<" not in f.dataType.simpleString())

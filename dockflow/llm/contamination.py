@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dockflow.llm.common import discard, stored
+from dockflow.llm.common import stored, unused
 from dockflow.llm.licenses import TABLE
 
 WINDOW, STRIDE = 32, 16  # words; a window is two strides
@@ -349,6 +349,7 @@ def _rarest(text: list[int], weights: np.ndarray) -> set[int]:
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame, **how) -> DataFrame:
     """The documents without leaks, all columns as they are; a document that holds an item goes, with all its copies."""
-    found = stored(leaks(docs, benchmark, **how).select(F.col("doc_id").alias("_id"), F.col("digest").alias("_digest")).distinct(), "leaks")
-    same = F.col("doc_id").cast("bigint").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_digest"))
-    return docs.join(found, same, "left_anti")
+    doc, text = unused(docs, "_doc", "_text")
+    found = leaks(docs, benchmark, **how).select(F.col("doc_id").alias(doc), F.col("digest").alias(text)).distinct()
+    same = F.col("doc_id").cast("bigint").eqNullSafe(F.col(doc)) & (F.xxhash64("text") == F.col(text))
+    return docs.join(stored(found, "leaks"), same, "left_anti")

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dockflow.llm.common import row_digest, stored
+from dockflow.llm.common import row_digest, stored, unused
 
 WEIGHTS = (5.0, 2.0, 1.0)
 WORD = r"[^\x20\x09-\x0D]+"
@@ -229,10 +229,11 @@ def mixed(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: float = 3
 
 def mixed_documents(docs: DataFrame, **how) -> DataFrame:
     """The documents of the mix, all columns as they are: each row as often as the mix takes it, so maybe not at all."""
-    copies = mixed(docs, **how).groupBy(F.col("doc_id").alias("_id"), F.col("digest").alias("_digest"))
-    copies = copies.agg(F.sum("copies").alias("_copies")).where("_copies > 0")
-    marked = docs.withColumns({"_doc": F.col("doc_id").cast("bigint"), "_row": row_digest(docs)})
-    same = F.col("_doc").eqNullSafe(F.col("_id")) & (F.col("_row") == F.col("_digest"))
+    doc, row, wanted, wanted_row, n, copy = unused(docs, "_doc", "_row", "_wanted", "_wanted_row", "_n", "_copy")
+    copies = mixed(docs, **how).groupBy(F.col("doc_id").alias(wanted), F.col("digest").alias(wanted_row))
+    copies = copies.agg(F.sum("copies").alias(n)).where(F.col(n) > 0)
+    marked = docs.withColumns({doc: F.col("doc_id").cast("bigint"), row: row_digest(docs)})
+    same = F.col(doc).eqNullSafe(F.col(wanted)) & (F.col(row) == F.col(wanted_row))
     # Rows that are equal in all columns have one key, and the copies of all of them.
-    taken = marked.join(copies, same).dropDuplicates(["_doc", "_row"])
-    return taken.select(*docs.columns, F.explode(F.sequence(F.lit(1), "_copies")).alias("_copy")).drop("_copy")
+    taken = marked.join(copies, same).dropDuplicates([doc, row])
+    return taken.select(*docs.columns, F.explode(F.sequence(F.lit(1), n)).alias(copy)).drop(copy)

@@ -16,7 +16,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dockflow.llm.common import connected_components, stored
+from dockflow.llm.common import connected_components, stored, unused
 
 SEED = 42
 CHUNK = 1 << 16
@@ -198,7 +198,7 @@ def links(prints: DataFrame, radius: int = 2, tile_rows: int = 4096) -> DataFram
 
 
 def components(prints: DataFrame, radius: int = 2, tile_rows: int = 4096) -> DataFrame:
-    """(fp, component_id) of prints (doc_id, fp): the smallest doc_id that links reach."""
+    """(fp, root, component_id) of prints (doc_id, fp): the smallest fingerprint and doc_id that links reach."""
     each = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("first_doc")), "prints")
     roots = connected_components(links(each.select("fp"), radius, tile_rows))
     placed = each.join(roots, each["fp"] == roots["node"], "left").select(
@@ -206,11 +206,13 @@ def components(prints: DataFrame, radius: int = 2, tile_rows: int = 4096) -> Dat
     )
     placed = stored(placed, "placed")
     least = placed.groupBy("root").agg(F.min("first_doc").alias("component_id"))
-    return placed.join(least, "root").select("fp", "component_id")
+    return placed.join(least, "root").select("fp", "root", "component_id")
 
 
 def near_duplicates(docs: DataFrame, words: int = 3, radius: int = 2, tile_rows: int = 4096) -> DataFrame:
-    """One row per document: doc_id, digest, fp, fingerprint (16 hexadecimal digits) and component_id.
+    """One row per document: doc_id, digest, fp, root, fingerprint (16 hexadecimal digits) and component_id.
+
+    root tells components apart; component_id does so unless a doc_id is repeated.
 
     A null text counts as empty; a text without words has fingerprint zero, which links like any other. Repeated rows
     and repeated doc_ids keep a row each. A null doc_id takes part and is never the smallest; a component of nothing
@@ -219,7 +221,7 @@ def near_duplicates(docs: DataFrame, words: int = 3, radius: int = 2, tile_rows:
     prints = stored(with_fingerprints(docs, words), "fingerprints")
     found = components(prints.select("doc_id", "fp"), radius, tile_rows)
     return prints.join(found, "fp").select(
-        "doc_id", "digest", "fp", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
+        "doc_id", "digest", "fp", "root", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
 
 
@@ -229,10 +231,10 @@ def keep_one(docs: DataFrame, **how) -> DataFrame:
     A component of nothing but null doc_ids keeps one row. All columns and their order stay.
     """
     found = near_duplicates(docs, **how)
-    best = found.groupBy(F.coalesce("component_id", "fp").alias("group"), F.col("component_id").isNull().alias("none")).agg(
-        F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "digest")).alias("best")
-    )
-    chosen = best.select(F.col("best.doc_id").alias("_id"), F.col("best.digest").alias("_digest"))
-    marked = docs.withColumns({"_id": F.col("doc_id").cast("bigint"), "_digest": F.xxhash64("text")})
-    same = marked["_id"].eqNullSafe(chosen["_id"]) & (marked["_digest"] == chosen["_digest"])
-    return marked.join(chosen, same, "left_semi").dropDuplicates(["_id", "_digest"]).drop("_id", "_digest")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "digest"))
+    best = found.groupBy("root").agg(first.alias("best"))
+    doc, text, wanted, wanted_text = unused(docs, "_doc", "_text", "_wanted", "_wanted_text")
+    chosen = best.select(F.col("best.doc_id").alias(wanted), F.col("best.digest").alias(wanted_text))
+    marked = docs.withColumns({doc: F.col("doc_id").cast("bigint"), text: F.xxhash64("text")})
+    same = F.col(doc).eqNullSafe(F.col(wanted)) & (F.col(text) == F.col(wanted_text))
+    return marked.join(chosen, same, "left_semi").dropDuplicates([doc, text]).drop(doc, text)
