@@ -151,8 +151,8 @@ def distinct_vectors(rows: DataFrame, k: int) -> DataFrame:
     All copies of a vector are as near to any query, so no larger id of them can be among its k nearest.
     """
     order = Window.partitionBy("embedding").orderBy("vec_id")
-    first = rows.withColumn("at", F.row_number().over(order)).where(F.col("at") <= k + 1)
-    grouped = first.groupBy("embedding").agg(F.array_sort(F.collect_list("vec_id")).alias("ids"))
+    first = rows.withColumn("at", F.dense_rank().over(order)).where(F.col("at") <= k + 1)
+    grouped = first.groupBy("embedding").agg(F.array_sort(F.collect_set("vec_id")).alias("ids"))
     return grouped.select(F.col("ids")[0].alias("gid"), "ids", "embedding")
 
 
@@ -285,8 +285,8 @@ def nearest(
 
     ``is_query`` is a condition on vec_id. Nearest first, ties to the smaller vec_id; a query is not its own candidate,
     its copies are. Vectors that are null, zero, of another length than most, or hold a null or non-finite component,
-    and rows without vec_id, take no part. Repeated rows (same id and vector) are candidates of their own, so a repeated
-    query has a set of ranks for each row's id once. An empty table gives no rows. Other columns are not read.
+    and rows without vec_id, take no part. Repeated rows (same id and vector) count once; an id with several vectors is a
+    candidate with each, and as a query has the nearest of all. An empty table gives no rows. Other columns are not read.
 
     The fit sees ``SAMPLE_PER_LIST`` vectors a list, at most ``SAMPLE_BYTES``; every vector is indexed, and the number of
     lists a query reads is what ``reach`` finds the vectors to need.

@@ -15,6 +15,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from dockflow.llm.common import unused
+
 GRADES = 3
 BITS = 18
 SAMPLE_PER_GRADE = 3_000  # labelled rows of each grade that the fit may see
@@ -181,20 +183,15 @@ def graded_documents(docs: DataFrame, labels: DataFrame, threshold: float = 0.5,
     but for any that have one of the four names, which are replaced. An empty table gives no rows.
     """
     model = train(docs, labels, **how)
-    clashes = [c for c in docs.columns if c in ("expected_grade", "p_fair", "p_good", "keep", "_tails")]
-    docs = docs.drop(*clashes)
+    docs = docs.drop(*(c for c in docs.columns if c in ("expected_grade", "p_fair", "p_good", "keep")))
     if model is None:
         none = F.lit(None).cast("double")
         return docs.withColumns({"expected_grade": none, "p_fair": none, "p_good": none, "keep": F.lit(True)})
-    scored = docs.withColumn("_tails", tail_probabilities(model, F.col("text")))
-    return scored.withColumns(
-        {
-            "expected_grade": F.col("_tails.p_fair") + F.col("_tails.p_good"),
-            "p_fair": F.col("_tails.p_fair"),
-            "p_good": F.col("_tails.p_good"),
-            "keep": F.col("_tails.p_good") >= threshold,
-        }
-    ).drop("_tails")
+    (tails,) = unused(docs, "_tails")
+    fair, good = F.col(f"{tails}.p_fair"), F.col(f"{tails}.p_good")
+    scored = docs.withColumn(tails, tail_probabilities(model, F.col("text")))
+    found = {"expected_grade": fair + good, "p_fair": fair, "p_good": good, "keep": good >= threshold}
+    return scored.withColumns(found).drop(tails)
 
 
 def select_quality(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, **how) -> DataFrame:
