@@ -40,6 +40,8 @@ MONTH_ABBR = ["Jan", "Feb", "Mar", "Apr", "May", "Jun", "Jul", "Aug", "Sep", "Oc
 PEAK_HOURS = [7, 8, 17, 18]
 AM_PERIOD_HOURS = [7, 8, 9]
 PM_PERIOD_HOURS = [17, 18, 19]
+AM_PERIOD = "AM Peak (07–09)"
+PM_PERIOD = "PM Peak (17–19)"
 COMMUTER_HOURS = [7, 8, 9, 17, 18, 19]
 LEISURE_HOURS = [10, 11, 12, 13, 14, 15, 16]
 NIGHT_HOURS = [20, 21, 22, 23, 0, 1, 2]

@@ -166,30 +166,25 @@ def zone_imbalance(flow: DataFrame) -> DataFrame:
     )
 
 
-def top_imbalanced(flow: DataFrame, n: int = 20, label_length: int = 25) -> DataFrame:
+def top_imbalanced(flow: DataFrame, n: int = 20) -> DataFrame:
     top = flow.orderBy(F.desc("imb_score"), "start_station_id").limit(n)
-    label = F.substring("station_name", 1, label_length)
-    return top.select("start_station_id", label.alias("station_label"), "imb_score", "direction")
+    return top.select("start_station_id", "station_name", "imb_score", "direction")
 
 
 def period_flow(raw: DataFrame) -> DataFrame:
     """Flow per station in the morning and the evening period, from one scan."""
     hour = calendar.start_hour(F.col("start_date"))
-    period = F.when(hour.isin(*K.AM_PERIOD_HOURS), "AM Peak (07–09)").when(
-        hour.isin(*K.PM_PERIOD_HOURS), "PM Peak (17–19)"
-    )
+    period = F.when(hour.isin(*K.AM_PERIOD_HOURS), K.AM_PERIOD).when(hour.isin(*K.PM_PERIOD_HOURS), K.PM_PERIOD)
     in_period = raw.withColumn("period", period).filter(F.col("period").isNotNull())
     return count_ends(in_period, ["period"])
 
 
-def period_hotspots(
-    periods: DataFrame, raw_stations: DataFrame, n: int = 15, label_length: int = 28
-) -> DataFrame:
+def period_hotspots(periods: DataFrame, raw_stations: DataFrame, n: int = 15) -> DataFrame:
     """Stations that drain most in the morning and fill most in the evening."""
     names = raw_stations.select(F.col("id").alias("place_id"), F.col("name").alias("station_name"))
     named = periods.join(names, periods.station_id == names.place_id, "inner")
-    morning = named.filter(F.col("period").startswith("AM"))
-    evening = named.filter(F.col("period").startswith("PM"))
+    morning = named.filter(F.col("period") == K.AM_PERIOD)
+    evening = named.filter(F.col("period") == K.PM_PERIOD)
     top = (
         morning.orderBy(F.desc("net_flow"), "station_id")
         .limit(n)
@@ -198,7 +193,7 @@ def period_hotspots(
     return top.select(
         "period",
         "station_id",
-        F.substring("station_name", 1, label_length).alias("station_label"),
+        "station_name",
         "departures",
         "arrivals",
         "net_flow",

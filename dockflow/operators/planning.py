@@ -41,11 +41,15 @@ def dispatch_list(
 
 
 def danger_zone(listing: DataFrame, fallback: int = 20) -> DataFrame:
-    """Urgent stations with coordinates; without any, the first ``fallback`` stations by score."""
+    """Urgent stations with coordinates; without any, the first ``fallback`` stations by score.
+
+    ``is_fallback`` tells which of the two the rows are.
+    """
     urgent = listing.filter(F.col("priority").isin(*URGENT))
     n_urgent = urgent.agg(_n()).scalar()
     ranked = listing.orderBy(F.desc("imb_score"), "station", "imb_direction").limit(fallback)
-    rows = urgent.union(ranked.filter(n_urgent == 0))
+    calm = ranked.filter(n_urgent == 0).withColumn("is_fallback", F.lit(True))
+    rows = urgent.withColumn("is_fallback", F.lit(False)).union(calm)
     return rows.filter(F.col("lat").isNotNull() & F.col("lon").isNotNull())
 
 

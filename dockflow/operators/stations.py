@@ -57,15 +57,13 @@ def kpi_summary(counted: DataFrame, date_from: str, date_to: str) -> DataFrame:
     )
 
 
-def station_imbalance_recent(
-    counted: DataFrame, as_of: str, days: int = 7, n: int = 795
-) -> DataFrame:
+def station_imbalance_recent(counted: DataFrame, as_of: str, days: int = 7) -> DataFrame:
     grouped = (
         trailing_days(counted, as_of, days)
         .groupBy("start_station_id", "start_station_name", "start_lat", "start_lon")
         .agg(_avg_score().alias("avg_imbalance_score"), _rides().alias("ride_count"))
     )
-    return grouped.orderBy(F.desc("avg_imbalance_score"), "start_station_id").limit(n)
+    return grouped.orderBy(F.desc("avg_imbalance_score"), "start_station_id")
 
 
 def _flow_list(

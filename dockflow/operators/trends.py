@@ -64,9 +64,11 @@ def hourly_demand_recent(rides: DataFrame, as_of: str, days: int = 30) -> DataFr
 
 
 def dataset_overview(rides: DataFrame) -> DataFrame:
+    first, last = F.min("hire_date"), F.max("hire_date")
     return rides.agg(
-        F.min("hire_date").alias("earliest_ride"),
-        F.max("hire_date").alias("latest_ride"),
+        first.alias("earliest_ride"),
+        last.alias("latest_ride"),
+        (F.date_diff(last, first) + 1).cast("bigint").alias("days_covered"),
         _rides().alias("total_rides"),
         F.countDistinct("start_station_id").alias("unique_stations"),
         F.countDistinct("bike_id").alias("unique_bikes"),
@@ -107,37 +109,11 @@ def duration_filter(
     return picked.filter(F.col("duration_minutes").between(low, high))
 
 
-def bounded_sample(
-    rows: DataFrame, key: str, limit: int, population: DataFrame | None = None
-) -> DataFrame:
-    """At most ``limit`` rows: those whose key has the smallest md5, the same on every run.
-
-    The digest of distinct keys is uniform, so a bound six standard deviations above the wanted share
-    drops all but about ``limit`` rows where they are read, and only the rest is ranked. Should a
-    repeated key leave fewer than ``limit`` rows below the bound, all rows are ranked.
-    ``population`` may name a cheaper frame to count than ``rows``.
-    """
-    digest = F.md5(F.col(key).cast("string"))
-    prefix = F.substring(digest, 1, 12)
-    wanted = limit + 6.0 * limit**0.5 + 50.0
-    share = F.lit(wanted * 2.0**48) / F.count(F.lit(1))
-    # Twelve hex digits of the digest against the same digits of the share; "g" lets all pass.
-    share_text = F.when(share >= 2.0**48, "g").otherwise(
-        F.lower(F.lpad(F.hex(F.floor(share).cast("bigint")), 12, "0"))
-    )
-    counted = rows if population is None else population
-    bound = counted.agg(share_text.alias("bound")).scalar()
-    below = counted.filter(prefix <= bound).agg((F.count(F.lit(1)) >= limit).alias("enough"))
-    near = rows.filter((prefix <= bound) | ~below.scalar())
-    return near.orderBy(digest, key).limit(limit)
-
-
-def duration_sample(rides: DataFrame, date_from: str, date_to: str, limit: int = 50_000) -> DataFrame:
-    """The bounded sample behind the distribution plots."""
-    rows = duration_filter(rides, date_from, date_to).select(
+def duration_sample(rides: DataFrame, date_from: str, date_to: str) -> DataFrame:
+    """Every ride of the window behind the distribution plots; ``explore.histogram`` is the small form."""
+    return duration_filter(rides, date_from, date_to).select(
         "rental_id", "duration_minutes", "duration_band", "is_weekend", "peak_hour_flag"
     )
-    return bounded_sample(rows, "rental_id", limit)
 
 
 def category_counts(rides: DataFrame, column: str) -> DataFrame:
@@ -153,13 +129,6 @@ def duration_band_counts(rides: DataFrame, date_from: str, date_to: str) -> Data
     return category_counts(duration_filter(rides, date_from, date_to), "duration_band")
 
 
-def recent_rides(
-    rides: DataFrame,
-    as_of: str,
-    days: int = 30,
-    limit: int = 500_000,
-    population: DataFrame | None = None,
-) -> DataFrame:
-    """Capped fetch of the trailing days. ``population`` may be a cheaper frame of the same rides."""
-    counted = trailing_days(rides if population is None else population, as_of, days)
-    return bounded_sample(trailing_days(rides, as_of, days), "rental_id", limit, counted)
+def recent_rides(rides: DataFrame, as_of: str, days: int = 30) -> DataFrame:
+    """All rides of the trailing days."""
+    return trailing_days(rides, as_of, days)

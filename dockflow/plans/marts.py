@@ -104,22 +104,16 @@ def dim_stations(stations: DataFrame, daily: DataFrame) -> DataFrame:
     )
 
 
-# About 150 bytes per broadcast row: 1,000,000 station-days take some 150 MB per executor.
-MAX_BROADCAST_ROWS = 1_000_000
-
-
-def fact_rides(enriched: DataFrame, daily: DataFrame, daily_rows: int | None = None) -> DataFrame:
+def fact_rides(enriched: DataFrame, daily: DataFrame) -> DataFrame:
     """One row per ride with the signals of its start station on that day.
 
-    With a counted daily table of at most ``MAX_BROADCAST_ROWS`` rows the signals are broadcast and
-    rides are not shuffled. Otherwise both sides are shuffled by day and station, and adaptive
-    execution splits a station-day that overloads its partition.
+    Read from a stored daily table, the signals are broadcast if Spark finds their bytes below its threshold; rides are
+    not shuffled then. Otherwise both sides are shuffled by day and station, and adaptive execution splits a
+    station-day that overloads its partition.
     """
     signals = station_rolling(daily).select(
         F.col("hire_date").alias("signal_date"), F.col("station_id").alias("signal_station"), *SIGNALS
     )
-    if daily_rows is not None and daily_rows <= MAX_BROADCAST_ROWS:
-        signals = F.broadcast(signals)
     same_station_day = (enriched.hire_date == signals.signal_date) & (
         enriched.start_station_id == signals.signal_station
     )

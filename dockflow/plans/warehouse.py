@@ -58,15 +58,15 @@ class Warehouse:
     def with_stored_daily(self, path: str) -> "Warehouse":
         """The same tables, the daily flow counted once and read from ``path`` by all of them.
 
-        It is small, several tables read it, and its row count decides whether the fact broadcasts
-        it. A lost executor costs a re-read instead of a re-count of all rides.
+        It is small, several tables read it, and Spark knows its bytes when it plans the fact's join. A
+        lost executor costs a re-read instead of a re-count of all rides.
         """
         stored = Warehouse(self.raw_rides, self.raw_stations)
         daily = self.spark.read.schema(self.station_daily.schema).parquet(
             sinks.write_table(self.station_daily, path)
         )
         stored.station_daily = daily
-        stored.fact_rides = marts.fact_rides(stored.rides_enriched, daily, daily.count())
+        stored.fact_rides = marts.fact_rides(stored.rides_enriched, daily)
         return stored
 
     @cached_property

@@ -61,11 +61,6 @@ def high_water_mark(table: DataFrame, datetime_key: str) -> DataFrame:
     return table.agg(F.max(datetime_key).alias("high_water"))
 
 
-def dev_limit(table: DataFrame, is_dev: bool = False, limit: int = 1000) -> DataFrame:
-    """The row cap of development runs; production reads everything."""
-    return table.limit(limit) if is_dev else table
-
-
 def validate_records(feed: DataFrame, schema: T.StructType) -> DataFrame:
     """Type an all-text feed and name the first column that breaks the schema in ``rejected_for``.
 

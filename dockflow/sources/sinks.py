@@ -1,8 +1,6 @@
 """Writing tables. Every writer returns the path it wrote."""
 
-import tempfile
 import uuid
-from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,26 +9,27 @@ from pyspark.sql import types as T
 FACT_ORDER = ["hire_date", "start_station_id", "end_station_id"]
 
 
-@lru_cache
-def _local_folder(application_id: str) -> str:
-    return tempfile.mkdtemp(prefix="dockflow-")
-
-
 def shared_folder(spark: SparkSession) -> str:
-    """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
+    """A folder of this application that every executor can reach.
 
-    Only a local session may fall back to a temporary folder of this machine.
+    It lies in the folder of ``spark.checkpoint.dir``, else in the warehouse folder.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    return _local_folder(spark.sparkContext.applicationId)
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    return f"{base.rstrip('/')}/dockflow/{spark.sparkContext.applicationId}"
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_folder(spark)}/dockflow/{name}-{uuid.uuid4().hex}"
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def release(spark: SparkSession) -> None:
+    """Remove every intermediate table of this application, once no result that reads one is in use."""
+    remove(spark, shared_folder(spark))
 
 
 def conform(table: DataFrame, schema: T.StructType) -> DataFrame:

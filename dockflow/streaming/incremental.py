@@ -3,12 +3,14 @@
 The checkpoint keeps the state of the load; a new run reads new files only.
 """
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dockflow.sources import schemas
+from dockflow.sources import schemas, sinks
 
-REPEAT_KEY = ["rental_id", "start_date"]
+KEY = "rental_id"
 
 
 def ride_stream(spark: SparkSession, folder: str, max_files: int | None = None) -> DataFrame:
@@ -18,26 +20,49 @@ def ride_stream(spark: SparkSession, folder: str, max_files: int | None = None)
     return reader.parquet(folder)
 
 
-def _loaded_before(batch: DataFrame, target: str, batch_id: int) -> DataFrame:
-    """Keys of earlier batches within the time range of this batch; the range prunes the scan."""
-    first, last = batch.agg(F.min("start_date"), F.max("start_date")).first()
-    earlier = batch.sparkSession.read.parquet(target).filter(F.col("batch_id") < batch_id)
-    return earlier.filter(F.col("start_date").between(first, last)).select(*REPEAT_KEY)
+def _load_id(checkpoint: str) -> str:
+    """One name per checkpoint: its batches are numbered from 0, so the number alone is not one."""
+    return hashlib.sha256(checkpoint.rstrip("/").encode()).hexdigest()[:16]
+
+
+def _has_rides(spark: SparkSession, target: str) -> bool:
+    path = spark._jvm.org.apache.hadoop.fs.Path(target)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
 
 
 def load_available(stream: DataFrame, target: str, checkpoint: str) -> None:
     """Append each ride that has arrived since the last run once, then stop.
 
-    A batch owns one directory that a retry overwrites, so a lost executor or driver leaves no
-    repeats. Late rides are kept however late they are: repeats are found in the target, not in
-    stream state that a watermark would cut off.
+    A ride is known by ``rental_id``; the first delivery stays. The target is stored by day, and below it by load and
+    batch: a batch that is tried again replaces its own directories only, and another checkpoint on the same target is
+    another load. Late rides are kept however late they are: repeats are found in the target, not in stream state that a
+    watermark would cut off. The batch is read once, into a table beside the checkpoint, before it is compared.
     """
+    load = _load_id(checkpoint)
 
     def append(batch: DataFrame, batch_id: int) -> None:
-        fresh = batch.dropDuplicates(REPEAT_KEY)
-        if batch_id > 0 and not batch.isEmpty():
-            fresh = fresh.join(_loaded_before(batch, target, batch_id), REPEAT_KEY, "left_anti")
-        fresh.write.mode("overwrite").parquet(f"{target}/batch_id={batch_id}")
+        spark = batch.sparkSession
+        staged = f"{checkpoint.rstrip('/')}-staged/{batch_id}"
+        batch.dropDuplicates([KEY]).write.mode("overwrite").parquet(staged)
+        fresh = spark.read.schema(schemas.RIDES).parquet(staged)
+        if _has_rides(spark, target):
+            # Only keys are read from the target; this batch's own rows, left by a failed try, do not count.
+            own = (F.col("load") == load) & (F.col("batch_id") == batch_id)
+            earlier = spark.read.parquet(target).filter(~own).select(KEY)
+            fresh = fresh.join(earlier, KEY, "left_anti")
+        placed = fresh.select(
+            *schemas.RIDES.fieldNames(),
+            F.to_date("start_date").alias("hire_date"),
+            F.lit(load).alias("load"),
+            F.lit(batch_id).cast("bigint").alias("batch_id"),
+        )
+        (
+            placed.write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy("hire_date", "load", "batch_id")
+            .parquet(target)
+        )
+        sinks.remove(spark, staged)
 
     query = (
         stream.writeStream.foreachBatch(append)

@@ -34,7 +34,6 @@ AS_OF = "2024-01-31"
 MIN_ROWS = 900
 MIN_RIDES_REBALANCING, MIN_RIDES_SCENARIO, MIN_RIDES_HOTSPOT = 20, 10, 50
 INCREMENT_AFTER, INCREMENT_UNTIL = "2024-01-15 00:00:00", "2024-01-22 12:00:00"
-DEV_LIMIT = 1000
 NOW_HOUR = 5
 POINT = (51.50302, 0.02699)
 SMALL_MODELS = models.TrainSettings(forest_trees=10, boost_rounds=10)
@@ -142,11 +141,7 @@ _register("time_period_counts", lambda w: trends.time_period_counts(w.banded_rid
 _register("duration_band_counts", lambda w: trends.duration_band_counts(w.banded_rides, *DATES))
 _register("draining_filling_top10", lambda w: stations.draining_filling_top(_hotspots(w)))
 _register("duration_sample", lambda w: trends.duration_sample(w.banded_rides, *DATES))
-_register(
-    "recent_rides",
-    lambda w: trends.recent_rides(_stored(w).fact_rides, AS_OF, population=w.banded_rides),
-    FACT_DIGITS,
-)
+_register("recent_rides", lambda w: trends.recent_rides(_stored(w).fact_rides, AS_OF), FACT_DIGITS)
 
 # --- flow on raw rides ---
 _register("station_flow", _flow, _six("imb_score"))
@@ -278,10 +273,6 @@ _register(
         F.lit(INCREMENT_UNTIL).cast("timestamp"),
     ),
 )
-_register(
-    "dev_limited_rides",
-    lambda w: readers.dev_limit(w.raw_rides, True, DEV_LIMIT).agg(F.count(F.lit(1)).alias("rides")),
-)
 
 
 def text_feed(w: Warehouse) -> DataFrame:

@@ -196,9 +196,10 @@ SELECT start_station_name AS station, start_zone AS zone, start_lat AS lat, star
        round(count(*) FILTER (WHERE start_station_is_imbalanced) / count(*), 6) AS pct_days_imbalanced
 FROM fact GROUP BY ALL HAVING count(*) > {Q.MIN_RIDES_HOTSPOT}"""
 CTES["danger"] = """
-SELECT * FROM scenario WHERE priority IN ('CRITICAL', 'HIGH') AND lat IS NOT NULL AND lon IS NOT NULL
+SELECT *, FALSE AS is_fallback FROM scenario
+WHERE priority IN ('CRITICAL', 'HIGH') AND lat IS NOT NULL AND lon IS NOT NULL
 UNION ALL
-SELECT * FROM (SELECT * FROM scenario ORDER BY imb_score DESC, station, imb_direction LIMIT 20)
+SELECT *, TRUE FROM (SELECT * FROM scenario ORDER BY imb_score DESC, station, imb_direction LIMIT 20)
 WHERE NOT EXISTS (SELECT 1 FROM scenario WHERE priority IN ('CRITICAL', 'HIGH'))
   AND lat IS NOT NULL AND lon IS NOT NULL"""
 _PICKED = "action IN ('DELIVER BIKES', 'COLLECT BIKES') AND priority IN ('CRITICAL', 'HIGH')"
@@ -237,8 +238,8 @@ FULL JOIN (SELECT CAST(start_date AS DATE) AS hire_date, end_station_id AS stati
       FROM cycle_hire WHERE end_station_id IS NOT NULL GROUP BY 1, 2) a
   ON d.hire_date = a.hire_date AND d.station_id = a.station_id"""
 CTES["in_period"] = """
-SELECT *, CASE WHEN hour(start_date) IN (7, 8, 9) THEN 'AM Peak (07–09)' ELSE 'PM Peak (17–19)' END AS period
-FROM cycle_hire WHERE hour(start_date) IN (7, 8, 9, 17, 18, 19)"""
+SELECT *, CASE WHEN hour(start_date) IN (7, 8, 9) THEN '{am}' ELSE '{pm}' END AS period
+FROM cycle_hire WHERE hour(start_date) IN (7, 8, 9, 17, 18, 19)""".format(am=K.AM_PERIOD, pm=K.PM_PERIOD)
 CTES["period_table"] = """
 SELECT coalesce(d.period, a.period) AS period, coalesce(d.station_id, a.station_id) AS station_id,
        coalesce(departures, 0) AS departures, coalesce(arrivals, 0) AS arrivals,
@@ -346,8 +347,7 @@ oracle(
     "station_imbalance_recent",
     f"""SELECT start_station_id, start_station_name, start_lat, start_lon,
        round(avg(start_station_imbalance_score), 6) AS avg_imbalance_score, count(*) AS ride_count
-FROM fact WHERE hire_date >= DATE '{Q.AS_OF}' - 7 GROUP BY 1, 2, 3, 4
-ORDER BY avg(start_station_imbalance_score) DESC, start_station_id LIMIT 795""",
+FROM fact WHERE hire_date >= DATE '{Q.AS_OF}' - 7 GROUP BY 1, 2, 3, 4""",
 )
 oracle(
     "hourly_demand_recent",
@@ -360,7 +360,8 @@ oracle("scenario_list", "SELECT * FROM scenario")
 oracle("hotspot_profile", "SELECT * FROM hotspots")
 oracle(
     "dataset_overview",
-    """SELECT min(hire_date) AS earliest_ride, max(hire_date) AS latest_ride, count(*) AS total_rides,
+    """SELECT min(hire_date) AS earliest_ride, max(hire_date) AS latest_ride,
+       date_diff('day', min(hire_date), max(hire_date)) + 1 AS days_covered, count(*) AS total_rides,
        count(DISTINCT start_station_id) AS unique_stations, count(DISTINCT bike_id) AS unique_bikes,
        round(avg(duration_minutes), 1) AS avg_duration_mins,
        count(*) FILTER (WHERE is_weekend) AS weekend_rides,
@@ -421,10 +422,9 @@ UNION ALL
 oracle(
     "duration_sample",
     f"""SELECT rental_id, duration_minutes, duration_band, is_weekend, peak_hour_flag FROM fact
-WHERE {D} AND duration_minutes BETWEEN 1 AND 120 ORDER BY md5(CAST(rental_id AS VARCHAR)), rental_id LIMIT 50000""",
+WHERE {D} AND duration_minutes BETWEEN 1 AND 120""",
 )
-oracle("recent_rides", f"""SELECT * FROM fact_rounded WHERE hire_date >= DATE '{Q.AS_OF}' - 30
-ORDER BY md5(CAST(rental_id AS VARCHAR)), rental_id LIMIT 500000""")
+oracle("recent_rides", f"""SELECT * FROM fact_rounded WHERE hire_date >= DATE '{Q.AS_OF}' - 30""")
 
 # --- flow on raw rides ---
 oracle("station_flow", "SELECT * REPLACE (round(imb_score, 6) AS imb_score) FROM flow_table")
@@ -451,7 +451,7 @@ oracle(
 FROM cycle_stations s LEFT JOIN flow_scored f ON s.id = f.station_id""",
 )
 oracle("period_flow", "SELECT * FROM period_table")
-_HOT = """SELECT period, station_id, substring(name, 1, 28) AS station_label, departures, arrivals, net_flow,
+_HOT = """SELECT period, station_id, name AS station_name, departures, arrivals, net_flow,
        abs(net_flow) AS bikes FROM period_table p JOIN cycle_stations s ON p.station_id = s.id"""
 oracle(
     "period_hotspots",
@@ -477,8 +477,7 @@ oracle("network_daily_imbalance", "SELECT * REPLACE (round(imb_score, 6) AS imb_
 oracle("network_mean_imbalance", "SELECT round(avg(imb_score), 6) AS mean_imb_score FROM network_days")
 oracle(
     "top_imbalanced",
-    """SELECT start_station_id, substring(station_name, 1, 25) AS station_label,
-       round(imb_score, 6) AS imb_score, direction
+    """SELECT start_station_id, station_name, round(imb_score, 6) AS imb_score, direction
 FROM (SELECT * FROM flow_table ORDER BY imb_score DESC, start_station_id LIMIT 20)""",
 )
 
@@ -959,7 +958,6 @@ oracle(
     f"""SELECT * FROM cycle_hire
 WHERE start_date > TIMESTAMP '{Q.INCREMENT_AFTER}' AND start_date <= TIMESTAMP '{Q.INCREMENT_UNTIL}'""",
 )
-oracle("dev_limited_rides", f"SELECT count(*) AS rides FROM (SELECT * FROM cycle_hire LIMIT {Q.DEV_LIMIT})")
 oracle(
     "rejected_records",
     """SELECT CAST(rental_id AS VARCHAR) AS rental_id, CAST(duration AS VARCHAR) AS duration,

@@ -55,9 +55,9 @@ def test_action_statement_tiers(spark):
 
 def test_danger_zone_falls_back_to_the_first_stations(spark):
     calm = listing(spark, [(f"s{i:02d}", i / 1000, 0.0, MONITOR, "LOW") for i in range(30)])
-    assert planning.danger_zone(calm).count() == 20
+    assert planning.danger_zone(calm).filter("is_fallback").count() == 20
     mixed = calm.union(listing(spark, [("x", 0.2, 5.0, DELIVER, "HIGH")]))
-    assert [r.station for r in planning.danger_zone(mixed).collect()] == ["x"]
+    assert [(r.station, r.is_fallback) for r in planning.danger_zone(mixed).collect()] == [("x", False)]
     empty = planning.map_centre(calm.filter("false")).first()
     assert tuple(empty) == planning.DEFAULT_CENTRE
 
@@ -86,22 +86,12 @@ def test_lists_from_counts_and_from_a_fact_agree(spark):
     assert rows(direct) == rows(stored) and direct.count() > 0
 
 
-def test_bounded_sample_is_exact_and_repeatable(spark):
-    frame = spark.range(0, 40_000, 1, 7).withColumnRenamed("id", "rental_id")
-    once = {r[0] for r in trends.bounded_sample(frame, "rental_id", 500).collect()}
-    again = {r[0] for r in trends.bounded_sample(frame.repartition(3), "rental_id", 500).collect()}
-    assert len(once) == 500 and once == again
-    ordered = frame.orderBy(F.md5(F.col("rental_id").cast("string"))).limit(500)
-    assert once == {r[0] for r in ordered.collect()}
-    assert trends.bounded_sample(frame, "rental_id", 50_000).count() == 40_000
-
-
-def test_bounded_sample_survives_a_key_that_holds_most_rows(spark):
-    # The repeated key sorts last by digest: the bound alone would leave too few rows.
-    frame = spark.range(0, 30_000, 1, 4).withColumnRenamed("id", "rental_id")
-    last = frame.orderBy(F.md5(F.col("rental_id").cast("string")).desc()).first()[0]
-    hot = frame.union(spark.range(0, 60_000, 1, 4).select(F.lit(last).alias("rental_id")))
-    assert trends.bounded_sample(hot, "rental_id", 900).count() == 900
+def test_windows_return_every_ride(spark):
+    w = Warehouse(testdata.cycle_hire(spark, MEDIUM), testdata.cycle_stations(spark, MEDIUM))
+    window = w.banded_rides.filter("hire_date >= '2024-01-15'")
+    assert trends.recent_rides(w.banded_rides, "2024-01-20", days=5).count() == window.count()
+    lasting = w.banded_rides.filter("duration_minutes BETWEEN 1 AND 120")
+    assert trends.duration_sample(w.banded_rides, *registry.DATES).count() == lasting.count()
 
 
 def test_fallback_forecast_covers_every_station_and_hour(spark):

@@ -66,9 +66,12 @@ def test_top_k_needs_no_global_sort(spark):
         assert "TakeOrderedAndProject" in plan(spark, name)
 
 
-def test_task_sizes_follow_the_input():
-    assert sized_for(10 * MB)["spark.sql.shuffle.partitions"] == "200"
-    terabytes = sized_for(2 * 1024**4)
-    assert int(terabytes["spark.sql.shuffle.partitions"]) == 8192
-    assert terabytes["spark.sql.adaptive.advisoryPartitionSizeInBytes"] == str(256 * MB)
-    assert sized_for(100 * 1024**4)["spark.sql.shuffle.partitions"] == "100000"
+def test_task_sizes_follow_the_bytes():
+    tb = 1024**4
+    small = sized_for(10 * MB, MB)
+    assert small["spark.sql.shuffle.partitions"] == "200"
+    assert small["spark.sql.files.maxPartitionBytes"] == str(16 * MB)
+    large = sized_for(100 * tb, 40 * tb)
+    assert large["spark.sql.files.maxPartitionBytes"] == str(256 * MB)
+    assert int(large["spark.sql.shuffle.partitions"]) == 40 * tb // (256 * MB)
+    assert large["spark.sql.adaptive.advisoryPartitionSizeInBytes"] == str(256 * MB)

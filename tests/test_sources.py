@@ -60,12 +60,6 @@ def test_incremental_window_is_open_below_and_closed_above(spark):
     assert readers.high_water_mark(picked, "start_date").first()[0] == datetime(2024, 1, 4, 10)
 
 
-def test_dev_limit(spark):
-    rides = rides_frame(spark, [ride(i, "2024-01-01 10:00:00", 60, 1, 1) for i in range(20)])
-    assert readers.dev_limit(rides).count() == 20
-    assert readers.dev_limit(rides, is_dev=True, limit=7).count() == 7
-
-
 def test_record_validation_splits_a_feed(spark):
     good = ("1", "600", "5", "2024-01-01 10:10:00", "2", "B", "2024-01-01 10:00:00", "1", "A")
     names = schemas.RIDES.fieldNames()
@@ -106,14 +100,16 @@ def test_shared_folder_is_the_one_the_session_names(spark):
     assert sinks.fresh_path(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
 
 
-def test_only_a_local_session_may_use_a_folder_of_this_machine():
-    def session(master):
-        context = SimpleNamespace(master=master, applicationId="app-1")
-        return SimpleNamespace(conf={}, sparkContext=context)
+def test_without_that_folder_the_warehouse_holds_intermediates():
+    context = SimpleNamespace(applicationId="app-1")
+    session = SimpleNamespace(conf={"spark.sql.warehouse.dir": "file:/shared/warehouse/"}, sparkContext=context)
+    assert sinks.shared_folder(session) == "file:/shared/warehouse/dockflow/app-1"
+
 
-    assert sinks.shared_folder(session("local[2]")) == sinks.shared_folder(session("local[2]"))
-    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        sinks.shared_folder(session("yarn"))
+def test_intermediates_are_removed(spark, tmp_path):
+    path = sinks.write_table(spark.range(3), str(tmp_path / "x"))
+    sinks.remove(spark, path)
+    assert not (tmp_path / "x").exists()
 
 
 def test_stored_fact_is_complete_and_pruned_by_day(spark, tmp_path):

@@ -31,6 +31,25 @@ def test_several_batches_equal_one(spark, tmp_path):
     assert rows(incremental.loaded(spark, target)) == rows(rides_frame(spark, everything))
 
 
+def test_another_checkpoint_adds_to_the_same_target(spark, tmp_path):
+    target = str(tmp_path / "target")
+    for name, ids in (("a", range(5)), ("b", range(5, 8)), ("c", [1, 6])):
+        source = str(tmp_path / f"source-{name}")
+        rides_frame(spark, [ride(i, f"2024-01-0{1 + i} 10:00:00", 600, 1, 2) for i in ids]).write.parquet(source)
+        incremental.load_available(incremental.ride_stream(spark, source), target, str(tmp_path / f"state-{name}"))
+    assert sorted(r.rental_id for r in incremental.loaded(spark, target).collect()) == list(range(8))
+    assert "hire_date=2024-01-03" in {p.name for p in (tmp_path / "target").iterdir()}
+
+
+def test_a_corrected_start_is_the_same_ride(spark, tmp_path):
+    source, target, state = (str(tmp_path / n) for n in ("source", "target", "state"))
+    for day in ("2024-01-01", "2024-01-02"):
+        rides_frame(spark, [ride(1, f"{day} 10:00:00", 600, 1, 2)]).write.mode("append").parquet(source)
+        incremental.load_available(incremental.ride_stream(spark, source), target, state)
+    assert [r.start_date.day for r in incremental.loaded(spark, target).collect()] == [1]
+    assert not (tmp_path / "state-staged" / "0").exists()
+
+
 def test_daily_departures_stream(spark, tmp_path):
     source = str(tmp_path / "source")
     sinks.write_table(

@@ -182,11 +182,11 @@ def test_shuffled_joins_give_the_same_fact(spark):
     """Beyond the broadcast limits every join sorts and merges; a third of the rides share one key."""
     rides = [ride(i, "2024-01-02 10:00:00", 600 + i, 1 if i % 3 else i % 7, i % 5) for i in range(300)]
     w = build(spark, rides, STATIONS)
-    small = rows(marts.fact_rides(w.rides_enriched, w.station_daily, daily_rows=10))
+    small = rows(marts.fact_rides(w.rides_enriched, w.station_daily))
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        fact = marts.fact_rides(w.rides_enriched, w.station_daily, marts.MAX_BROADCAST_ROWS + 1)
+        fact = marts.fact_rides(w.rides_enriched, w.station_daily)
         plan = fact._jdf.queryExecution().executedPlan().toString()
         assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
         assert rows(fact) == small
