@@ -2,8 +2,9 @@
 
 Every text is cut into passages of a fixed number of words. The TF-IDF matrix of all passages over the benchmark's words
 gets a randomised singular value decomposition: two passes over the passages multiply a random and then an orthonormal
-basis by the matrix and its transpose, task by task, and only sums by word leave a task. In the latent space overlapping
-passages are compared with the items by cosine; what is near is checked by the longest common subsequence of words, and
+basis by the matrix and its transpose, task by task, and only sums by word leave a task. The leading dimensions hardly see
+rare words, so what the decomposition leaves of each word is kept too, as a random projection. In the space of both,
+overlapping passages are compared with the items by cosine; what is near is checked by the longest common subsequence of words, and
 by how many of the answer's words are there, so paraphrases that keep most words in order count and a common topic
 does not.
 """
@@ -11,6 +12,7 @@ does not.
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -21,13 +23,17 @@ from dockflow.llm.common import stored, unused
 from dockflow.llm.licenses import TABLE
 
 WINDOW, STRIDE = 32, 16  # words; a window is two strides
-RANK, OVERSAMPLE = 48, 8
+RANK, OVERSAMPLE, SKETCH = 32, 8, 32
+SKETCH_SHARE = 2.0  # length of an item in the projection over its length in the leading dimensions
 LEAST_COSINE = 0.45
 LEAST_LCS, LEAST_ANSWER = 0.6, 0.5
 SHORT_ITEM = 8  # words; a shorter item must be there word by word
 BLOCK_ITEMS = 20_000  # items searched at once: bounds what tasks and the driver hold
 TERMS_PER_ROW = 256  # rows of the basis that travel together
 CHUNK = 1 << 18
+STOP_SHARE, STOP_DOCS = 0.2, 50
+PAIRS = 1 << 16  # candidates that are checked at once
+CELLS = 1 << 23  # cosines that are computed at once
 ANSWER = re.compile(r"(?:answer\s*:|\?)(?=\s*\S)(?!.*(?:answer\s*:|\?)\s*\S)(.*)", re.IGNORECASE | re.DOTALL)
 
 
@@ -74,7 +80,7 @@ def encoded_terms(docs: DataFrame, vocabulary: dict[bytes, int]) -> DataFrame:
             counts, terms, gaps = [], [], []
             for text in batch.column("text").to_pylist():
                 words = words_of(text)
-                found = np.array([get(w, -1) for w in words], dtype="<i4")
+                found = np.fromiter(map(get, words, repeat(-1)), dtype="<i4", count=len(words))
                 at = np.flatnonzero(found >= 0)
                 counts.append(len(words))
                 terms.append(found[at].tobytes())
@@ -107,7 +113,10 @@ def _flat(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def inverse_frequencies(terms: DataFrame, size: int) -> np.ndarray:
-    """log(1 + documents / documents with the term); counts come from every document."""
+    """Weights of terms: the logarithm of documents over documents with the term; counts come from every document.
+
+    A stop word weighs nothing: a term in more than ``STOP_SHARE`` of the documents, and in more than ``STOP_DOCS``.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts, n = np.zeros(size, dtype=np.int64), 0
@@ -125,7 +134,8 @@ def inverse_frequencies(terms: DataFrame, size: int) -> np.ndarray:
             n = found
         else:
             counts[term] = found
-    return np.log1p(max(n, 1) / np.maximum(counts, 1))
+    weights = np.log1p(max(n, 1) / np.maximum(counts, 1))
+    return np.where(counts > max(STOP_SHARE * n, STOP_DOCS), 0.0, weights)
 
 
 def gram_times(terms: DataFrame, weights: np.ndarray, basis: np.ndarray) -> np.ndarray:
@@ -140,15 +150,16 @@ def gram_times(terms: DataFrame, weights: np.ndarray, basis: np.ndarray) -> np.n
         total = np.zeros((size, width), dtype=np.float32)
         for batch in batches:
             flat, at, lengths = _flat(batch)
-            passage = np.repeat(np.arange(len(lengths)) << 32, lengths) + at // WINDOW
+            used = weights[flat] > 0
+            passage = (np.repeat(np.arange(len(lengths)) << 32, lengths) + at // WINDOW)[used]
+            flat = flat[used]
             for lo, hi in _cuts(passage):
                 key, start = np.unique(passage[lo:hi], return_inverse=True)
                 cell, count = np.unique(start * size + flat[lo:hi], return_counts=True)
                 row, term = np.divmod(cell, size)
                 value = (count * weights[term]).astype(np.float32)
-                norm = np.sqrt(np.bincount(row, weights=value * value, minlength=len(key)))
-                value /= norm[row].astype(np.float32)
                 first = np.searchsorted(row, np.arange(len(key)))
+                value /= np.sqrt(np.add.reduceat(value * value, first))[row]
                 product = np.add.reduceat(value[:, None] * basis[term], first, axis=0)
                 order = np.argsort(term, kind="stable")
                 met, first = np.unique(term[order], return_index=True)
@@ -170,7 +181,7 @@ def gram_times(terms: DataFrame, weights: np.ndarray, basis: np.ndarray) -> np.n
             if rows.any():
                 yield pa.RecordBatch.from_arrays([pa.array([part]), pa.array([rows.tobytes()])], ["part", "data"])
 
-    basis = basis.astype(np.float32)
+    basis, weights = basis.astype(np.float32), weights.astype(np.float32)
     summed = terms.select("terms", "gaps").mapInArrow(multiply, "part bigint, data binary").repartition("part")
     result = np.zeros((size, width))
     for part, data in summed.mapInArrow(add, "part bigint, data binary").collect():  # words x rank numbers in all
@@ -192,8 +203,8 @@ def _cuts(group: np.ndarray) -> Iterator[tuple[int, int]]:
         lo = hi
 
 
-def latent_terms(terms: DataFrame, weights: np.ndarray, rank: int = RANK, seed: int = 42) -> np.ndarray:
-    """Words in the latent space: IDF times right singular vectors over singular values, from a randomised decomposition.
+def decomposition(terms: DataFrame, weights: np.ndarray, rank: int = RANK, seed: int = 42) -> tuple[np.ndarray, np.ndarray]:
+    """Leading right singular vectors and singular values, from a randomised decomposition.
 
     The range of A'A is found with a random basis, then the problem is solved inside it (Rayleigh and Ritz).
     """
@@ -205,7 +216,18 @@ def latent_terms(terms: DataFrame, weights: np.ndarray, rank: int = RANK, seed:
     values, vectors = np.linalg.eigh((small + small.T) / 2)
     top = np.argsort(-values)[:rank]
     top = top[values[top] > 1e-9 * max(values.max(), 1e-30)]
-    return (weights[:, None] * (basis @ vectors[:, top]) / np.sqrt(values[top])[None, :]).astype(np.float32)
+    return basis @ vectors[:, top], np.sqrt(values[top])
+
+
+def latent_terms(vectors: np.ndarray, values: np.ndarray, weights: np.ndarray, items: Items, seed: int = 43) -> np.ndarray:
+    """Words in the space of retrieval: leading dimensions over their singular values, then a projection of the rest."""
+    random = np.random.default_rng(seed).standard_normal((len(weights), SKETCH))
+    parts = [vectors / values, random - vectors @ (vectors.T @ random)]
+    for i, share in enumerate((1.0, SKETCH_SHARE)):
+        part = weights[:, None] * parts[i]
+        lengths = [np.linalg.norm(part[items.texts[k][a:b]].sum(axis=0)) for k, a, b in items.segments]
+        parts[i] = part * (share / max(float(np.median(lengths)), 1e-30))
+    return np.concatenate(parts, axis=1).astype(np.float32)
 
 
 def _unit(rows: np.ndarray) -> np.ndarray:
@@ -268,7 +290,7 @@ def _block_leaks(docs: DataFrame, items: Items, least_cosine: float, least_lcs:
     size = len(items.vocabulary)
     terms = stored(encoded_terms(docs, items.vocabulary), "terms")
     weights = inverse_frequencies(terms, size)
-    latent = latent_terms(terms, weights)
+    latent = latent_terms(*decomposition(terms, weights), weights, items)
     segments = _unit(np.stack([latent[items.texts[i][a:b]].sum(axis=0) for i, a, b in items.segments]))
     of_segment = items.segments[:, 0]
     answers = [set(a) or _rarest(t, weights) for a, t in zip(items.answers, items.texts, strict=True)]
@@ -279,65 +301,71 @@ def _block_leaks(docs: DataFrame, items: Items, least_cosine: float, least_lcs:
             mask[term] = mask.get(term, 0) | 1 << place
         masks.append(mask)
     ids, texts = items.ids, items.texts
-
-    def check(item: int, found: np.ndarray, at: np.ndarray, window: int) -> tuple[float, float, int, int]:
-        length = len(texts[item])
-        lo, hi = np.searchsorted(at, (window * STRIDE - length, window * STRIDE + WINDOW + length))
-        words = found[lo:hi].tolist()
-        lcs = common_subsequence(masks[item], length, words) / length
-        here = set(words)
-        there = sum(w in here for w in answers[item]) / len(answers[item])
-        return lcs, there, int(at[lo]), int(at[hi - 1])
-
-    def document(doc: tuple, found: np.ndarray, at: np.ndarray, near: np.ndarray, cosines: np.ndarray, windows: np.ndarray) -> Iterator[tuple]:
-        for item in np.unique(near):
-            own = near == item
-            best = None
-            for k in np.argsort(-cosines[own], kind="stable"):
-                window, cosine = int(windows[own][k]), float(cosines[own][k])
-                lcs, there, first, last = check(item, found, at, window)
-                if best is None or (lcs, there) > best[1:3]:
-                    best = (cosine, lcs, there, first, last)
-                if lcs == 1:
-                    break
-            cosine, lcs, there, first, last = best
-            short = len(texts[item]) < SHORT_ITEM
-            if (lcs == 1) if short else (lcs >= least_lcs and there >= least_answer):
-                yield (*doc, ids[item], cosine, lcs, there, first, last)
+    lengths_of = np.array([len(t) for t in texts])
+    asked = np.full((len(texts), max(map(len, answers))), -1, dtype=np.int64)
+    for item, answer in enumerate(answers):
+        asked[item, : len(answer)] = sorted(answer)
+    n_asked = (asked >= 0).sum(axis=1)
+    rows_at_once = max(64, CELLS // len(segments))
+
+    def candidates(flat: np.ndarray, place: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
+        """Item, first place of the window and cosine of every near window; place is document << 32 | word."""
+        used = weights[flat] > 0
+        flat, stride = flat[used], (place[used] >> 32 << 32) + (place[used] & 0xFFFFFFFF) // STRIDE
+        for lo, hi in _cuts(stride >> 32):
+            key, first = np.unique(stride[lo:hi], return_index=True)
+            windows = np.add.reduceat(latent[flat[lo:hi]], first, axis=0)
+            # A window is a stride and the next one of the same document; one without words of the items adds nothing.
+            follows = np.flatnonzero(key[1:] == key[:-1] + 1)
+            windows[follows] += windows[follows + 1].copy()
+            windows = _unit(windows)
+            begin = (key >> 32 << 32) + (key & 0xFFFFFFFF) * STRIDE
+            for w in range(0, len(windows), rows_at_once):
+                cosine = windows[w : w + rows_at_once] @ segments.T
+                i, j = np.nonzero(cosine >= least_cosine)
+                yield of_segment[j], begin[w + i], cosine[i, j]
+
+    def answered(item: np.ndarray, first: np.ndarray, last: np.ndarray, sorted_terms: np.ndarray) -> np.ndarray:
+        """Share of each item's answer that stands between two places; sorted_terms is term << 44 | rank of place."""
+        wanted = asked[item]
+        at = np.searchsorted(sorted_terms, (wanted << 44) + first[:, None])
+        found = sorted_terms[np.minimum(at, len(sorted_terms) - 1)]
+        here = (wanted >= 0) & (found >= (wanted << 44) + first[:, None]) & (found < (wanted << 44) + last[:, None])
+        return here.sum(axis=1) / n_asked[item]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([(c.split()[0], pa.float64() if c.endswith("double") else pa.int64()) for c in OUTPUT.split(", ")])
         for batch in batches:
             flat, at, lengths = _flat(batch)
-            doc = np.repeat(np.arange(len(lengths)), lengths)
-            starts = np.concatenate([[0], np.cumsum(lengths)])
+            place = (np.repeat(np.arange(len(lengths)), lengths) << 32) + at
+            sorted_terms = np.sort((flat.astype(np.int64) << 44) + np.arange(len(flat)))
+            best: dict[tuple[int, int], tuple] = {}
+            for item, begin, cosine in candidates(flat, place):
+                for k in range(0, len(item), PAIRS):
+                    near, start, score = item[k : k + PAIRS], begin[k : k + PAIRS], cosine[k : k + PAIRS]
+                    # The item may stand around the window: look its length further, within the document.
+                    doc, length = start >> 32 << 32, lengths_of[near]
+                    first = np.searchsorted(place, np.maximum(start - length, doc))
+                    last = np.searchsorted(place, np.minimum(start + WINDOW + length, doc + 0xFFFFFFFF))
+                    there = answered(near, first, last, sorted_terms)
+                    for c in np.flatnonzero(there >= least_answer):
+                        key = (int(doc[c] >> 32), int(near[c]))
+                        if key in best and best[key][1] == 1 and best[key][0] >= score[c]:
+                            continue
+                        words = flat[first[c] : last[c]].tolist()
+                        lcs = common_subsequence(masks[near[c]], int(length[c]), words) / int(length[c])
+                        found = (float(score[c]), lcs, float(there[c]), int(at[first[c]]), int(at[last[c] - 1]))
+                        if key not in best or (*found[1:3], found[0]) > (*best[key][1:3], best[key][0]):
+                            best[key] = found
             keys = batch.select(["doc_id", "digest"]).to_pylist()
-            hits: dict[int, list[tuple[np.ndarray, ...]]] = {}
-            for lo, hi in _cuts(doc):
-                stride = (doc[lo:hi] << 32) + at[lo:hi] // STRIDE
-                key, first = np.unique(stride, return_index=True)
-                sums = np.add.reduceat(latent[flat[lo:hi]], first, axis=0)
-                # A window is a stride and the next one of the same document; one that has no word of the benchmark is 0.
-                follows = np.flatnonzero(key[1:] == key[:-1] + 1)
-                windows = sums.copy()
-                windows[follows] += sums[follows + 1]
-                windows = _unit(windows)
-                for w in range(0, len(windows), 8192):
-                    cosine = windows[w : w + 8192] @ segments.T
-                    i, j = np.nonzero(cosine >= least_cosine)
-                    owner = key[w + i] >> 32
-                    for d in np.unique(owner):
-                        mine = owner == d
-                        hits.setdefault(int(d), []).append(
-                            (of_segment[j[mine]], cosine[i[mine], j[mine]], key[w + i[mine]] & 0xFFFFFFFF)
-                        )
-            rows = []
-            for d, found in hits.items():
-                near, cosines, windows = (np.concatenate(x) for x in zip(*found, strict=True))
-                part = slice(starts[d], starts[d + 1])
-                rows += document((keys[d]["doc_id"], keys[d]["digest"]), flat[part], at[part], near, cosines, windows)
-            columns = [pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)] if rows else [pa.array([], f.type) for f in schema]
-            yield pa.RecordBatch.from_arrays(columns, schema=schema)
+            rows = [
+                (keys[d]["doc_id"], keys[d]["digest"], ids[item], *found)
+                for (d, item), found in best.items()
+                if found[1] >= (1 if lengths_of[item] < SHORT_ITEM else least_lcs)
+            ]
+            columns = zip(*rows, strict=True) if rows else [[]] * len(schema)
+            arrays = [pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)]
+            yield pa.RecordBatch.from_arrays(arrays, schema=schema)
 
     return terms.select("doc_id", "digest", "terms", "gaps").mapInArrow(run, OUTPUT)
 

@@ -27,8 +27,9 @@ def test_common_subsequence():
         assert contamination.common_subsequence(masks, len(a), b) == plain_lcs(a, b)
 
 
-def test_decomposition_is_the_exact_one(spark):
+def test_decomposition_is_the_exact_one(spark, monkeypatch):
     """With a basis as wide as the vocabulary the latent space is exact: compare cosines with a dense decomposition."""
+    monkeypatch.setattr(contamination, "STOP_DOCS", 1000)
     rng = random.Random(5)
     vocabulary = [f"t{i}" for i in range(30)]
     texts = [" ".join(rng.choices(vocabulary, k=rng.randrange(1, 200))) for _ in range(40)]
@@ -38,7 +39,7 @@ def test_decomposition_is_the_exact_one(spark):
     weights = contamination.inverse_frequencies(terms, 30)
     counts = np.array([sum(t in text.split() for text in texts) for t in vocabulary])
     assert np.allclose(weights, np.log1p(40 / counts))
-    latent = contamination.latent_terms(terms, weights, rank=30)
+    vectors, values = contamination.decomposition(terms, weights, rank=30)
     rows = []
     for text in texts:
         words = text.split()
@@ -49,8 +50,19 @@ def test_decomposition_is_the_exact_one(spark):
             row *= weights
             rows.append(row / np.linalg.norm(row))
     _, sigma, v = np.linalg.svd(np.array(rows), full_matrices=False)
-    exact = weights[:, None] * v.T / sigma
-    assert np.allclose(np.abs(latent @ latent.T), np.abs(exact @ exact.T), rtol=1e-2, atol=1e-2 * np.abs(exact @ exact.T).max())
+    assert np.allclose(values, sigma, rtol=1e-3)
+    assert np.allclose(vectors @ np.diag(values) @ vectors.T, v.T @ np.diag(sigma) @ v, atol=1e-2)
+    few, _ = contamination.decomposition(terms, weights, rank=3)
+    assert few.shape == (30, 3) and np.allclose(few.T @ few, np.eye(3), atol=1e-4)
+
+
+def test_stop_words_weigh_nothing(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, "the rare" if i < 3 else "the") for i in range(200)], "doc_id bigint, text string")
+    items = contamination.items_of([(0, "the rare")])
+    terms = contamination.encoded_terms(docs, items.vocabulary)
+    assert np.allclose(contamination.inverse_frequencies(terms, 2), [0, np.log1p(200 / 3)])
+    monkeypatch.setattr(contamination, "STOP_DOCS", 200)
+    assert np.allclose(contamination.inverse_frequencies(terms, 2), [np.log1p(1), np.log1p(200 / 3)])
 
 
 def given(spark):
