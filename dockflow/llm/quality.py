@@ -12,7 +12,7 @@ from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dockflow.llm.common import unused
@@ -139,8 +139,10 @@ def train(docs: DataFrame, labels: DataFrame, sample_per_grade: int = SAMPLE_PER
     """
     rated = graded(labels)
     counts = {r["grade"]: r["count"] for r in rated.groupBy("grade").count().collect()}
-    order = Window.partitionBy("grade").orderBy(F.xxhash64("doc_id", F.lit("sample")), "doc_id")
-    sample = rated.withColumn("at", F.row_number().over(order)).where(F.col("at") <= sample_per_grade)
+    first = [F.xxhash64("doc_id", F.lit("sample")), "doc_id"]
+    picked = [rated.where(F.col("grade") == g).orderBy(*first).limit(sample_per_grade).collect() for g in sorted(counts)]
+    # At most sample_per_grade ids a grade: small enough to stand beside every part of the documents.
+    ids = docs.sparkSession.createDataFrame([tuple(r) for rows in picked for r in rows], "doc_id bigint, grade int")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -152,7 +154,7 @@ def train(docs: DataFrame, labels: DataFrame, sample_per_grade: int = SAMPLE_PER
             ]
             yield pa.RecordBatch.from_arrays(columns, ["grade", "index", "value"])
 
-    texts = docs.select(F.col("doc_id").cast("bigint"), "text").join(sample.select("doc_id", "grade"), "doc_id")
+    texts = docs.select(F.col("doc_id").cast("bigint"), "text").join(F.broadcast(ids), "doc_id")
     made = texts.select("grade", "text").mapInArrow(run, "grade int, index binary, value binary").collect()
     rows = [(r[0], np.frombuffer(r[1], "<i4"), np.frombuffer(r[2], "<f4")) for r in made]
     if not any(len(r[1]) for r in rows):
