@@ -146,12 +146,16 @@ def histogram(
 ) -> DataFrame:
     """Equal-width histogram per series between its minimum and maximum, the last bin closed.
 
-    ``bins`` gives the number of bins of every series; a row counts once, or ``weight`` times.
-    Distinct values are counted first, so the rows are read once. Empty bins are kept.
+    ``bins`` gives the number of bins of every series, and a series that it lacks is an error; a row counts
+    once, or ``weight`` times. Values are counted before they are binned. Empty bins are kept.
     """
     spark = values.sparkSession
     size = _n() if weight is None else F.sum(weight)
-    counted = values.filter(F.col(value).isNotNull()).groupBy(series, value).agg(size.alias("n"))
+    known = F.when(F.col(series).isin(*bins), F.col(series)).otherwise(
+        F.raise_error(F.concat(F.lit("no number of bins for series "), F.coalesce(F.col(series), F.lit("NULL"))))
+    )
+    checked = values.filter(F.col(value).isNotNull()).withColumn(series, known)
+    counted = checked.groupBy(series, value).agg(size.alias("n"))
     ranges = counted.groupBy(series).agg(
         F.min(value).alias("low"), F.max(value).alias("high"), F.sum("n").alias("total")
     )
@@ -200,8 +204,21 @@ def flow_histogram(flow: DataFrame) -> DataFrame:
     return histogram(values, "series", "net_flow", {"net_flow": 50})
 
 
-def key_findings(rides: DataFrame, flow: DataFrame) -> DataFrame:
-    """The numbers behind the findings, one per row."""
+def mart_durations(rides: DataFrame) -> DataFrame:
+    """Mart rides in 60 bins, with the median and the mean of all of them in each row."""
+    values = rides.select(F.lit("rides").alias("series"), "duration_minutes")
+    bins = histogram(values, "series", "duration_minutes", {"rides": 60})
+    return bins.select(
+        "bin",
+        "bin_low",
+        "n",
+        rides.agg(F.median("duration_minutes")).scalar().alias("median"),
+        rides.agg(F.avg("duration_minutes")).scalar().alias("mean"),
+    )
+
+
+def key_findings(rides: DataFrame, flow: DataFrame, labelled: DataFrame | None = None) -> DataFrame:
+    """The numbers behind the findings, one per row; the commuter share only with labelled points."""
     short_label = K.EDA_BANDS[0][0]
     ride_part = rides.agg(
         percent(F.count_if(F.col("duration_band") == short_label), _n()).alias("pct_short"),
@@ -218,31 +235,27 @@ def key_findings(rides: DataFrame, flow: DataFrame) -> DataFrame:
         F.count_if(F.col("priority") == "CRITICAL").cast("double").alias("n_critical"),
     )
     parts = [p.unpivot([], p.columns, "metric", "value") for p in (ride_part, flow_part)]
-    return parts[0].union(parts[1])
+    if labelled is not None:
+        from dockflow.operators.segments import commuter_share  # segments builds on this module
+
+        parts.append(commuter_share(labelled))
+    return reduce(DataFrame.union, parts)
 
 
 def column_profile(table: DataFrame) -> DataFrame:
     """Type, NULL count and distinct count of every column.
 
-    The table is read once; (column, value) pairs are counted before and after one shuffle.
+    Each column is counted by itself in its own type: a scan of that column alone, counts combined before a shuffle of
+    its distinct values. Spark groups 0.0 with -0.0, and instants by time, not by their local text.
     """
-    def text(field):
-        value = F.col(field.name)
-        if field.dataType.typeName() == "double":
-            value = value + F.lit(0.0)  # 0.0 and -0.0 are one value
-        elif field.dataType.typeName() == "timestamp":
-            value = F.unix_micros(value)  # local time can repeat, an instant cannot
-        return value.cast("string").alias(field.name)
-
-    types = {f.name: f.dataType.simpleString() for f in table.schema}
-    pairs = table.select(*[text(f) for f in table.schema]).unpivot([], table.columns, "column_name", "v")
-    values = pairs.groupBy("column_name", "v").agg(_n().alias("n"))
-    type_of = reduce(
-        lambda out, item: F.when(F.col("column_name") == item[0], F.lit(item[1])).otherwise(out),
-        types.items(),
-        F.lit(None).cast("string"),
-    )
-    return values.groupBy("column_name").agg(
-        F.coalesce(F.sum(F.when(F.col("v").isNull(), F.col("n"))), F.lit(0)).alias("nulls"),
-        F.count("v").alias("unique_values"),
-    ).select("column_name", type_of.alias("dtype"), "nulls", "unique_values")
+
+    def one(field):
+        counted = table.select(F.col(field.name).alias("v")).groupBy("v").agg(_n().alias("n"))
+        return counted.agg(
+            F.lit(field.name).alias("column_name"),
+            F.lit(field.dataType.simpleString()).alias("dtype"),
+            F.coalesce(F.sum(F.when(F.col("v").isNull(), F.col("n"))), F.lit(0)).alias("nulls"),
+            F.count("v").alias("unique_values"),
+        )
+
+    return reduce(DataFrame.union, map(one, table.schema))

@@ -44,6 +44,18 @@ def demand_features(rides: DataFrame) -> DataFrame:
     return features.select("hire_date", *K.FEATURE_COLUMNS, K.LABEL_COLUMN)
 
 
+TRAINING_COLUMNS = [
+    "rental_id", "start_datetime", "duration_seconds", "start_station_id", "hire_date", "start_hour",
+    "day_of_week", "is_weekend", "peak_hour_flag",
+]
+
+
+def training_extract(fact: DataFrame, date_from: str, date_to: str) -> DataFrame:
+    """The columns of the fact that training needs, of one range of days; a stored fact is pruned to both."""
+    days = F.col("hire_date").between(F.lit(date_from).cast("date"), F.lit(date_to).cast("date"))
+    return fact.filter(days).select(*TRAINING_COLUMNS)
+
+
 def trailing_demand(rides: DataFrame, as_of: str) -> DataFrame:
     """Mean of the last seven active days before ``as_of`` per station and hour: the serving value."""
     past = hourly_rides(rides.filter(F.col("hire_date") < F.lit(as_of).cast("date")))

@@ -1,6 +1,7 @@
 """Demand models on Spark ML: ridge baseline, random forest, gradient boosting."""
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import StandardScaler, VectorAssembler
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 from dockflow import constants as K
 
 LINEAR, FOREST, BOOSTED = "Linear Regression", "Random Forest", "Gradient Boosting"
+ROWS_PER_TASK = 100_000
 SPLIT_KEYS = ["hire_date", "start_station_id", "hour"]
 
 
@@ -32,9 +34,13 @@ class TrainSettings:
 
 
 def split(features: DataFrame, train_tenths: int = 8) -> tuple[DataFrame, DataFrame]:
-    """Train and test rows by a hash of their key: the same rows on every run and retry."""
-    bucket = F.pmod(F.xxhash64(*SPLIT_KEYS), F.lit(10))
-    return features.filter(bucket < train_tenths), features.filter(bucket >= train_tenths)
+    """Train and test rows by the md5 of their key: the same rows on every run, retry and engine.
+
+    The first two of its digits are a number below 256, of which ``train_tenths`` tenths train.
+    """
+    digest = F.md5(F.concat_ws("|", *[F.col(c).cast("string") for c in SPLIT_KEYS]))
+    trains = F.substring(digest, 1, 2) < f"{round(256 * train_tenths / 10):02x}"
+    return features.filter(trains), features.filter(~trains)
 
 
 def _assembler() -> VectorAssembler:
@@ -96,20 +102,28 @@ def _scored(model: PipelineModel, test: DataFrame) -> DataFrame:
     return model.transform(test).select(F.col(K.LABEL_COLUMN).cast("double").alias("y"), "prediction")
 
 
+def scores(predicted: DataFrame, name: str) -> DataFrame:
+    """One row for predictions (y, prediction)."""
+    error = F.col("y") - F.col("prediction")
+    return predicted.agg(
+        F.lit(name).alias("model"),
+        F.sqrt(F.avg(error * error)).alias("rmse"),
+        F.avg(F.abs(error)).alias("mae"),
+        (F.lit(1.0) - F.try_divide(F.avg(error * error), F.var_pop("y"))).alias("r2"),
+        F.count(F.lit(1)).alias("test_rows"),
+    )
+
+
 def evaluate(models: dict[str, PipelineModel], test: DataFrame) -> DataFrame:
     """RMSE, MAE and R² per model on the held-out rows."""
-    error = F.col("y") - F.col("prediction")
-    rows = None
-    for name, model in models.items():
-        scores = _scored(model, test).agg(
-            F.lit(name).alias("model"),
-            F.sqrt(F.avg(error * error)).alias("rmse"),
-            F.avg(F.abs(error)).alias("mae"),
-            (F.lit(1.0) - F.try_divide(F.avg(error * error), F.var_pop("y"))).alias("r2"),
-            F.count(F.lit(1)).alias("test_rows"),
-        )
-        rows = scores if rows is None else rows.union(scores)
-    return rows
+    return reduce(DataFrame.union, [scores(_scored(model, test), name) for name, model in models.items()])
+
+
+def baseline_scores(features: DataFrame) -> DataFrame:
+    """The trailing mean itself as a forecast, scored like a model on the held-out rows."""
+    _, test = split(features)
+    plain = test.select(F.col(K.LABEL_COLUMN).cast("double").alias("y"), F.col("rolling_7d_avg").alias("prediction"))
+    return scores(plain, "Trailing mean")
 
 
 def comparison(scores: DataFrame) -> DataFrame:
@@ -122,8 +136,9 @@ def train(features: DataFrame, settings: TrainSettings | None = None):
     """Fit and score all models; returns (models, comparison, name of the best)."""
     settings = settings or TrainSettings()
     train_rows, test_rows = split(features)
-    # Every fit reads the training rows many times.
-    train_rows = train_rows.persist()
+    # Every fit reads the training rows many times, in as few tasks as their number needs.
+    tasks = max(1, -(-train_rows.count() // ROWS_PER_TASK))
+    train_rows = train_rows.coalesce(tasks).persist()
     try:
         models = fit_all(train_rows, settings)
     finally:

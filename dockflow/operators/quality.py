@@ -200,6 +200,12 @@ def post_transform(
     )
 
 
+def one_row_per_station_day(daily: DataFrame) -> DataFrame:
+    """The check that a known station has one row a day: two (as under two names) would multiply its rides in the fact."""
+    known = daily.filter(F.col("station_id").isNotNull()).select(F.struct("hire_date", "station_id").alias("key"))
+    return run_check_on(repeats(known, "key"), "station_days", Check("D01", "one row per station and day"))
+
+
 def _breaks(condition: str) -> str:
     """Rows where the condition is not true; an unknown value breaks it."""
     return f"count_if(NOT coalesce({condition}, false))"

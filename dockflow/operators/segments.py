@@ -63,23 +63,46 @@ def weighted_points(rides: DataFrame, spec: SegmentSpec, extra: tuple[str, ...]
     return counted.groupBy(*spec.features, *kept).agg(F.count(F.lit(1)).alias("n_rides"))
 
 
+def moments(points: DataFrame, spec: SegmentSpec) -> list[tuple[float, float]]:
+    """Mean and population deviation of every feature over rides; a constant feature has deviation 1.
+
+    Deviations are taken from the mean in a second pass, so large means cost no digits.
+    """
+    n = F.col("n_rides").cast("double")
+    means = points.agg(*[F.sum(F.col(c) * n) / F.sum(n) for c in spec.features]).first()
+    if means[0] is None:
+        return [(0.0, 1.0)] * len(spec.features)
+    away = [F.col(c) - F.lit(mean) for c, mean in zip(spec.features, means)]
+    variances = points.agg(*[F.sum(d * d * n) / F.sum(n) for d in away]).first()
+    return [(mean, variance**0.5 or 1.0) for mean, variance in zip(means, variances)]
+
+
 def standardized(points: DataFrame, spec: SegmentSpec) -> DataFrame:
     """Feature vector with mean 0 and population deviation 1 over rides, as ``scaled``."""
-    n = F.col("n_rides").cast("double")
-    stats = points.agg(
-        F.sum(n).alias("n"),
-        *[F.sum(F.col(c) * n).alias(f"s_{c}") for c in spec.features],
-        *[F.sum(F.col(c) * F.col(c) * n).alias(f"q_{c}") for c in spec.features],
-    ).first()  # one row: two sums per feature
-    columns = {}
-    for c in spec.features:
-        mean = stats[f"s_{c}"] / stats["n"]
-        variance = max(stats[f"q_{c}"] / stats["n"] - mean * mean, 0.0)
-        columns[f"z_{c}"] = (F.col(c) - F.lit(mean)) / F.lit(variance**0.5 or 1.0)
+    columns = {
+        f"z_{c}": (F.col(c) - F.lit(mean)) / F.lit(deviation)
+        for c, (mean, deviation) in zip(spec.features, moments(points, spec))
+    }
     assembler = VectorAssembler(inputCols=list(columns), outputCol="scaled")
     return assembler.transform(points.withColumns(columns)).drop(*columns)
 
 
+def assign_to(points: DataFrame, spec: SegmentSpec, centres: list[tuple[float, ...]]) -> DataFrame:
+    """Weighted points with the nearest of the given centres (in feature units), as ``cluster``.
+
+    Features are standardized as for a fit; of equally near centres the first counts.
+    """
+    scales = [deviation for _, deviation in moments(points, spec)]
+    near = [
+        F.struct(
+            sum(((F.col(c) - F.lit(float(at))) / F.lit(scale)) ** 2 for c, at, scale in zip(spec.features, centre, scales)).alias("distance"),
+            F.lit(i).alias("cluster"),
+        )
+        for i, centre in enumerate(centres)
+    ]
+    return points.withColumn("cluster", F.least(*near)["cluster"])
+
+
 def _kmeans(k: int, seed: int) -> KMeans:
     return KMeans(
         k=k, seed=seed, featuresCol="scaled", predictionCol="cluster", weightCol="n_rides"
@@ -173,11 +196,21 @@ def weekend_share_by_segment(labelled: DataFrame) -> DataFrame:
     return labelled.groupBy("label").agg(share.alias("weekend_pct")).orderBy("weekend_pct")
 
 
-def durations_by_segment(labelled: DataFrame, labels: list[str], clip_at: float = 60.0) -> DataFrame:
-    """Histogram of ride minutes per segment in 30 bins, long rides clipped."""
-    minutes = F.least(F.col("duration_minutes"), F.lit(clip_at))
-    points = labelled.select("label", minutes.alias("minutes"), "n_rides")
-    return histogram(points, "label", "minutes", dict.fromkeys(labels, 30), weight="n_rides")
+def durations_by_segment(
+    labelled: DataFrame, labels: list[str], clip_at: float | None = 60.0, bins: int = 30
+) -> DataFrame:
+    """Histogram of ride minutes per segment; rides longer than ``clip_at`` count at it."""
+    minutes = F.col("duration_minutes")
+    clipped = minutes if clip_at is None else F.least(minutes, F.lit(clip_at))
+    points = labelled.select("label", clipped.alias("minutes"), "n_rides")
+    return histogram(points, "label", "minutes", dict.fromkeys(labels, bins), weight="n_rides")
+
+
+def commuter_share(labelled: DataFrame) -> DataFrame:
+    """Percent of rides in segments whose label speaks of commuters, as the key finding ``pct_commuter``."""
+    commuters = F.sum(F.when(F.col("label").contains("Commuter"), F.col("n_rides")).otherwise(0))
+    share = percent(commuters, F.sum("n_rides"))
+    return labelled.agg(share.alias("value")).select(F.lit("pct_commuter").alias("metric"), "value")
 
 
 def rule_segments(rides: DataFrame) -> DataFrame:

@@ -1,5 +1,6 @@
 """The warehouse as a set of lazy tables, and the gated run that stores it."""
 
+import uuid
 from dataclasses import dataclass
 from functools import cached_property
 
@@ -104,20 +105,30 @@ class Published:
     checks: DataFrame
 
 
+POINTER = "current"
+
+
 def publish(
     warehouse: Warehouse, folder: str, settings: PublishSettings | None = None
 ) -> Published:
-    """Check the raw tables, store the marts, check the marts. A failed gate raises."""
+    """Check the raw tables, store the marts, check the marts, then switch readers to them.
+
+    Each run writes to a folder of its own; ``folder/current`` names the last one that passed every gate, so a failed run
+    leaves what readers see as it was. The small daily table is checked before rides are joined to it: two rows for a
+    station and day would multiply rides. A failed gate raises.
+    """
     settings = settings or PublishSettings()
     spark = warehouse.spark
+    run = f"{folder}/runs/{uuid.uuid4().hex}"
     ingest = quality.post_ingest(warehouse.raw_rides, warehouse.raw_stations, settings.min_rows)
-    ingest_path = quality.save_results(ingest, f"{folder}/checks/post_ingest")
+    ingest_path = quality.save_results(ingest, f"{run}/checks/post_ingest")
     quality.gate(quality.read_results(spark, ingest_path))
 
-    stored = warehouse.with_stored_daily(f"{folder}/int_station_daily_stats")
-    days = spark.read.parquet(sinks.write_table(stored.dim_date, f"{folder}/dim_date"))
-    stations = spark.read.parquet(sinks.write_table(stored.dim_stations, f"{folder}/dim_stations"))
-    fact_path = sinks.write_fact(stored.fact_rides, f"{folder}/fact_rides")
+    stored = warehouse.with_stored_daily(f"{run}/int_station_daily_stats")
+    quality.gate(quality.one_row_per_station_day(stored.station_daily))
+    days = spark.read.parquet(sinks.write_table(stored.dim_date, f"{run}/dim_date"))
+    stations = spark.read.parquet(sinks.write_table(stored.dim_stations, f"{run}/dim_stations"))
+    fact_path = sinks.write_fact(stored.fact_rides, f"{run}/fact_rides")
     fact = sinks.read_fact(spark, fact_path, marts.FACT_COLUMNS)
 
     tables = {"fact_rides": fact, "dim_stations": stations, "dim_date": days}
@@ -128,9 +139,20 @@ def publish(
             schema_tests.as_check_results(tests, "schema_tests"),
         ]
     )
-    transform_path = quality.save_results(transform, f"{folder}/checks/post_transform")
+    transform_path = quality.save_results(transform, f"{run}/checks/post_transform")
     quality.gate(quality.read_results(spark, transform_path))
-    checks = quality.union_all(
-        [quality.read_results(spark, p) for p in (ingest_path, transform_path)]
+    sinks.point(spark, f"{folder}/{POINTER}", run)
+    return published(spark, folder)
+
+
+def published(spark: SparkSession, folder: str) -> Published:
+    """The tables of the last run that passed."""
+    run = sinks.pointed(spark, f"{folder}/{POINTER}")
+    checks = [quality.read_results(spark, f"{run}/checks/{name}") for name in ("post_ingest", "post_transform")]
+    return Published(
+        spark.read.parquet(f"{run}/int_station_daily_stats"),
+        spark.read.parquet(f"{run}/dim_date"),
+        spark.read.parquet(f"{run}/dim_stations"),
+        sinks.read_fact(spark, f"{run}/fact_rides", marts.FACT_COLUMNS),
+        quality.union_all(checks),
     )
-    return Published(stored.station_daily, days, stations, fact, checks)

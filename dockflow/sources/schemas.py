@@ -1,4 +1,7 @@
-"""Declared schemas of the raw tables. Nothing is inferred."""
+"""Declared schemas of the raw tables. Nothing is inferred.
+
+All names, types and their order are fixed values of the delivered tables.
+"""
 
 from pyspark.sql import types as T
 
@@ -34,11 +37,6 @@ STATIONS = T.StructType(
 # The dock column has a second name in delivered files.
 STATION_ALIASES = {"nbdocks": "docks_count"}
 
-REQUIRED = {
-    "cycle_hire": ["rental_id", "start_date"],
-    "cycle_stations": ["id"],
-}
-
 # Columns that must be present in delivered files.
 EXPECTED_COLUMNS = {
     "cycle_hire": [

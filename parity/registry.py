@@ -36,15 +36,18 @@ MIN_RIDES_REBALANCING, MIN_RIDES_SCENARIO, MIN_RIDES_HOTSPOT = 20, 10, 50
 INCREMENT_AFTER, INCREMENT_UNTIL = "2024-01-15 00:00:00", "2024-01-22 12:00:00"
 NOW_HOUR = 5
 POINT = (51.50302, 0.02699)
-SMALL_MODELS = models.TrainSettings(forest_trees=10, boost_rounds=10)
-STARTS = 2
+# Centres for segments that no fit decides, in the units of the features.
+CENTRES_4 = [(12, 0, 1, 1, 0, 0), (28, 1, 0, 0, 1, 0), (22, 0, 0, 0, 1, 0), (16, 0, 0, 0, 0, 1)]
+CENTRES_3 = [(12, 8, 0, 1), (35, 13, 1, 0), (18, 15, 0, 0)]
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 
 def _warehouse(spark: SparkSession, folder: str) -> Warehouse:
-    return Warehouse(testdata.cycle_hire(spark, folder), testdata.cycle_stations(spark, folder))
+    w = Warehouse(testdata.cycle_hire(spark, folder), testdata.cycle_stations(spark, folder))
+    w.folder = folder
+    return w
 
 
 def _register(name: str, build: Callable[[Warehouse], DataFrame], digits: dict[str, int] | None = None):
@@ -190,9 +193,16 @@ _register("rule_segments", lambda w: segments.rule_segments(w.banded_rides), _si
 _register("quality_post_ingest", lambda w: quality.post_ingest(w.raw_rides, w.raw_stations, MIN_ROWS), _six("value"))
 
 
+def _stored_fact(w: Warehouse) -> tuple[Warehouse, DataFrame]:
+    """The warehouse with its daily flow stored, and the fact written once and read back, as it is published."""
+    s = _stored(w)
+    path = sinks.write_fact(s.fact_rides, sinks.fresh_path(w.spark, "fact"))
+    return s, sinks.read_fact(w.spark, path, marts.FACT_COLUMNS)
+
+
 def _post_transform(w: Warehouse) -> DataFrame:
-    stored = _stored(w)
-    return quality.post_transform(stored.fact_rides, stored.dim_stations, stored.dim_date, MIN_ROWS)
+    s, fact = _stored_fact(w)
+    return quality.post_transform(fact, s.dim_stations, s.dim_date, MIN_ROWS)
 
 
 _register("quality_post_transform", _post_transform, _six("value"))
@@ -210,8 +220,8 @@ def _staging_tests(w: Warehouse) -> DataFrame:
 
 
 def _mart_tests(w: Warehouse) -> DataFrame:
-    s = _stored(w)
-    tables = {"fact_rides": s.fact_rides, "dim_stations": s.dim_stations, "dim_date": s.dim_date}
+    s, fact = _stored_fact(w)
+    tables = {"fact_rides": fact, "dim_stations": s.dim_stations, "dim_date": s.dim_date}
     return schema_tests.run_schema_tests(schema_tests.MART_TESTS, tables)
 
 
@@ -308,16 +318,17 @@ def _load_raw(w: Warehouse) -> DataFrame:
 
 
 def _write_fact(w: Warehouse) -> DataFrame:
-    path = sinks.write_fact(_stored(w).fact_rides, _path(w, "fact"))
-    return sinks.read_fact(w.spark, path, marts.FACT_COLUMNS)
+    return _stored_fact(w)[1]
 
 
 def _write_dims(w: Warehouse) -> DataFrame:
-    dims = {"dim_stations": w.dim_stations, "dim_date": w.dim_date}
-    stored = {n: w.spark.read.parquet(sinks.write_table(t, _path(w, n))) for n, t in dims.items()}
-    return quality.union_all(
-        [t.agg(F.lit(n).alias("table_name"), F.count(F.lit(1)).alias("rows")) for n, t in stored.items()]
+    """Both dimensions read back: every station, and every day under its number and name."""
+    stations, days = (
+        w.spark.read.parquet(sinks.write_table(t, _path(w, n)))
+        for n, t in (("dim_stations", w.dim_stations), ("dim_date", w.dim_date))
     )
+    named = days.select(F.lit("dim_date").alias("table_name"), "date_id", F.col("day_name").alias("name"), F.col("season").alias("kind"))
+    return named.union(stations.select(F.lit("dim_stations"), "station_id", "station_name", "rebalancing_priority"))
 
 
 def _export_dispatch(w: Warehouse) -> DataFrame:
@@ -341,7 +352,7 @@ _register("load_raw", _load_raw)
 _register("write_fact", _write_fact, FACT_DIGITS)
 _register("write_dims", _write_dims)
 _register("export_dispatch", _export_dispatch)
-_register("fact_schema", lambda w: readers.column_listing(_stored(w).fact_rides))
+_register("fact_schema", lambda w: readers.column_listing(_stored_fact(w)[1]))
 _register("schema_presence", _schema_presence)
 _register("quality_report", _quality_report)
 
@@ -358,27 +369,33 @@ _register("stream_incremental", _stream)
 # --- models and segments ---
 
 
+TRAINED: dict[tuple[str, str], tuple] = {}
+
+
+def _trained(w: Warehouse) -> tuple:
+    """All models fitted with the settings of the full run, their ranking, and the folder of the winner.
+
+    Trained once per application and folder of tables; the queries below are its table, its importances and forecasts.
+    """
+    key = (w.spark.sparkContext.applicationId, w.folder)
+    if key not in TRAINED:
+        fitted, ranked, best = models.train(features.demand_features(w.banded_rides))
+        TRAINED[key] = fitted, ranked, models.save_model(fitted[best], _path(w, "demand-model"))
+    return TRAINED[key]
+
+
 def _train_compare(w: Warehouse) -> DataFrame:
-    fitted, ranked, best = models.train(features.demand_features(w.banded_rides), SMALL_MODELS)
-    models.save_model(fitted[best], _path(w, "demand-model"))
-    return ranked
+    return _trained(w)[1]
 
 
 def _importance(w: Warehouse) -> DataFrame:
-    rows, _ = models.split(features.demand_features(w.banded_rides))
-    fitted = {models.FOREST: models.forest_pipeline(SMALL_MODELS).fit(rows)}
-    return models.feature_importance(fitted, w.spark)
+    return models.feature_importance(_trained(w)[0], w.spark)
 
 
 def _forecast(w: Warehouse) -> DataFrame:
-    rows, _ = models.split(features.demand_features(w.banded_rides))
-    fitted = models.forest_pipeline(SMALL_MODELS).fit(rows)
-    stored = models.load_model(models.save_model(fitted, _path(w, "forecast-model")))
-    return forecast.forecast_all(stored, w.stg_stations, w.banded_rides, AS_OF)
-
-
-def _spec(spec: segments.SegmentSpec, starts: int = STARTS) -> segments.SegmentSpec:
-    return segments.SegmentSpec(spec.features, spec.k, starts, spec.seed)
+    """The forecast of the model that won by RMSE, loaded from where training has saved it."""
+    best = models.load_model(_trained(w)[2])
+    return forecast.forecast_all(best, w.stg_stations, w.banded_rides, AS_OF)
 
 
 def _rider_points(w: Warehouse) -> DataFrame:
@@ -391,11 +408,11 @@ def _mart_points(w: Warehouse) -> DataFrame:
 
 
 def _profile(points: DataFrame, spec: segments.SegmentSpec) -> DataFrame:
-    return segments.profile(segments.assign(points, _spec(spec)), spec)
+    return segments.profile(segments.assign(points, spec), spec)
 
 
 def _labelled(points: DataFrame, spec: segments.SegmentSpec) -> DataFrame:
-    assigned = segments.assign(points, _spec(spec))
+    assigned = segments.assign(points, spec)
     return segments.label_points(assigned, segments.profile(assigned, spec))
 
 
@@ -408,7 +425,7 @@ _register("train_compare", _train_compare)
 _register("feature_importance", _importance)
 _register("forecast_all", _forecast)
 _register("forecast_totals", lambda w: forecast.forecast_totals(_forecast(w)))
-_register("kmeans_scan", lambda w: segments.scan_k(_rider_points(w), _spec(segments.RIDER_SPEC, 1)))
+_register("kmeans_scan", lambda w: segments.scan_k(_rider_points(w), segments.RIDER_SPEC))
 _register("segment_profile_k4", lambda w: _profile(_rider_points(w), segments.RIDER_SPEC))
 _register("segment_profile_k3", lambda w: _profile(_mart_points(w), segments.MART_SPEC))
 _register(
@@ -419,5 +436,55 @@ _register(
     "segment_weekend_k4",
     lambda w: segments.weekend_share_by_segment(_labelled(_rider_points(w), segments.RIDER_SPEC)),
 )
+
+
+def _given(points: DataFrame, spec: segments.SegmentSpec, centres: list) -> tuple[DataFrame, DataFrame]:
+    """Points labelled by given centres, and the profile of these segments."""
+    assigned = segments.assign_to(points, spec, centres)
+    found = segments.profile(assigned, spec)
+    return segments.label_points(assigned, found), found
+
+
+def _given_4(w: Warehouse) -> tuple[DataFrame, DataFrame]:
+    return _given(_rider_points(w), segments.RIDER_SPEC, CENTRES_4)
+
+
+def _given_3(w: Warehouse) -> tuple[DataFrame, DataFrame]:
+    return _given(_mart_points(w), segments.MART_SPEC, CENTRES_3)
+
+
+_register("given_profile_k4", lambda w: _given_4(w)[1])
+_register("given_profile_k3", lambda w: _given_3(w)[1])
+_register("given_hours_k3", lambda w: segments.hourly_by_segment(_given_3(w)[0]), _six("pct"))
+_register(
+    "given_durations_k3",
+    lambda w: segments.durations_by_segment(_given_3(w)[0], K.SEGMENTS_3, clip_at=None, bins=40),
+    _six("bin_low", "density"),
+)
+_register("given_weekend_k4", lambda w: segments.weekend_share_by_segment(_given_4(w)[0]), _six("weekend_pct"))
+_register(
+    "key_findings_commuters",
+    lambda w: explore.key_findings(w.explored, _flow(w), _given_4(w)[0]),
+    _six("value"),
+)
+_register("mart_durations", lambda w: explore.mart_durations(trends.duration_filter(w.banded_rides, *DATES)), _six("bin_low", "median", "mean"))
+_register(
+    "demand_split",
+    lambda w: quality.union_all(
+        [
+            part.select(*models.SPLIT_KEYS, F.lit(i == 0).alias("trains"))
+            for i, part in enumerate(models.split(features.demand_features(w.banded_rides)))
+        ]
+    ),
+)
+_register("baseline_scores", lambda w: models.baseline_scores(features.demand_features(w.banded_rides)), _six("rmse", "mae", "r2"))
+_register(
+    "serving_features",
+    lambda w: forecast.serving_features(w.stg_stations, w.banded_rides, AS_OF),
+    _six("rolling_7d_avg"),
+)
+_register("training_extract", lambda w: features.training_extract(_stored_fact(w)[1], "2024-01-05", "2024-01-25"))
+_register("high_water_mark", lambda w: readers.high_water_mark(w.raw_rides, "start_date"))
+_register("accepted_records", lambda w: readers.accepted_records(readers.validate_records(text_feed(w), schemas.RIDES), schemas.RIDES))
 _register("segment_points_k4", _rider_points, _six("duration_minutes"))
 _register("segment_points_k3", _mart_points)

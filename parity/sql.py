@@ -6,6 +6,7 @@ Each text is self-contained: ``compose`` puts the common table expressions it me
 import re
 
 from dockflow import constants as K
+from dockflow.operators.segments import MART_SPEC, RIDER_SPEC
 from parity import registry as Q
 
 D = f"hire_date BETWEEN DATE '{Q.DATE_FROM}' AND DATE '{Q.DATE_TO}'"
@@ -87,30 +88,31 @@ SELECT r.rental_id, r.bike_id, r.start_datetime, r.end_datetime, r.hire_date, r.
        CASE WHEN r.start_station_id = r.end_station_id THEN TRUE ELSE FALSE END AS is_round_trip
 FROM stg_rides r LEFT JOIN stg_stations a ON r.start_station_id = a.station_id
 LEFT JOIN stg_stations b ON r.end_station_id = b.station_id"""
-CTES["departures"] = """
+CTES["ride_ends"] = """
 SELECT hire_date, start_station_id AS station_id, start_station_name AS station_name, start_zone AS zone,
-       start_nb_docks AS nb_docks, start_lat AS latitude, start_lon AS longitude,
-       count(*) AS total_departures, count(*) FILTER (WHERE peak_hour_flag = 1) AS peak_departures,
-       avg(duration_minutes) AS avg_duration_mins
-FROM rides_enriched GROUP BY ALL"""
-CTES["arrivals"] = """
-SELECT hire_date, end_station_id AS station_id, count(*) AS total_arrivals,
-       count(*) FILTER (WHERE peak_hour_flag = 1) AS peak_arrivals
-FROM rides_enriched GROUP BY 1, 2"""
-CTES["daily_joined"] = """
-SELECT d.hire_date, d.station_id, d.station_name, d.zone, d.nb_docks, d.latitude, d.longitude,
-       d.total_departures, coalesce(a.total_arrivals, 0) AS total_arrivals, d.peak_departures,
-       coalesce(a.peak_arrivals, 0) AS peak_arrivals, d.avg_duration_mins,
-       d.total_departures - coalesce(a.total_arrivals, 0) AS net_flow,
-       (d.total_departures + coalesce(a.total_arrivals, 0)) / nullif(d.nb_docks * 2e0, 0) AS utilisation_rate,
-       abs(d.total_departures - coalesce(a.total_arrivals, 0))
-         / CAST(greatest(d.total_departures + coalesce(a.total_arrivals, 0), 1) AS DOUBLE) AS imbalance_score
-FROM departures d LEFT JOIN arrivals a ON d.hire_date = a.hire_date AND d.station_id = a.station_id"""
+       start_nb_docks AS nb_docks, start_lat AS latitude, start_lon AS longitude, TRUE AS leaves,
+       peak_hour_flag AS peak, duration_minutes AS minutes FROM rides_enriched
+UNION ALL
+SELECT hire_date, end_station_id, NULL, NULL, NULL, NULL, NULL, FALSE, peak_hour_flag, NULL FROM rides_enriched
+WHERE end_station_id IS NOT NULL"""
+CTES["end_counts"] = """
+SELECT hire_date, station_id, station_name, zone, nb_docks, latitude, longitude, leaves, count(*) AS moves,
+       CAST(sum(peak) AS BIGINT) AS peak_moves, avg(minutes) AS avg_duration_mins FROM ride_ends GROUP BY ALL"""
+CTES["day_moves"] = """
+SELECT *, CAST(coalesce(sum(moves) FILTER (WHERE NOT leaves) OVER same, 0) AS BIGINT) AS came,
+       CAST(coalesce(sum(peak_moves) FILTER (WHERE NOT leaves) OVER same, 0) AS BIGINT) AS peak_came
+FROM end_counts WINDOW same AS (PARTITION BY hire_date, station_id)"""
+CTES["daily_moves"] = """
+SELECT hire_date, station_id, station_name, zone, nb_docks, latitude, longitude, moves AS total_departures,
+       came AS total_arrivals, peak_moves AS peak_departures, peak_came AS peak_arrivals, avg_duration_mins,
+       moves - came AS net_flow, (moves + came) / nullif(nb_docks * 2e0, 0) AS utilisation_rate,
+       abs(moves - came) / CAST(greatest(moves + came, 1) AS DOUBLE) AS imbalance_score
+FROM day_moves WHERE leaves"""
 CTES["station_daily"] = """
 SELECT *, imbalance_score > 0.2 AS is_imbalanced,
        CASE WHEN net_flow > 0 THEN 'draining' WHEN net_flow < 0 THEN 'filling' ELSE 'balanced' END
          AS imbalance_direction
-FROM daily_joined"""
+FROM daily_moves"""
 CTES["station_rolling"] = """
 SELECT *, avg(total_departures) OVER (PARTITION BY station_id ORDER BY hire_date
          ROWS BETWEEN 6 PRECEDING AND CURRENT ROW) AS rolling_7d_avg_departures
@@ -610,6 +612,85 @@ oracle(
 FROM fact WHERE {D} AND duration_minutes BETWEEN 1 AND 120 GROUP BY ALL""",
 )
 
+# --- segments by given centres ---
+CTES["rider_points"] = """
+SELECT duration_minutes, CAST(is_weekend AS DOUBLE) AS is_weekend, CAST(peak_hour_flag AS DOUBLE) AS peak_hour_flag,
+       CAST(start_hour IN (7, 8, 9, 17, 18, 19) AS DOUBLE) AS is_commuter_hour,
+       CAST(start_hour IN (10, 11, 12, 13, 14, 15, 16) AS DOUBLE) AS is_leisure_hour,
+       CAST(start_hour IN (20, 21, 22, 23, 0, 1, 2) AS DOUBLE) AS is_night FROM explored"""
+CTES["mart_points"] = f"""
+SELECT duration_minutes, CAST(start_hour AS DOUBLE) AS start_hour, CAST(is_weekend AS DOUBLE) AS is_weekend,
+       CAST(peak_hour_flag AS DOUBLE) AS peak_hour_flag FROM fact WHERE {D} AND duration_minutes BETWEEN 1 AND 120"""
+
+
+def _nearest(points: str, features: tuple[str, ...], centres: list) -> str:
+    """Every ride with the nearest centre, distances in deviations of the features."""
+    deviations = ", ".join(f"coalesce(nullif(stddev_pop({c}), 0), 1) AS s_{c}" for c in features)
+    distances = ", ".join(
+        "(" + " + ".join(f"(({c} - {float(at)}) / s_{c}) ** 2" for c, at in zip(features, centre)) + ")"
+        for centre in centres
+    )
+    return f"""
+SELECT p.*, list_position(d, list_min(d)) - 1 AS cluster
+FROM (SELECT *, [{distances}] AS d FROM {points}, (SELECT {deviations} FROM {points}) s) p"""
+
+
+CTES["assigned_4"] = _nearest("rider_points", RIDER_SPEC.features, Q.CENTRES_4)
+CTES["assigned_3"] = _nearest("mart_points", MART_SPEC.features, Q.CENTRES_3)
+
+
+def _segment_profile(assigned: str, features: tuple[str, ...], digits: int, label: str) -> str:
+    means = ", ".join(f"round(avg({c}), {digits}) AS {c}" for c in features)
+    return f"""
+SELECT *, {label} AS label FROM (
+  SELECT CAST(cluster AS INTEGER) AS cluster, count(*) AS ride_count, {means},
+         round(count(*) / (SELECT count(*) FROM {assigned}) * 100, 1) AS pct_of_total FROM {assigned} GROUP BY 1)"""
+
+
+_c, _l, _m, _e = K.SEGMENTS_4
+CTES["profile_4"] = _segment_profile(
+    "assigned_4",
+    RIDER_SPEC.features,
+    3,
+    f"""CASE WHEN is_commuter_hour > 0.5 AND is_weekend < 0.25 THEN '{_c}' WHEN is_weekend > 0.4 THEN '{_l}'
+       WHEN is_leisure_hour > 0.5 THEN '{_m}' ELSE '{_e}' END""",
+)
+_c3, _l3, _o3 = K.SEGMENTS_3
+CTES["profile_3"] = _segment_profile(
+    "assigned_3",
+    MART_SPEC.features,
+    2,
+    f"CASE WHEN peak_hour_flag > 0.35 THEN '{_c3}' WHEN is_weekend > 0.4 THEN '{_l3}' ELSE '{_o3}' END",
+)
+CTES["labelled_4"] = "SELECT a.*, p.label FROM assigned_4 a JOIN profile_4 p USING (cluster)"
+CTES["labelled_3"] = "SELECT a.*, p.label FROM assigned_3 a JOIN profile_3 p USING (cluster)"
+CTES["segment_minutes"] = "SELECT label, duration_minutes AS v, 40 AS bins FROM labelled_3"
+CTES["mart_minutes"] = f"""
+SELECT 'rides' AS series, duration_minutes AS v, 60 AS bins FROM fact
+WHERE {D} AND duration_minutes BETWEEN 1 AND 120"""
+CTES["mart_bins"] = _histogram("mart_minutes", "series")
+oracle("given_profile_k4", "SELECT * FROM profile_4")
+oracle("given_profile_k3", "SELECT * FROM profile_3")
+oracle(
+    "given_hours_k3",
+    """SELECT label, start_hour, count(*) AS rides,
+       round(count(*) / sum(count(*)) OVER (PARTITION BY label) * 100, 6) AS pct FROM labelled_3 GROUP BY 1, 2""",
+)
+oracle("given_durations_k3", _histogram("segment_minutes", "label"))
+oracle("given_weekend_k4", "SELECT label, round(avg(is_weekend) * 100, 6) AS weekend_pct FROM labelled_4 GROUP BY 1")
+oracle(
+    "key_findings_commuters",
+    ORACLE["key_findings"]
+    + """
+UNION ALL SELECT 'pct_commuter', round(count(*) FILTER (WHERE contains(label, 'Commuter')) / count(*) * 100, 6)
+FROM labelled_4""",
+)
+oracle(
+    "mart_durations",
+    """SELECT bin, bin_low, n, (SELECT round(median(v), 6) FROM mart_minutes) AS median,
+       (SELECT round(avg(v), 6) FROM mart_minutes) AS mean FROM mart_bins""",
+)
+
 
 # --- data quality ---
 def _check(point: str, check_id: str, name: str, value: str, rule: str = "= 0",
@@ -947,7 +1028,43 @@ FROM (SELECT *, row_number() OVER (PARTITION BY start_station_id, hour ORDER BY
       FROM hourly_counts WHERE hire_date < DATE '{Q.AS_OF}') WHERE age <= 7 GROUP BY 1, 2""",
 )
 
+CTES["demand_rows"] = f"""
+SELECT hire_date, hour, start_station_id, ride_count,
+       coalesce(avg(ride_count) OVER (PARTITION BY start_station_id, hour ORDER BY hire_date
+                ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING), 0) AS mean_before,
+       substring(md5(CAST(hire_date AS VARCHAR) || '|' || CAST(start_station_id AS VARCHAR) || '|'
+                     || CAST(hour AS VARCHAR)), 1, 2) < 'cd' AS trains
+FROM hourly_counts"""
+oracle("demand_split", "SELECT hire_date, start_station_id, hour, trains FROM demand_rows")
+oracle(
+    "baseline_scores",
+    """SELECT 'Trailing mean' AS model, round(sqrt(avg((ride_count - mean_before) ** 2)), 6) AS rmse,
+       round(avg(abs(ride_count - mean_before)), 6) AS mae,
+       round(1 - avg((ride_count - mean_before) ** 2) / var_pop(ride_count), 6) AS r2, count(*) AS test_rows
+FROM demand_rows WHERE NOT trains""",
+)
+CTES["recent_demand"] = f"""
+SELECT start_station_id, hour, avg(ride_count) AS mean_rides
+FROM (SELECT *, row_number() OVER (PARTITION BY start_station_id, hour ORDER BY hire_date DESC) AS age
+      FROM hourly_counts WHERE hire_date < DATE '{Q.AS_OF}') WHERE age <= 7 GROUP BY 1, 2"""
+oracle(
+    "serving_features",
+    f"""SELECT DATE '{Q.AS_OF}' AS hire_date, h.hour, CAST(dayofweek(DATE '{Q.AS_OF}') + 1 AS BIGINT) AS day_of_week,
+       CAST(dayofweek(DATE '{Q.AS_OF}') IN (0, 6) AS BIGINT) AS is_weekend,
+       CAST('{Q.AS_OF}' IN ({_ML}) AS BIGINT) AS is_holiday, CAST(0 AS BIGINT) AS season,
+       s.station_id AS start_station_id, round(coalesce(r.mean_rides, 0), 6) AS rolling_7d_avg
+FROM stg_stations s CROSS JOIN (SELECT unnest(range(24)) AS hour) h
+LEFT JOIN recent_demand r ON r.start_station_id = s.station_id AND r.hour = h.hour""",
+)
+oracle(
+    "training_extract",
+    """SELECT rental_id, start_datetime, duration_seconds, start_station_id, hire_date, start_hour, day_of_week,
+       is_weekend, peak_hour_flag FROM fact WHERE hire_date BETWEEN DATE '2024-01-05' AND DATE '2024-01-25'""",
+)
+
 # --- sources ---
+oracle("high_water_mark", "SELECT max(start_date) AS high_water FROM cycle_hire")
+oracle("accepted_records", "SELECT * FROM cycle_hire WHERE end_station_id IS NOT NULL")
 oracle(
     "extract_stations",
     """SELECT id, installed, locked, install_date, name, terminal_name, latitude, longitude, docks_count,
@@ -972,8 +1089,8 @@ oracle("load_raw", "SELECT *, CAST(1 AS BIGINT) AS _sdc_table_version, TRUE AS h
 oracle("write_fact", "SELECT * FROM fact_rounded")
 oracle(
     "write_dims",
-    """SELECT 'dim_stations' AS table_name, count(*) AS "rows" FROM dim_stations
-UNION ALL SELECT 'dim_date', count(*) FROM dim_date""",
+    """SELECT 'dim_date' AS table_name, date_id, day_name AS name, season AS kind FROM dim_date
+UNION ALL SELECT 'dim_stations', station_id, station_name, rebalancing_priority FROM dim_stations""",
 )
 oracle(
     "export_dispatch",

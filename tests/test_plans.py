@@ -12,7 +12,8 @@ EAGER = {
     "segment_profile_k4", "segment_profile_k3", "segment_hours_k3", "csv_roundtrip", "load_raw",
     "write_fact", "write_dims", "export_dispatch", "quality_report", "stream_incremental",
     "recent_rides", "quality_post_transform", "schema_tests_marts", "segment_durations_k4",
-    "segment_weekend_k4",
+    "segment_weekend_k4", "given_profile_k4", "given_profile_k3", "given_hours_k3", "given_durations_k3",
+    "given_weekend_k4", "key_findings_commuters", "training_extract", "fact_schema",
 }
 LAZY = sorted(set(QUERIES) - EAGER)
 

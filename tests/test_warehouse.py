@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from dockflow.operators import quality, schema_tests
 from dockflow.plans import enrich, marts
-from dockflow.plans.warehouse import PublishSettings, Warehouse, publish
+from dockflow.plans.warehouse import PublishSettings, Warehouse, publish, published
 from dockflow.sources import sinks, testdata
 from tests.conftest import MEDIUM, SMALL
 from tests.frames import column, ride, rides_frame, rows, station, stations_frame
@@ -248,7 +248,20 @@ def test_publish_stops_at_a_failed_gate(spark):
     with pytest.raises(quality.QualityError, match="Q10"):
         publish(w, folder)
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
-        spark.read.parquet(f"{folder}/fact_rides")
+        published(spark, folder)
+
+
+def test_a_failed_run_leaves_the_published_tables(spark):
+    folder, settings = sinks.fresh_path(spark, "publish"), PublishSettings(min_rows=1)
+    ok = [ride(i, "2024-01-02 10:00:00", 600 + i, 1, 2) for i in range(5)]
+    publish(build(spark, ok, STATIONS), folder, settings)
+    before = rows(published(spark, folder).fact_rides)
+    two_names = [*ok, ride(9, "2024-01-02 11:00:00", 600, 1, 2, name="Other name")]
+    with pytest.raises(quality.QualityError, match="D01"):
+        publish(build(spark, two_names, STATIONS), folder, settings)
+    assert rows(published(spark, folder).fact_rides) == before
+    publish(build(spark, ok[:4], STATIONS), folder, settings)
+    assert published(spark, folder).fact_rides.count() == 4
 
 
 def test_views_serve_sql(spark):
