@@ -19,7 +19,7 @@ from dockflow.llm.common import unused
 
 GRADES = 3
 BITS = 18
-SAMPLE_PER_GRADE = 3_000  # labelled rows of each grade that the fit may see
+SAMPLE_PER_GRADE = 2_000  # labelled rows of each grade that the fit may see
 LEAST_DOCS = 10  # of the sample must hold a feature that gets a weight
 STEPS = 400
 RATE, RIDGE = 1.0, 5e-6
@@ -83,13 +83,13 @@ class Ordinal:
 def fit(rows: list[tuple[int, np.ndarray, np.ndarray]], weight_of: dict[int, float]) -> Ordinal:
     """Maximum likelihood with a ridge, by Adam steps over the whole sample; thresholds stay ordered by their gaps."""
     grade = np.array([g for g, _, _ in rows])
-    index = np.concatenate([f for _, f, _ in rows]).astype(np.int64)
-    value = np.concatenate([v for _, _, v in rows]).astype(np.float64)
-    row = np.repeat(np.arange(len(rows)), [len(f) for _, f, _ in rows])
+    index = np.concatenate([f for _, f, _ in rows]).astype(np.int32)
+    value = np.concatenate([v for _, _, v in rows]).astype(np.float32)
+    row = np.repeat(np.arange(len(rows), dtype=np.int32), [len(f) for _, f, _ in rows])
     common = np.bincount(index, minlength=1 << BITS) >= min(LEAST_DOCS, max(1, len(rows) // 2))
     used = common[index]
     places = np.flatnonzero(common)
-    index, value, row = np.searchsorted(places, index[used]), value[used], row[used]
+    index, value, row = np.searchsorted(places, index[used]).astype(np.int32), value[used], row[used]
     share = np.array([weight_of[g] for g in grade])
     share = share / share.sum()
     below = np.array([share[grade <= j].sum() for j in range(GRADES - 1)]).clip(0.001, 0.999)
