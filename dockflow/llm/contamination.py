@@ -12,7 +12,7 @@ does not.
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import repeat
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -112,11 +112,13 @@ def _flat(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return flat, total - np.repeat(before, lengths), lengths
 
 
-def inverse_frequencies(terms: DataFrame, size: int) -> np.ndarray:
+def inverse_frequencies(terms: DataFrame, size: int, stop_share: float | None = None) -> np.ndarray:
     """Weights of terms: the logarithm of documents over documents with the term; counts come from every document.
 
-    A stop word weighs nothing: a term in more than ``STOP_SHARE`` of the documents, and in more than ``STOP_DOCS``.
+    A stop word weighs nothing: a term in more than ``stop_share`` of the documents, and in more than ``STOP_DOCS``. With a
+    share of 1 there is none; the search takes it so, for a passage that many documents hold makes its words common.
     """
+    stop_share = STOP_SHARE if stop_share is None else stop_share
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts, n = np.zeros(size, dtype=np.int64), 0
@@ -135,7 +137,7 @@ def inverse_frequencies(terms: DataFrame, size: int) -> np.ndarray:
         else:
             counts[term] = found
     weights = np.log1p(max(n, 1) / np.maximum(counts, 1))
-    return np.where(counts > max(STOP_SHARE * n, STOP_DOCS), 0.0, weights)
+    return np.where(counts > max(stop_share * n, STOP_DOCS), 0.0, weights)
 
 
 def gram_times(terms: DataFrame, weights: np.ndarray, basis: np.ndarray) -> np.ndarray:
@@ -245,6 +247,40 @@ def common_subsequence(masks: dict[int, int], length: int, words: list[int]) ->
     return length - rest.bit_count()
 
 
+def verbatim(flat: np.ndarray, place: np.ndarray, runs: list[list[int]], weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Run and first place of every verbatim copy: each run is tried where its rarest word stands."""
+    offsets = np.array([max(range(len(r)), key=lambda i: (weights[r[i]], -i)) for r in runs])
+    lengths = np.array([len(r) for r in runs])
+    padded = np.full((len(runs), lengths.max()), -1, dtype=np.int64)
+    for i, r in enumerate(runs):
+        padded[i, : len(r)] = r
+    anchors = padded[np.arange(len(runs)), offsets]
+    by_anchor = np.argsort(anchors, kind="stable")
+    first = np.searchsorted(anchors[by_anchor], np.arange(len(weights) + 1))
+    tries = np.diff(first)
+    at = np.flatnonzero(tries[flat] > 0)
+    hits: list[tuple[np.ndarray, np.ndarray]] = []
+    for k in range(0, len(at), CHUNK):
+        here = at[k : k + CHUNK]
+        n = tries[flat[here]]
+        step = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        run = by_anchor[np.repeat(first[flat[here]], n) + step]
+        start = np.repeat(here, n) - offsets[run]
+        inside = (start >= 0) & (start + lengths[run] <= len(flat))
+        run, start = run[inside], start[inside]
+        inside = place[start + lengths[run] - 1] - place[start] == lengths[run] - 1
+        run, start = run[inside], start[inside]
+        for j in range(padded.shape[1]):
+            if not len(run):
+                break
+            word = padded[run, j]
+            same = (word < 0) | (flat[np.minimum(start + j, len(flat) - 1)] == word)
+            run, start = run[same], start[same]
+        hits.append((run, place[start]))
+    none = np.empty(0, dtype=np.int64)
+    return tuple(np.concatenate(x) for x in zip((none, none), *hits, strict=True))
+
+
 def leaks(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -289,7 +325,7 @@ OUTPUT = (
 def _block_leaks(docs: DataFrame, items: Items, least_cosine: float, least_lcs: float, least_answer: float) -> DataFrame:
     size = len(items.vocabulary)
     terms = stored(encoded_terms(docs, items.vocabulary), "terms")
-    weights = inverse_frequencies(terms, size)
+    weights = inverse_frequencies(terms, size, stop_share=1.0)
     latent = latent_terms(*decomposition(terms, weights), weights, items)
     segments = _unit(np.stack([latent[items.texts[i][a:b]].sum(axis=0) for i, a, b in items.segments]))
     of_segment = items.segments[:, 0]
@@ -340,13 +376,18 @@ def _block_leaks(docs: DataFrame, items: Items, least_cosine: float, least_lcs:
             place = (np.repeat(np.arange(len(lengths)), lengths) << 32) + at
             sorted_terms = np.sort((flat.astype(np.int64) << 44) + np.arange(len(flat)))
             best: dict[tuple[int, int], tuple] = {}
-            for item, begin, cosine in candidates(flat, place):
+            run_of, begun = verbatim(flat, place, texts, weights)
+            _, once = np.unique(np.stack([begun >> 32, run_of]), axis=1, return_index=True)
+            copies = (run_of[once], begun[once], np.ones(len(once), dtype=np.float32))
+            for item, begin, cosine in chain([copies], candidates(flat, place)):
                 for k in range(0, len(item), PAIRS):
                     near, start, score = item[k : k + PAIRS], begin[k : k + PAIRS], cosine[k : k + PAIRS]
                     # The item may stand around the window: look its length further, within the document.
                     doc, length = start >> 32 << 32, lengths_of[near]
                     first = np.searchsorted(place, np.maximum(start - length, doc))
                     last = np.searchsorted(place, np.minimum(start + WINDOW + length, doc + 0xFFFFFFFF))
+                    if not len(near):
+                        continue
                     there = answered(near, first, last, sorted_terms)
                     for c in np.flatnonzero(there >= least_answer):
                         key = (int(doc[c] >> 32), int(near[c]))

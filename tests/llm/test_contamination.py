@@ -134,3 +134,21 @@ def test_empty_tables(spark):
     assert contamination.leaks(docs, benchmark.where("false")).count() == 0
     assert contamination.leaks(empty(spark), benchmark).count() == 0
     assert contamination.decontaminated(docs, benchmark.where("false")).count() == docs.count()
+
+
+def test_an_item_in_a_third_of_the_documents_is_found_in_each(spark):
+    rng = random.Random(11)
+    vocabulary = [f"v{i}" for i in range(3000)]
+    item = " ".join(rng.sample(vocabulary, 34))
+    rows, held = [], set()
+    for i in range(400):
+        words = rng.choices(vocabulary, k=rng.randrange(60, 200))
+        if i % 3 == 0:
+            at = rng.randrange(len(words))
+            words[at:at] = item.split()
+            held.add(i)
+        rows.append((i, " ".join(words)))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    benchmark = spark.createDataFrame([(7, item), (8, "v1 v2 v3 v4"), (9, " ".join(rng.sample(vocabulary, 40)))], "item_id bigint, text string")
+    assert {(r["doc_id"], r["item_id"]) for r in contamination.leaks(docs, benchmark).collect()} == {(i, 7) for i in held}
+    assert contamination.decontaminated(docs, benchmark).count() == 400 - len(held)
