@@ -6,7 +6,7 @@ basis by the matrix and its transpose, task by task, and only sums by word leave
 rare words, so what the decomposition leaves of each word is kept too, as a random projection. In the space of both,
 overlapping passages are compared with the items by cosine; what is near is checked by the longest common subsequence of words, and
 by how many of the answer's words are there, so paraphrases that keep most words in order count and a common topic
-does not.
+does not. Verbatim copies are found word by word besides, whatever their words weigh and however short they are.
 """
 
 import re
@@ -23,9 +23,8 @@ from dockflow.llm.common import stored, unused
 from dockflow.llm.licenses import TABLE
 
 WINDOW, STRIDE = 32, 16  # words; a window is two strides
-RANK, OVERSAMPLE, SKETCH = 32, 8, 32
-SKETCH_SHARE = 2.0  # length of an item in the projection over its length in the leading dimensions
-LEAST_COSINE = 0.45
+RANK, OVERSAMPLE, SKETCH = 32, 8, 160
+LEAST_COSINE = 0.3  # what is near is checked word by word
 LEAST_LCS, LEAST_ANSWER = 0.6, 0.5
 SHORT_ITEM = 8  # words; a shorter item must be there word by word
 BLOCK_ITEMS = 20_000  # items searched at once: bounds what tasks and the driver hold
@@ -33,7 +32,9 @@ TERMS_PER_ROW = 256  # rows of the basis that travel together
 CHUNK = 1 << 18
 STOP_SHARE, STOP_DOCS = 0.2, 50
 PAIRS = 1 << 16  # candidates that are checked at once
+COLUMNS = 16  # words of an item that are looked up at once
 CELLS = 1 << 23  # cosines that are computed at once
+STRIDES = 1 << 12  # strides whose words are added up at once
 ANSWER = re.compile(r"(?:answer\s*:|\?)(?=\s*\S)(?!.*(?:answer\s*:|\?)\s*\S)(.*)", re.IGNORECASE | re.DOTALL)
 
 
@@ -221,15 +222,14 @@ def decomposition(terms: DataFrame, weights: np.ndarray, rank: int = RANK, seed:
     return basis @ vectors[:, top], np.sqrt(values[top])
 
 
-def latent_terms(vectors: np.ndarray, values: np.ndarray, weights: np.ndarray, items: Items, seed: int = 43) -> np.ndarray:
-    """Words in the space of retrieval: leading dimensions over their singular values, then a projection of the rest."""
-    random = np.random.default_rng(seed).standard_normal((len(weights), SKETCH))
-    parts = [vectors / values, random - vectors @ (vectors.T @ random)]
-    for i, share in enumerate((1.0, SKETCH_SHARE)):
-        part = weights[:, None] * parts[i]
-        lengths = [np.linalg.norm(part[items.texts[k][a:b]].sum(axis=0)) for k, a, b in items.segments]
-        parts[i] = part * (share / max(float(np.median(lengths)), 1e-30))
-    return np.concatenate(parts, axis=1).astype(np.float32)
+def latent_terms(vectors: np.ndarray, weights: np.ndarray, seed: int = 43) -> np.ndarray:
+    """Words in the space of retrieval: the leading dimensions, then a projection of the rest that keeps its length.
+
+    Cosines there are those of TF-IDF, up to the projection's error.
+    """
+    random = np.random.default_rng(seed).standard_normal((len(weights), SKETCH)) / np.sqrt(SKETCH)
+    parts = [vectors, random - vectors @ (vectors.T @ random)]
+    return (weights[:, None] * np.concatenate(parts, axis=1)).astype(np.float32)
 
 
 def _unit(rows: np.ndarray) -> np.ndarray:
@@ -326,7 +326,7 @@ def _block_leaks(docs: DataFrame, items: Items, least_cosine: float, least_lcs:
     size = len(items.vocabulary)
     terms = stored(encoded_terms(docs, items.vocabulary), "terms")
     weights = inverse_frequencies(terms, size, stop_share=1.0)
-    latent = latent_terms(*decomposition(terms, weights), weights, items)
+    latent = latent_terms(decomposition(terms, weights)[0], weights)
     segments = _unit(np.stack([latent[items.texts[i][a:b]].sum(axis=0) for i, a, b in items.segments]))
     of_segment = items.segments[:, 0]
     answers = [set(a) or _rarest(t, weights) for a, t in zip(items.answers, items.texts, strict=True)]
@@ -342,6 +342,9 @@ def _block_leaks(docs: DataFrame, items: Items, least_cosine: float, least_lcs:
     for item, answer in enumerate(answers):
         asked[item, : len(answer)] = sorted(answer)
     n_asked = (asked >= 0).sum(axis=1)
+    held = np.full((len(texts), lengths_of.max()), -1, dtype=np.int64)
+    for item, text in enumerate(texts):
+        held[item, : len(text)] = text
     rows_at_once = max(64, CELLS // len(segments))
 
     def candidates(flat: np.ndarray, place: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
@@ -350,7 +353,12 @@ def _block_leaks(docs: DataFrame, items: Items, least_cosine: float, least_lcs:
         flat, stride = flat[used], (place[used] >> 32 << 32) + (place[used] & 0xFFFFFFFF) // STRIDE
         for lo, hi in _cuts(stride >> 32):
             key, first = np.unique(stride[lo:hi], return_index=True)
-            windows = np.add.reduceat(latent[flat[lo:hi]], first, axis=0)
+            ends = np.append(first, hi - lo)
+            windows = np.empty((len(key), latent.shape[1]), dtype=np.float32)
+            for a in range(0, len(key), STRIDES):
+                b = min(a + STRIDES, len(key))
+                words = latent[flat[lo + ends[a] : lo + ends[b]]]
+                windows[a:b] = np.add.reduceat(words, first[a:b] - first[a], axis=0)
             # A window is a stride and the next one of the same document; one without words of the items adds nothing.
             follows = np.flatnonzero(key[1:] == key[:-1] + 1)
             windows[follows] += windows[follows + 1].copy()
@@ -361,13 +369,19 @@ def _block_leaks(docs: DataFrame, items: Items, least_cosine: float, least_lcs:
                 i, j = np.nonzero(cosine >= least_cosine)
                 yield of_segment[j], begin[w + i], cosine[i, j]
 
+    def present(words: np.ndarray, item: np.ndarray, first: np.ndarray, last: np.ndarray, sorted_terms: np.ndarray) -> np.ndarray:
+        """How many of each item's words stand between two places; sorted_terms is term << 44 | rank of place."""
+        total = np.zeros(len(item), dtype=np.int64)
+        for k in range(0, words.shape[1], COLUMNS):
+            wanted = words[item, k : k + COLUMNS]
+            at = np.searchsorted(sorted_terms, (wanted << 44) + first[:, None])
+            found = sorted_terms[np.minimum(at, len(sorted_terms) - 1)]
+            here = (wanted >= 0) & (found >= (wanted << 44) + first[:, None]) & (found < (wanted << 44) + last[:, None])
+            total += here.sum(axis=1)
+        return total
+
     def answered(item: np.ndarray, first: np.ndarray, last: np.ndarray, sorted_terms: np.ndarray) -> np.ndarray:
-        """Share of each item's answer that stands between two places; sorted_terms is term << 44 | rank of place."""
-        wanted = asked[item]
-        at = np.searchsorted(sorted_terms, (wanted << 44) + first[:, None])
-        found = sorted_terms[np.minimum(at, len(sorted_terms) - 1)]
-        here = (wanted >= 0) & (found >= (wanted << 44) + first[:, None]) & (found < (wanted << 44) + last[:, None])
-        return here.sum(axis=1) / n_asked[item]
+        return present(asked, item, first, last, sorted_terms) / n_asked[item]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([(c.split()[0], pa.float64() if c.endswith("double") else pa.int64()) for c in OUTPUT.split(", ")])
@@ -388,6 +402,8 @@ def _block_leaks(docs: DataFrame, items: Items, least_cosine: float, least_lcs:
                     last = np.searchsorted(place, np.minimum(start + WINDOW + length, doc + 0xFFFFFFFF))
                     if not len(near):
                         continue
+                    likely = np.flatnonzero(present(held, near, first, last, sorted_terms) >= least_lcs * length)
+                    near, score, doc, length, first, last = (x[likely] for x in (near, score, doc, length, first, last))
                     there = answered(near, first, last, sorted_terms)
                     for c in np.flatnonzero(there >= least_answer):
                         key = (int(doc[c] >> 32), int(near[c]))

@@ -152,3 +152,35 @@ def test_an_item_in_a_third_of_the_documents_is_found_in_each(spark):
     benchmark = spark.createDataFrame([(7, item), (8, "v1 v2 v3 v4"), (9, " ".join(rng.sample(vocabulary, 40)))], "item_id bigint, text string")
     assert {(r["doc_id"], r["item_id"]) for r in contamination.leaks(docs, benchmark).collect()} == {(i, 7) for i in held}
     assert contamination.decontaminated(docs, benchmark).count() == 400 - len(held)
+
+
+def test_every_near_copy_reaches_the_word_check(spark):
+    """Copies with 65 to 80 % of the words that the subsequence would accept, with the answer check left out."""
+    docs, benchmark = given(spark)
+    rng = random.Random(21)
+    clean = [r["text"].split() for r in docs.where("length(text) > 1500 AND length(text) < 9000").orderBy("doc_id").collect()]
+    rows, expected = [], set()
+    for item, text in [tuple(r) for r in benchmark.collect()] * 9:
+        words = text.split()
+        kept = [w for w in words if rng.random() < rng.choice([0.65, 0.7, 0.8])]
+        whole = contamination.words_of(text)
+        if plain_lcs(whole, contamination.words_of(" ".join(kept))) >= 0.6 * len(whole):
+            around = rng.choice(clean)
+            at = rng.randrange(len(around))
+            expected.add((len(rows), item))
+            rows.append((len(rows), " ".join([*around[:at], *kept, *around[at:]])))
+    table = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    found = {(r["doc_id"], r["item_id"]) for r in contamination.leaks(table, benchmark, least_answer=0.0).collect()}
+    assert len(expected) > 200 and len(expected - found) <= 0.01 * len(expected)
+
+
+def test_short_items_are_found_in_long_texts(spark):
+    rng = random.Random(22)
+    vocabulary = [f"v{i}" for i in range(500)]
+    items = [(i, " ".join(rng.sample(vocabulary, 3 + i % 2))) for i in range(20)]
+    rows = []
+    for i, text in items:
+        words = rng.choices([f"u{i}" for i in range(50)] + vocabulary, k=300)
+        rows.append((i, " ".join([*words[:100], text, *words[100:]])))
+    docs, benchmark = spark.createDataFrame(rows, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, text string")
+    assert {(i, i) for i, _ in items} <= {(r["doc_id"], r["item_id"]) for r in contamination.leaks(docs, benchmark).collect()}
