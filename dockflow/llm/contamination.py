@@ -5,7 +5,7 @@ gets a randomised singular value decomposition: two passes over the passages mul
 basis by the matrix and its transpose, task by task, and only sums by word leave a task. The leading dimensions hardly see
 rare words, so what the decomposition leaves of each word is kept too, as a random projection. In the space of both,
 overlapping passages are compared with the items by cosine; what is near is checked by the longest common subsequence of words, and
-by how many of the answer's words are there, so paraphrases that keep most words in order count and a common topic
+by how many of the answer's words are there unless the item or its question is all but whole, so paraphrases that keep most words in order count and a common topic
 does not. Verbatim copies are found word by word besides, whatever their words weigh and however short they are.
 """
 
@@ -26,6 +26,8 @@ WINDOW, STRIDE = 32, 16  # words; a window is two strides
 RANK, OVERSAMPLE, SKETCH = 32, 8, 160
 LEAST_COSINE = 0.3  # what is near is checked word by word
 LEAST_LCS, LEAST_ANSWER = 0.6, 0.5
+SURE_LCS = 0.9  # of an item, or of its question alone: there without a look at the answer
+LEAST_QUESTION = 3  # words of a question that counts alone
 SHORT_ITEM = 8  # words; a shorter item must be there word by word
 BLOCK_ITEMS = 20_000  # items searched at once: bounds what tasks and the driver hold
 TERMS_PER_ROW = 256  # rows of the basis that travel together
@@ -50,13 +52,14 @@ class Items:
     ids: list[int]
     texts: list[list[int]]  # term numbers
     answers: list[list[int]]
+    questions: list[int]  # words ahead of the answer; 0 if there is no answer or too few words are ahead of it
     vocabulary: dict[bytes, int]
     segments: np.ndarray  # item number, first and end word of each segment of an item
 
 
 def items_of(rows: list[tuple[int, str | None]]) -> Items:
     vocabulary: dict[bytes, int] = {}
-    ids, texts, answers, segments = [], [], [], []
+    ids, texts, answers, questions, segments = [], [], [], [], []
     for item_id, text in rows:
         words = words_of(text)
         if not words:
@@ -64,12 +67,15 @@ def items_of(rows: list[tuple[int, str | None]]) -> Items:
         numbers = [vocabulary.setdefault(w, len(vocabulary)) for w in words]
         found = ANSWER.search(text or "")
         answers.append([vocabulary[w] for w in words_of(found[1])] if found else [])
-        for start in range(0, max(1, len(numbers) - STRIDE), WINDOW):
-            start = max(0, min(start, len(numbers) - WINDOW))
-            segments.append((len(ids), start, min(start + WINDOW, len(numbers))))
+        asked = len(words_of(text[: found.start(1)])) if found else 0
+        questions.append(asked if LEAST_QUESTION <= asked < len(numbers) else 0)
+        for n in (len(numbers), questions[-1])[: 1 + (questions[-1] > 0)]:  # the whole item, and its question alone
+            for start in range(0, max(1, n - STRIDE), WINDOW):
+                start = max(0, min(start, n - WINDOW))
+                segments.append((len(ids), start, min(start + WINDOW, n)))
         ids.append(item_id)
         texts.append(numbers)
-    return Items(ids, texts, answers, vocabulary, np.array(segments, dtype=np.int64).reshape(-1, 3))
+    return Items(ids, texts, answers, questions, vocabulary, np.array(segments, dtype=np.int64).reshape(-1, 3))
 
 
 def encoded_terms(docs: DataFrame, vocabulary: dict[bytes, int]) -> DataFrame:
@@ -293,7 +299,8 @@ def leaks(
 
     One row per document row and item, for its best place: cosine of the best passage, share of the item's words in common
     order, share of the answer's words (those after a last question mark or "answer:", else the rarest third) that are
-    there, and the range of words searched. Items shorter than ``SHORT_ITEM`` words must be there with all words in order.
+    there, and the range of words searched. From ``SURE_LCS`` of the item's words or of its question's on, the answer is not
+    asked for; nor is it where the question alone stands verbatim, if that has ``LEAST_QUESTION`` words. Items shorter than ``SHORT_ITEM`` words must be there with all words in order.
     Null and empty texts, in either table, match nothing. Repeated rows and repeated items give a row each; a null doc_id
     or item_id stays null. Empty tables give no rows. Other columns are not read. Benchmarks of more than ``block_items``
     items are searched block by block, each against every document.
@@ -336,7 +343,10 @@ def _block_leaks(docs: DataFrame, items: Items, least_cosine: float, least_lcs:
         for place, term in enumerate(text):
             mask[term] = mask.get(term, 0) | 1 << place
         masks.append(mask)
-    ids, texts = items.ids, items.texts
+    ids, texts, questions = items.ids, items.texts, np.array(items.questions)
+    n_runs = len(texts)
+    runs_of = np.append(np.arange(n_runs), np.flatnonzero(questions))  # every item, then every question
+    runs = texts + [texts[i][: questions[i]] for i in runs_of[n_runs:]]
     lengths_of = np.array([len(t) for t in texts])
     asked = np.full((len(texts), max(map(len, answers))), -1, dtype=np.int64)
     for item, answer in enumerate(answers):
@@ -383,6 +393,17 @@ def _block_leaks(docs: DataFrame, items: Items, least_cosine: float, least_lcs:
     def answered(item: np.ndarray, first: np.ndarray, last: np.ndarray, sorted_terms: np.ndarray) -> np.ndarray:
         return present(asked, item, first, last, sorted_terms) / n_asked[item]
 
+    def accepted(item: int, lcs: float, answer: float, words: list[int]) -> bool:
+        if lengths_of[item] < SHORT_ITEM:
+            return lcs == 1
+        if lcs >= max(SURE_LCS, least_lcs) or (lcs >= least_lcs and answer >= least_answer):
+            return True
+        n = int(questions[item])
+        if n < SHORT_ITEM:  # a question so short must stand verbatim
+            return False
+        own = {term: m & ((1 << n) - 1) for term, m in masks[item].items()}
+        return common_subsequence(own, n, words) >= SURE_LCS * n
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([(c.split()[0], pa.float64() if c.endswith("double") else pa.int64()) for c in OUTPUT.split(", ")])
         for batch in batches:
@@ -390,10 +411,10 @@ def _block_leaks(docs: DataFrame, items: Items, least_cosine: float, least_lcs:
             place = (np.repeat(np.arange(len(lengths)), lengths) << 32) + at
             sorted_terms = np.sort((flat.astype(np.int64) << 44) + np.arange(len(flat)))
             best: dict[tuple[int, int], tuple] = {}
-            run_of, begun = verbatim(flat, place, texts, weights)
+            run_of, begun = verbatim(flat, place, runs, weights)
             _, once = np.unique(np.stack([begun >> 32, run_of]), axis=1, return_index=True)
-            copies = (run_of[once], begun[once], np.ones(len(once), dtype=np.float32))
-            for item, begin, cosine in chain([copies], candidates(flat, place)):
+            copies = (runs_of[run_of[once]], begun[once], np.ones(len(once), dtype=np.float32), True)
+            for item, begin, cosine, sure in chain([copies], ((*c, False) for c in candidates(flat, place))):
                 for k in range(0, len(item), PAIRS):
                     near, start, score = item[k : k + PAIRS], begin[k : k + PAIRS], cosine[k : k + PAIRS]
                     # The item may stand around the window: look its length further, within the document.
@@ -402,15 +423,25 @@ def _block_leaks(docs: DataFrame, items: Items, least_cosine: float, least_lcs:
                     last = np.searchsorted(place, np.minimum(start + WINDOW + length, doc + 0xFFFFFFFF))
                     if not len(near):
                         continue
-                    likely = np.flatnonzero(present(held, near, first, last, sorted_terms) >= least_lcs * length)
+                    # No more words can be in common order than are there.
+                    asked_for = questions[near]
+                    likely = sure | (present(held, near, first, last, sorted_terms) >= least_lcs * length)
+                    some = np.flatnonzero(~likely & (asked_for > 0))
+                    for n in np.unique(asked_for[some]):
+                        part = some[asked_for[some] == n]
+                        there = present(held[:, :n], near[part], first[part], last[part], sorted_terms)
+                        likely[part] = there >= SURE_LCS * n
+                    likely = np.flatnonzero(likely)
                     near, score, doc, length, first, last = (x[likely] for x in (near, score, doc, length, first, last))
                     there = answered(near, first, last, sorted_terms)
-                    for c in np.flatnonzero(there >= least_answer):
+                    for c in range(len(near)):
                         key = (int(doc[c] >> 32), int(near[c]))
                         if key in best and best[key][1] == 1 and best[key][0] >= score[c]:
                             continue
                         words = flat[first[c] : last[c]].tolist()
                         lcs = common_subsequence(masks[near[c]], int(length[c]), words) / int(length[c])
+                        if not (sure or accepted(int(near[c]), lcs, float(there[c]), words)):
+                            continue
                         found = (float(score[c]), lcs, float(there[c]), int(at[first[c]]), int(at[last[c] - 1]))
                         if key not in best or (*found[1:3], found[0]) > (*best[key][1:3], best[key][0]):
                             best[key] = found
@@ -418,7 +449,6 @@ def _block_leaks(docs: DataFrame, items: Items, least_cosine: float, least_lcs:
             rows = [
                 (keys[d]["doc_id"], keys[d]["digest"], ids[item], *found)
                 for (d, item), found in best.items()
-                if found[1] >= (1 if lengths_of[item] < SHORT_ITEM else least_lcs)
             ]
             columns = zip(*rows, strict=True) if rows else [[]] * len(schema)
             arrays = [pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)]

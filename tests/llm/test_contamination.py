@@ -184,3 +184,22 @@ def test_short_items_are_found_in_long_texts(spark):
         rows.append((i, " ".join([*words[:100], text, *words[100:]])))
     docs, benchmark = spark.createDataFrame(rows, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, text string")
     assert {(i, i) for i, _ in items} <= {(r["doc_id"], r["item_id"]) for r in contamination.leaks(docs, benchmark).collect()}
+
+
+def test_a_question_without_its_answer_is_found(spark):
+    rng = random.Random(23)
+    vocabulary = [f"v{i}" for i in range(2000)]
+    asked = [rng.sample(vocabulary, n) for n in (30, 12, 10, 4, 40)]
+    answers = [["paris"], rng.sample(vocabulary, 20), ["answer:", "blue", "green"], ["seven"], rng.sample(vocabulary, 9)]
+    items = [(i, " ".join(a) + ("? " if i != 2 else " ") + " ".join(b)) for i, (a, b) in enumerate(zip(asked, answers, strict=True))]
+    rows = []
+    for i in range(5):
+        words = rng.choices(vocabulary, k=200)
+        rows.append((i, " ".join([*words[:70], *asked[i], *words[70:]])))
+    some = asked[0][:27] + ["xyzzy"] + asked[0][28:]  # nearly the question
+    rows += [(5, " ".join(rng.choices(vocabulary, k=90) + some)), (6, " ".join(rng.choices(vocabulary, k=90) + asked[0][:15]))]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(2)
+    benchmark = spark.createDataFrame(items, "item_id bigint, text string")
+    found = {(r["doc_id"], r["item_id"]) for r in contamination.leaks(docs, benchmark).collect()}
+    assert found == {(i, i) for i in range(5)} | {(5, 0)}
+    assert [r["doc_id"] for r in contamination.decontaminated(docs, benchmark).collect()] == [6]
