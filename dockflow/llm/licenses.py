@@ -1,7 +1,7 @@
 """License scan by ordered signature rules.
 
-A text becomes its words in lower case with one blank between them. An automaton finds the rules' keywords in one pass;
-only rules whose keyword occurs are tried. A detection is an interval of words with the rule's priority; it is dropped
+A text becomes its words in lower case with one blank between them. An automaton finds the rules' keywords in one pass, as
+words or, where a version may be joined to them, as a word's beginning; only rules whose keyword occurs are tried. A detection is an interval of words with the rule's priority; it is dropped
 if an interval of higher priority (or, at equal priority, a longer or earlier one) contains it.
 """
 
@@ -157,6 +157,10 @@ def rules() -> tuple[Rule, ...]:
     return tuple(sorted(made, key=lambda rule: -rule.priority))
 
 
+JOINED = ("apache", "gpl", "lgpl", "agpl", "mpl", "eupl")  # a version may follow these without a blank, as in GPLv3
+COMPOUNDS = (("noncommercial", "commercial"),)  # words that rules take for a keyword behind another word
+
+
 @lru_cache(maxsize=1)
 def _prefilter() -> tuple[ahocorasick.Automaton, dict[str, list[int]]]:
     by_word: dict[str, list[int]] = {}
@@ -164,7 +168,9 @@ def _prefilter() -> tuple[ahocorasick.Automaton, dict[str, list[int]]]:
         by_word.setdefault(rule.keyword, []).append(i)
     finder = ahocorasick.Automaton()
     for word in [*by_word, *(phrase for phrase, _ in BASE)]:
-        finder.add_word(f" {word} ", word)
+        finder.add_word(f" {word}" if word in JOINED else f" {word} ", word)
+    for compound, word in COMPOUNDS:
+        finder.add_word(f" {compound} ", word)
     finder.make_automaton()
     return finder, by_word
 

@@ -1,3 +1,4 @@
+import random
 import re
 
 from dockflow.llm import licenses
@@ -55,3 +56,46 @@ def test_keywords_gate_no_rule_out():
 
 def test_empty_table(spark):
     assert licenses.license_scan(empty(spark)).count() == 0
+
+
+def sample(rng, parsed):
+    """A random string that the parsed expression accepts."""
+    made = ""
+    for kind, value in parsed:
+        name = str(kind)
+        if name == "LITERAL":
+            made += chr(value)
+        elif name in ("MAX_REPEAT", "MIN_REPEAT"):
+            made += "".join(sample(rng, value[2]) for _ in range(rng.randint(value[0], min(value[1], 4))))
+        elif name == "SUBPATTERN":
+            made += sample(rng, value[3])
+        elif name == "BRANCH":
+            made += sample(rng, rng.choice(value[1]))
+        elif name == "NOT_LITERAL":
+            made += "q"
+        elif name == "IN":
+            low = value[0][1]
+            made += chr(low[0] if isinstance(low, tuple) else low)
+        else:
+            assert name in ("ASSERT", "ASSERT_NOT"), name
+    return made
+
+
+def test_each_rule_detects_as_much_behind_the_prefilter():
+    rng = random.Random(1)
+    for rule in licenses.rules():
+        for _ in range(40):
+            text = f" {sample(rng, re._parser.parse(rule.pattern.pattern.decode()))} "
+            assert rule.pattern.search(text.encode()), text
+            finder, _ = licenses._prefilter()
+            assert rule.keyword in {word for _, word in finder.iter(text)}, (rule.label, text)
+
+
+def test_joined_versions():
+    assert labels("Licensed under GPLv3") == ["gpl-3.0-short"]
+    assert labels("Licensed under GPL2.") == ["gpl-2.0-short"]
+    assert labels("Licensed under LGPLv2.1") == ["lgpl"]
+    assert labels("Licensed under AGPLv3") == ["agpl"]
+    assert labels("Licensed under MPLv2.0") == ["mpl"]
+    assert labels("Licensed under Apache2") == ["apache-2.0"]
+    assert labels("noncommercial use only") == ["non-commercial"]
