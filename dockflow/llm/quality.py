@@ -135,7 +135,8 @@ def train(docs: DataFrame, labels: DataFrame, sample_per_grade: int = SAMPLE_PER
     """The model, or None if no document is rated.
 
     The fit sees the first ``sample_per_grade`` rated documents of each grade by hash, with whole texts; weights make up
-    for the grades' true shares. If a rated doc_id has several texts, each is a row.
+    for the grades' true shares. A repeated doc_id is one row, with its text of the smallest hash, so that at most ``sample_per_grade``
+    rows of each grade leave Spark.
     """
     rated = graded(labels)
     counts = {r["grade"]: r["count"] for r in rated.groupBy("grade").count().collect()}
@@ -145,17 +146,25 @@ def train(docs: DataFrame, labels: DataFrame, sample_per_grade: int = SAMPLE_PER
     ids = docs.sparkSession.createDataFrame([tuple(r) for rows in picked for r in rows], "doc_id bigint, grade int")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        least: dict[int, tuple[int, int, bytes | None]] = {}  # as many as sampled ids at most
         for batch in batches:
-            made = [features(text) for text in batch.column("text").cast(pa.binary()).to_pylist()]
-            columns = [
-                batch.column("grade"),
-                pa.array([f.astype("<i4").tobytes() for f, _ in made], pa.binary()),
-                pa.array([v.astype("<f4").tobytes() for _, v in made], pa.binary()),
-            ]
-            yield pa.RecordBatch.from_arrays(columns, ["grade", "index", "value"])
-
-    texts = docs.select(F.col("doc_id").cast("bigint"), "text").join(F.broadcast(ids), "doc_id")
-    made = texts.select("grade", "text").mapInArrow(run, "grade int, index binary, value binary").collect()
+            keys = (batch.column(c).to_pylist() for c in ("doc_id", "digest", "grade"))
+            for at, (doc, digest, grade) in enumerate(zip(*keys, strict=True)):
+                if doc not in least or digest < least[doc][0]:
+                    text = batch.column("text")[at].as_py()
+                    least[doc] = (digest, grade, None if text is None else text.encode())
+        for doc, (digest, grade, text) in least.items():
+            found, values = features(text)
+            made = ([doc], [digest], [grade], [found.astype("<i4").tobytes()], [values.astype("<f4").tobytes()])
+            kinds = (pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.binary())
+            columns = [pa.array(m, k) for m, k in zip(made, kinds, strict=True)]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "digest", "grade", "index", "value"])
+
+    texts = docs.select(F.col("doc_id").cast("bigint"), "text", F.xxhash64("text").alias("digest"))
+    each = texts.join(F.broadcast(ids), "doc_id").select("doc_id", "digest", "grade", "text")
+    each = each.mapInArrow(run, "doc_id bigint, digest bigint, grade int, index binary, value binary")
+    one = each.groupBy("doc_id").agg(F.min_by(F.struct("grade", "index", "value"), "digest").alias("r"))
+    made = one.select("r.*").collect()
     rows = [(r[0], np.frombuffer(r[1], "<i4"), np.frombuffer(r[2], "<f4")) for r in made]
     if not any(len(r[1]) for r in rows):
         return None

@@ -60,3 +60,15 @@ def test_without_ratings_everything_stays(spark):
     assert quality.select_quality(docs, none).count() == docs.count()
     assert quality.graded_documents(docs, none).where("keep AND p_good IS NULL").count() == docs.count()
     assert quality.graded_documents(empty(spark), none).count() == 0
+
+
+def test_a_repeated_id_is_one_row_of_the_fit(spark, monkeypatch):
+    rows = [(i, f"good words here number {i}" if i % 2 else f"bad stuff there item {i}") for i in range(40)]
+    rows += [(1, f"copy {i % 7} of the first one") for i in range(3000)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(6)
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(40)], RATINGS)
+    seen = []
+    fit = quality.fit
+    monkeypatch.setattr(quality, "fit", lambda rows, weight_of: seen.append((len(rows), weight_of)) or fit(rows, weight_of))
+    first, second = quality.train(docs, labels), quality.train(docs.repartition(3), labels)
+    assert seen == [(40, {1: 1.0, 2: 1.0})] * 2 and np.array_equal(first.weights, second.weights)
