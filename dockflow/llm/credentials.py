@@ -12,6 +12,14 @@ from dockflow.llm.common import stored
 
 ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 
+# A key block ends with its END line, or else where its base64 lines end. A run of five dashes ends the first form.
+PEM_LINE = r"-----(?:BEGIN|END) [A-Z ]{0,20}PRIVATE KEY-----"
+PEM = (
+    r"-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----(?:[^-]*+(?:-{1,4}[^-]++){0,64}+-----END [A-Z ]{0,20}PRIVATE KEY-----"
+    r"|(?:\s*+[A-Za-z0-9+/=]{16,}+){0,1000}+(?:\s*+[A-Za-z0-9+/]{1,15}={1,2})?+)"
+)
+PEM_NOISE = r"\\[nrt]|[^A-Za-z0-9+/=]"  # what may stand between the characters of a key: line ends, also escaped, and quotes
+
 # Fixed values, in the order in which kinds are listed: kind, pattern, group of the value, its least length, a gate.
 # The first three are the base. A run of at least 32 (or 16) characters of a class is a run that long of `+`.
 KINDS = (
@@ -22,8 +30,8 @@ KINDS = (
     ("slack", r"xox[abprs]-[A-Za-z0-9-]{10,}", 0, 15, "xox"),
     ("google", r"AIza[0-9A-Za-z_-]{35}", 0, 39, "AIza"),
     ("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", 0, 30, "eyJ"),
-    ("pem", r"-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----", 0, 27, "PRIVATE KEY"),
-    ("url", r"[a-z][a-z0-9+]{1,15}://[A-Za-z0-9._~-]{1,64}:[A-Za-z0-9._~!-]{3,64}@[A-Za-z0-9.-]+", 0, 12, "://"),
+    ("pem", PEM, 0, 27, "PRIVATE KEY"),
+    ("url", r"[a-z][a-z0-9+]{1,15}://[A-Za-z0-9._~-]++:[A-Za-z0-9._~!-]{3,}+@[A-Za-z0-9.-]+", 0, 12, "://"),
 )
 BASE_KINDS = 3
 
@@ -34,9 +42,12 @@ LIVE_CHARACTERS = 8  # a live value has at least so many different characters
 
 def _places(matches: str, pieces: str, order: int) -> Column:
     """Structs (start, order, end, value) of the matches; places in code points, end exclusive."""
-    _, pattern, group, least, _ = KINDS[order]
+    kind, pattern, group, least, _ = KINDS[order]
     none = "CAST(array() AS array<struct<start: bigint, ord: int, end: bigint, value: string>>)"
     value = f"regexp_extract(x.m, {_sql(pattern)}, {group})" if group else "x.m"
+    if kind == "pem":  # the key itself without white space; a header without a key stands for itself
+        body = f"regexp_replace(regexp_replace(x.m, {_sql(PEM_LINE)}, ''), {_sql(PEM_NOISE)}, '')"
+        value = f"CASE WHEN length({body}) >= {least} THEN {body} ELSE regexp_extract(x.m, {_sql(PEM_LINE)}, 0) END"
     fold = f"""aggregate(zip_with(slice({pieces}, 1, size({matches})), {matches}, (p, m) -> struct(p AS p, m AS m)),
         struct(0L AS at, {none} AS out),
         (acc, x) -> struct(acc.at + length(x.p) + length(x.m) AS at, array_append(acc.out, struct(

@@ -61,3 +61,28 @@ def test_plan_has_no_python(spark):
 @pytest.mark.parametrize("column", ["source", "lang"])
 def test_empty_table(spark, column):
     assert credentials.secret_scan(empty(spark), owner=column).count() == 0
+
+
+def test_private_keys_are_told_apart_by_their_body(spark):
+    def key(seed, lines=8):
+        body = [hashlib.sha512(f"{seed} {i}".encode()).hexdigest()[:64] for i in range(lines)]
+        return body
+
+    begin, end = "-----BEGIN RSA PRIVATE KEY-----", "-----END RSA PRIVATE KEY-----"
+    shared = key("shared")
+    texts = [" ".join([f"mine {begin}", *key(i), f"{end} tail"]) for i in range(5)]
+    texts += ["\n".join([f"copied {begin}", *shared, f"{end} tail"]), "\r\n".join([begin, *shared, end]), "\\n".join([begin, *shared, end])]
+    texts += [begin + "\n" + "\n".join(key("cut")), "the header " + begin + " is a line", begin + "\nProc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,0A1B\n\n" + "\n".join(key("enc")) + "\n" + end]
+    token = "eyJhbGciOi" + "x" * 90
+    texts += [f"see https://user:{token}@host.example.org/path", f"see https://{token}:{token}@host.example.org"]
+    docs = spark.createDataFrame([(i, t, "en", f"owner{i}", 1) for i, t in enumerate(texts)], "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    found = {r["doc_id"]: r for r in credentials.secret_scan(docs).collect()}
+    for i in [*range(5), 8, 10]:
+        assert (found[i]["n_live"], found[i]["n_example"]) == (1 + found[i]["n_hex"], 0), i
+    for i in (5, 6, 7):
+        assert (found[i]["n_live"], found[i]["n_example"]) == (0, 1 + found[i]["n_hex"]), i
+    for i in [*range(8), 8, 10]:
+        span = next(s for s in found[i]["spans"].split(",") if s.startswith("pem:"))
+        assert texts[i][int(span.split(":")[1]) : int(span.split(":")[2])] == begin + texts[i].split(begin)[1].removesuffix(" tail")
+    assert f"pem:11:{11 + len(begin)}" in found[9]["spans"]
+    assert "url:4:" in found[11]["spans"] and "url:4:" in found[12]["spans"]
