@@ -16,6 +16,7 @@ from dockflow.llm.personal import personal_data
 from dockflow.llm.quality import graded_documents
 from dockflow.llm.simhash import near_duplicates
 from dockflow.llm.tokens import encoded
+from dockflow.llm.whitening import whitened
 
 
 def op1_leaks(spark: SparkSession, folder: str) -> DataFrame:
@@ -64,6 +65,10 @@ def op10_chat(spark: SparkSession, folder: str) -> DataFrame:
     return conversations.chat_format(read_table(spark, folder, "conversations"))
 
 
+def op12_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whitened(read_table(spark, folder, "embeddings"), components=16)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_leaks": op1_leaks,
     "op2_neighbours": op2_neighbours,
@@ -75,6 +80,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_ids": op8_token_ids,
     "op9_mixing": op9_mixing,
     "op10_chat": op10_chat,
+    "op12_whitening": op12_whitening,
 }
 
 ORACLES: dict[str, str] = {"op10_chat": conversations.ORACLE}
