@@ -13,7 +13,9 @@ from dockflow.llm.licenses import license_scan
 from dockflow.llm.mixing import mixed
 from dockflow.llm.neighbours import nearest
 from dockflow.llm.personal import personal_data
+from dockflow.llm.pieces import encoded_pieces
 from dockflow.llm.quality import graded_documents
+from dockflow.llm.repair import repaired
 from dockflow.llm.simhash import near_duplicates
 from dockflow.llm.tokens import encoded
 from dockflow.llm.whitening import whitened
@@ -65,10 +67,18 @@ def op10_chat(spark: SparkSession, folder: str) -> DataFrame:
     return conversations.chat_format(read_table(spark, folder, "conversations"))
 
 
+def op11_pieces(spark: SparkSession, folder: str) -> DataFrame:
+    return encoded_pieces(read_table(spark, folder, "documents"), model="piece_bpe_32k.model", end_id=2)
+
+
 def op12_whitening(spark: SparkSession, folder: str) -> DataFrame:
     return whitened(read_table(spark, folder, "embeddings"), components=16)
 
 
+def op13_repair(spark: SparkSession, folder: str) -> DataFrame:
+    return repaired(read_table(spark, folder, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_leaks": op1_leaks,
     "op2_neighbours": op2_neighbours,
@@ -80,7 +90,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_ids": op8_token_ids,
     "op9_mixing": op9_mixing,
     "op10_chat": op10_chat,
+    "op11_pieces": op11_pieces,
     "op12_whitening": op12_whitening,
+    "op13_repair": op13_repair,
 }
 
 ORACLES: dict[str, str] = {"op10_chat": conversations.ORACLE}
