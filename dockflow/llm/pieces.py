@@ -9,9 +9,10 @@ hash; a slice segments what it has not seen and answers every block; a block wit
 import hashlib
 import re
 import struct
+from collections import defaultdict
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import groupby
+from itertools import count, groupby
 from operator import itemgetter
 
 import numpy as np
@@ -28,7 +29,7 @@ from dockflow.llm.common import importable, stored
 
 MARK = "▁"
 WORD = re.compile(f"{MARK}+[^{MARK}]*")
-BLOCK_CHARS = 24 << 20  # characters of text in a block, or one text
+BLOCK_CHARS = 64 << 20  # characters of text in a block, or one text
 SLICES = 1024  # of the word table; a task holds the distinct words of one slice at a time
 RUN = 1 << 18  # words of a text that are turned into ids and decoded at a time
 
@@ -50,15 +51,21 @@ def check_separable(model: str) -> None:
 
 
 def marked(text: str | None) -> list[str]:
-    """The marked words of a text: its blanks are markers, and one stands before it."""
-    return WORD.findall(MARK + text.replace(" ", MARK)) if text else []
+    """The marked words of a text, each without its first marker, which the library puts before what it encodes.
+
+    The blanks of a text are markers, and one stands before it.
+    """
+    if not text:
+        return []
+    if text[0] == " " or text[-1] == " " or "  " in text or MARK in text:  # runs of markers belong to one word
+        return [w[1:] for w in WORD.findall(MARK + text.replace(" ", MARK))]
+    return text.split(" ")
 
 
 def segmented(sp: sentencepiece.SentencePieceProcessor, words: list[str]) -> list[list[int]]:
-    """The ids of each marked word; the library itself puts the first marker."""
+    """The ids of each marked word; the library takes an empty text for none, here it is a marker by itself."""
     single = [sp.piece_to_id(MARK)]
-    found = sp.encode([w[1:] for w in words], num_threads=1)
-    return [ids if len(w) > 1 else single for w, ids in zip(words, found, strict=True)]
+    return [ids if w else single for w, ids in zip(words, sp.encode(words, num_threads=1), strict=True)]
 
 
 def _lists(parts: list[bytes]) -> bytes:
@@ -86,19 +93,16 @@ def _unplaned(frame: bytes) -> np.ndarray:
     return np.ascontiguousarray(data.T).view("<u4").ravel()
 
 
-# kind 0: texts of a block as places in its list of words (key: their row keys); 1: the block's words of one slice;
-# 2: the ids of these words.
-RECORD = "block bigint, kind int, slice int, doc_ids array<bigint>, counts array<bigint>, places binary, words binary"
+# Records of a block. TEXTS: the places of the texts' words in the block's list of words, and the list's order by slices;
+# WORDS: its words of one slice; IDS: the ids of these. All carry a digest of the list.
+TEXTS, WORDS, IDS = range(3)
+RECORD = (
+    "block bigint, kind int, digest bigint, slice int, doc_ids array<bigint>, counts array<bigint>, places binary, "
+    "words binary"
+)
 SCHEMA = pa.schema(
-    [
-        ("block", pa.int64()),
-        ("kind", pa.int32()),
-        ("slice", pa.int32()),
-        ("doc_ids", pa.list_(pa.int64())),
-        ("counts", pa.list_(pa.int64())),
-        ("places", pa.binary()),
-        ("words", pa.binary()),
-    ]
+    {"block": pa.int64(), "kind": pa.int32(), "digest": pa.int64(), "slice": pa.int32()}
+    | {"doc_ids": pa.list_(pa.int64()), "counts": pa.list_(pa.int64()), "places": pa.binary(), "words": pa.binary()}
 )
 
 
@@ -106,58 +110,72 @@ def _record(**fields) -> pa.RecordBatch:
     return pa.RecordBatch.from_pylist([fields], SCHEMA)
 
 
-def _blocks(batches: Iterator[pa.RecordBatch], part: int, slices: int, chars: int) -> Iterator[pa.RecordBatch]:
-    """Cut a task's texts into blocks: the places of their words in the block's list, and this list by slices."""
-    number, held = 0, 0
-    numbers: dict[str, int] = {}
-    doc_ids, counts, places = [], [], []
-
-    def block() -> Iterator[pa.RecordBatch]:
-        at = np.concatenate(places)
-        often = np.argsort(-np.bincount(at, minlength=len(numbers)), kind="stable")  # frequent words get small places
-        rank = np.empty_like(often)
-        rank[often] = np.arange(len(often))
-        here = {"block": (part << 32) + number}
-        yield _record(**here, kind=0, doc_ids=doc_ids, counts=counts, places=_planes(rank[at]))
-        words = list(map(str.encode, numbers))
-        to = np.fromiter((xxhash.xxh3_64_intdigest(w) % slices for w in words), np.int64, len(words))
-        by_slice = np.lexsort((rank, to))
+def _block(number: int, numbers: dict[str, int], texts: list, slices: int, kind: int) -> Iterator[dict]:
+    """The records of one kind of a block of texts: (doc_id, places of its words in order of first sight)."""
+    at = np.concatenate([places for _, places in texts])
+    often = np.argsort(-np.bincount(at, minlength=len(numbers)), kind="stable")  # frequent words get small places
+    rank = np.empty_like(often)
+    rank[often] = np.arange(len(often))
+    words = list(map(str.encode, numbers))
+    to = np.fromiter((xxhash.xxh3_64_intdigest(w) % slices for w in words), np.int64, len(words))
+    by_slice = np.lexsort((rank, to))
+    digest = xxhash.xxh3_64()
+    for i in often.tolist():
+        digest.update(words[i] + b" ")
+    here = {"block": number, "kind": kind, "digest": digest.intdigest() >> 1}
+    if kind == TEXTS:
+        counts = [len(places) for _, places in texts]
+        yield {
+            **here,
+            "doc_ids": [doc_id for doc_id, _ in texts],
+            "counts": counts,
+            "places": _planes(rank[at]),
+            "words": _planes(rank[by_slice]),
+        }
+    else:
         edges = np.flatnonzero(np.diff(to[by_slice], prepend=-1, append=-1))
         for a, b in zip(edges, edges[1:], strict=False):
-            mine = by_slice[a:b]
-            yield _record(
-                **here, kind=1, slice=int(to[mine[0]]), places=_planes(rank[mine]), words=_lists([words[i] for i in mine])
-            )
+            mine = by_slice[a:b].tolist()
+            yield {**here, "slice": int(to[mine[0]]), "words": _lists([words[i] for i in mine])}
 
+
+def _blocks(
+    batches: Iterator[pa.RecordBatch], part: int, slices: int, chars: int, kind: int
+) -> Iterator[pa.RecordBatch]:
+    """Cut a task's texts into blocks, in the order they come."""
+    block, held, texts = 0, 0, []
+    numbers: dict[str, int] = defaultdict(count().__next__)
     for batch in batches:
         for doc_id, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
             words = marked(text)
-            places.append(np.fromiter((numbers.setdefault(w, len(numbers)) for w in words), np.int64, len(words)))
-            doc_ids.append(doc_id)
-            counts.append(len(words))
+            texts.append((doc_id, np.fromiter(map(numbers.__getitem__, words), np.int64, len(words))))
             held += len(text or "")
             if held >= chars:
-                yield from block()
-                number, held = number + 1, 0
-                numbers.clear()
-                doc_ids, counts, places = [], [], []
-    if doc_ids:
-        yield from block()
+                for record in _block((part << 32) + block, numbers, texts, slices, kind):
+                    yield _record(**record)
+                block, held, texts = block + 1, 0, []
+                numbers = defaultdict(count().__next__)
+    if texts:
+        for record in _block((part << 32) + block, numbers, texts, slices, kind):
+            yield _record(**record)
+
+
+def _width(model: str) -> str:
+    return "<u2" if library(model).get_piece_size() <= 1 << 16 else "<u4"
 
 
 def _table(batches: Iterator[pa.RecordBatch], model: str) -> Iterator[pa.RecordBatch]:
     """Answer the words of every block, slice by slice; a word is segmented when the slice first sees it."""
-    sp = library(model)
-    width = "<u2" if sp.get_piece_size() <= 1 << 16 else "<u4"
+    sp, width = library(model), _width(model)
     records = (r for batch in batches for r in batch.to_pylist())
     for _, run in groupby(records, key=itemgetter("slice")):
         table: dict[bytes, bytes] = {}
         for r in run:
             words = _unlisted(r["words"])
-            fresh = [w for w in dict.fromkeys(words) if w not in table]
+            fresh = [w for w in words if w not in table]
             for w, ids in zip(fresh, segmented(sp, [w.decode() for w in fresh]), strict=True):
                 table[w] = np.array(ids, width).tobytes()
-            yield _record(block=r["block"], kind=2, places=r["places"], words=_lists([table[w] for w in words]))
+            yield _record(**{**r, "kind": IDS, "words": _lists([table[w] for w in words])})
 
 
 OUTPUT = "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
@@ -166,11 +184,12 @@ OUTPUT = "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 stri
 class WordIds:
     """The ids of a block's words by their places."""
 
-    def __init__(self, n: int, answers: Iterator[tuple[bytes, bytes]], width: str):
-        ids: list[bytes] = [b""] * n
-        for places, words in answers:
-            for at, found in zip(_unplaned(places).tolist(), _unlisted(words), strict=True):
-                ids[at] = found
+    def __init__(self, texts: dict, answers: list[dict], width: str):
+        order = _unplaned(texts["words"])
+        ids: list[bytes] = [b""] * len(order)
+        found = (w for r in sorted(answers, key=itemgetter("slice")) for w in _unlisted(r["words"]))
+        for place, w in zip(order.tolist(), found, strict=True):
+            ids[place] = w
         size = np.dtype(width).itemsize
         self.lengths = np.array([len(w) // size for w in ids], np.int64)
         self.starts = np.concatenate([[0], np.cumsum(self.lengths)])[:-1]
@@ -186,15 +205,15 @@ class WordIds:
 
 def ids_of_texts(records: list[dict], model: str) -> Iterator[tuple[int | None, Iterator[np.ndarray]]]:
     """The texts of a block: doc_id, and its ids in runs that end with a word."""
-    width = "<u2" if library(model).get_piece_size() <= 1 << 16 else "<u4"
-    (texts,) = (r for r in records if r["kind"] == 0)
-    answers = [(r["places"], r["words"]) for r in records if r["kind"] == 2]
-    places = _unplaned(texts["places"]).astype(np.int64)
-    found = WordIds(int(places.max(initial=-1)) + 1, answers, width)
+    (texts,) = (r for r in records if r["kind"] == TEXTS)
+    answers = [r for r in records if r["kind"] == IDS]
+    if any(r["digest"] != texts["digest"] for r in answers):
+        raise ValueError("the texts came in another order when they were read again: store the table first")
+    found, places = WordIds(texts, answers, _width(model)), _unplaned(texts["places"]).astype(np.int64)
     start = 0
-    for doc_id, count in zip(texts["doc_ids"], texts["counts"], strict=True):
-        yield doc_id, (found.of(places[a : min(a + RUN, start + count)]) for a in range(start, start + count, RUN))
-        start += count
+    for doc_id, n in zip(texts["doc_ids"], texts["counts"], strict=True):
+        yield doc_id, (found.of(places[a : min(a + RUN, start + n)]) for a in range(start, start + n, RUN))
+        start += n
 
 
 @lru_cache(maxsize=2)
@@ -237,18 +256,26 @@ def encoded_pieces(
     A null text is empty: the end id alone. Repeated rows and null doc_ids give a row each; extra columns are ignored; an
     empty table gives an empty one. Memory of a task: one block (``block_chars``, or one text) or the distinct words of
     one of the ``slices``. A text without blanks is one word.
+
+    Texts are read twice, for their words and for the places of these, which moves far less than storing both. Blocks
+    follow the order of the texts, which files keep; a table that comes out of a shuffle is stored first.
     """
     importable(docs.sparkSession)
     check_separable(model)
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    blocks = stored(
-        texts.mapInArrow(lambda b: _blocks(b, TaskContext.get().partitionId(), slices, block_chars), RECORD), "pieces"
-    )
+    if "Exchange" in texts._jdf.queryExecution().executedPlan().toString():
+        texts = stored(texts, "texts")
+
+    def blocks(kind: int) -> DataFrame:
+        return texts.mapInArrow(
+            lambda b: _blocks(b, TaskContext.get().partitionId(), slices, block_chars, kind), RECORD
+        )
+
     answers = (
-        blocks.where("kind = 1")
+        blocks(WORDS)
         .repartition("slice")
         .sortWithinPartitions("slice")
         .mapInArrow(lambda b: _table(b, model), RECORD)
     )
-    grouped = blocks.where("kind = 0").unionByName(answers).groupBy("block")
+    grouped = blocks(TEXTS).unionByName(answers).groupBy("block")
     return grouped.applyInArrow(lambda t: _answered(t.to_pylist(), model, end_id), OUTPUT)

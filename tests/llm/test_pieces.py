@@ -86,10 +86,23 @@ def test_each_word_is_segmented_once_in_its_slice(spark, monkeypatch):
     tables = []
     for part, text in enumerate(["a b a c", "b c d d", "a"]):
         batch = pieces.pa.RecordBatch.from_pylist([{"doc_id": part, "text": text}])
-        tables += [b for b in pieces._blocks(iter([batch]), part, 1, 1 << 20) if b.column(1)[0].as_py() == 1]
+        tables += pieces._blocks(iter([batch]), part, 1, 1 << 20, pieces.WORDS)
     answers = list(pieces._table(iter(tables), MODEL))
     assert len(answers) == 3
-    assert sorted(seen) == ["▁a", "▁b", "▁c", "▁d"]
+    assert sorted(seen) == ["a", "b", "c", "d"]
+
+
+def test_texts_in_another_order_are_noticed():
+    def records(texts, kind):
+        batch = pieces.pa.RecordBatch.from_pylist([{"doc_id": 1, "text": t} for t in texts])
+        return [r for b in pieces._blocks(iter([batch]), 0, 1, 1 << 20, kind) for r in b.to_pylist()]
+
+    batch = pieces.pa.RecordBatch.from_pylist([{"doc_id": 1, "text": "a b"}])
+    answered = pieces._table(pieces._blocks(iter([batch]), 0, 1, 1 << 20, pieces.WORDS), MODEL)
+    answers = [r for b in answered for r in b.to_pylist()]
+    assert len(list(pieces.ids_of_texts([*records(["a b"], pieces.TEXTS), *answers], MODEL))) == 1
+    with pytest.raises(ValueError, match="store the table"):
+        list(pieces.ids_of_texts([*records(["b a"], pieces.TEXTS), *answers], MODEL))
 
 
 def test_empty_table(spark):
