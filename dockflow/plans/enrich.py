@@ -175,8 +175,8 @@ def station_daily_stats(banded: DataFrame, stations: DataFrame) -> DataFrame:
 
 
 def station_rolling(daily: DataFrame) -> DataFrame:
-    """Mean departures over a station's last seven active days (rows, not calendar days)."""
-    last_rows = Window.partitionBy("station_id").orderBy("hire_date").rowsBetween(-6, 0)
+    """Mean departures over a station's last seven active days (rows, not calendar days; two names of a day by name)."""
+    last_rows = Window.partitionBy("station_id").orderBy("hire_date", "station_name").rowsBetween(-6, 0)
     return daily.withColumn("rolling_7d_avg_departures", F.avg("total_departures").over(last_rows))
 
 

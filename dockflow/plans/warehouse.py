@@ -7,7 +7,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 
 from dockflow.operators import explore, quality, schema_tests
-from dockflow.plans import enrich, marts, staging
+from dockflow.plans import enrich, marts, placed, staging
 from dockflow.sources import readers, sinks
 
 
@@ -56,6 +56,11 @@ class Warehouse:
         """The fact as a view: nothing is stored, the daily flow is counted within the query."""
         return marts.fact_rides(self.rides_enriched, self.station_daily)
 
+    @cached_property
+    def placed_fact(self) -> DataFrame:
+        """The same rows as they are stored: one shuffle of rides. It counts the rides of each day when it is built."""
+        return placed.placed_fact(self.banded_rides, self.stg_stations, self.station_daily)
+
     def with_stored_daily(self, path: str) -> "Warehouse":
         """The same tables, the daily flow counted once and read from ``path`` by all of them.
 
@@ -128,7 +133,7 @@ def publish(
     quality.gate(quality.one_row_per_station_day(stored.station_daily))
     days = spark.read.parquet(sinks.write_table(stored.dim_date, f"{run}/dim_date"))
     stations = spark.read.parquet(sinks.write_table(stored.dim_stations, f"{run}/dim_stations"))
-    fact_path = sinks.write_fact(stored.fact_rides, f"{run}/fact_rides")
+    fact_path = placed.write_placed_fact(stored.placed_fact, f"{run}/fact_rides")
     fact = sinks.read_fact(spark, fact_path, marts.FACT_COLUMNS)
 
     tables = {"fact_rides": fact, "dim_stations": stations, "dim_date": days}

@@ -3,14 +3,14 @@
 The checkpoint keeps the state of the load; a new run reads new files only.
 """
 
-import hashlib
+import json
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from dockflow.sources import schemas, sinks
+from dockflow.sources import increments, schemas
+from dockflow.sources.increments import loaded
 
-KEY = "rental_id"
+__all__ = ["load_available", "loaded", "ride_stream"]
 
 
 def ride_stream(spark: SparkSession, folder: str, max_files: int | None = None) -> DataFrame:
@@ -20,49 +20,22 @@ def ride_stream(spark: SparkSession, folder: str, max_files: int | None = None)
     return reader.parquet(folder)
 
 
-def _load_id(checkpoint: str) -> str:
-    """One name per checkpoint: its batches are numbered from 0, so the number alone is not one."""
-    return hashlib.sha256(checkpoint.rstrip("/").encode()).hexdigest()[:16]
+def _load_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that Spark gave the checkpoint: one that is made anew at the same path is another load."""
+    lines = spark.read.text(f"{checkpoint.rstrip('/')}/metadata").collect()
+    return json.loads("".join(r[0] for r in lines))["id"]
 
 
-def _has_rides(spark: SparkSession, target: str) -> bool:
-    path = spark._jvm.org.apache.hadoop.fs.Path(target)
-    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
-
-
-def load_available(stream: DataFrame, target: str, checkpoint: str) -> None:
+def load_available(stream: DataFrame, target: str, checkpoint: str, **sizes: int) -> None:
     """Append each ride that has arrived since the last run once, then stop.
 
-    A ride is known by ``rental_id``; the first delivery stays. The target is stored by day, and below it by load and
-    batch: a batch that is tried again replaces its own directories only, and another checkpoint on the same target is
-    another load. Late rides are kept however late they are: repeats are found in the target, not in stream state that a
-    watermark would cut off. The batch is read once, into a table beside the checkpoint, before it is compared.
+    A ride is known by ``rental_id``; the first batch that delivers it is the one that counts. Late rides are kept however
+    late they are: repeats are found through the target's key index, not in stream state that a watermark would cut off.
+    ``sizes`` are those of the key index.
     """
-    load = _load_id(checkpoint)
 
     def append(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        staged = f"{checkpoint.rstrip('/')}-staged/{batch_id}"
-        batch.dropDuplicates([KEY]).write.mode("overwrite").parquet(staged)
-        fresh = spark.read.schema(schemas.RIDES).parquet(staged)
-        if _has_rides(spark, target):
-            # Only keys are read from the target; this batch's own rows, left by a failed try, do not count.
-            own = (F.col("load") == load) & (F.col("batch_id") == batch_id)
-            earlier = spark.read.parquet(target).filter(~own).select(KEY)
-            fresh = fresh.join(earlier, KEY, "left_anti")
-        placed = fresh.select(
-            *schemas.RIDES.fieldNames(),
-            F.to_date("start_date").alias("hire_date"),
-            F.lit(load).alias("load"),
-            F.lit(batch_id).cast("bigint").alias("batch_id"),
-        )
-        (
-            placed.write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("hire_date", "load", "batch_id")
-            .parquet(target)
-        )
-        sinks.remove(spark, staged)
+        increments.append_batch(batch, target, _load_id(batch.sparkSession, checkpoint), batch_id, **sizes)
 
     query = (
         stream.writeStream.foreachBatch(append)
@@ -71,21 +44,3 @@ def load_available(stream: DataFrame, target: str, checkpoint: str) -> None:
         .start()
     )
     query.awaitTermination()
-
-
-def loaded(spark: SparkSession, target: str) -> DataFrame:
-    return spark.read.parquet(target).select(*schemas.RIDES.fieldNames())
-
-
-def daily_departures(stream: DataFrame, delay: str = "7 days") -> DataFrame:
-    """Departures per station and day of a ride stream; a day closes ``delay`` after its end."""
-    return (
-        stream.withWatermark("start_date", delay)
-        .groupBy(F.window("start_date", "1 day"), "start_station_id")
-        .agg(F.count(F.lit(1)).alias("departures"))
-        .select(
-            F.to_date("window.start").alias("hire_date"),
-            F.col("start_station_id").alias("station_id"),
-            "departures",
-        )
-    )

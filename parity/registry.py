@@ -23,11 +23,11 @@ from dockflow.operators import (
     stations,
     trends,
 )
-from dockflow.plans import marts
-from dockflow.plans.enrich import station_rolling
+from dockflow.plans import marts, placed, refresh
+from dockflow.plans.enrich import DAILY_COLUMNS, station_rolling
 from dockflow.plans.warehouse import Warehouse
-from dockflow.sources import readers, schemas, sinks, testdata
-from dockflow.streaming import incremental
+from dockflow.sources import increments, readers, schemas, sinks, testdata
+from dockflow.streaming import incremental, station_days
 
 DATE_FROM, DATE_TO = "2024-01-01", "2024-01-30"
 AS_OF = "2024-01-31"
@@ -196,7 +196,7 @@ _register("quality_post_ingest", lambda w: quality.post_ingest(w.raw_rides, w.ra
 def _stored_fact(w: Warehouse) -> tuple[Warehouse, DataFrame]:
     """The warehouse with its daily flow stored, and the fact written once and read back, as it is published."""
     s = _stored(w)
-    path = sinks.write_fact(s.fact_rides, sinks.fresh_path(w.spark, "fact"))
+    path = placed.write_placed_fact(s.placed_fact, sinks.fresh_path(w.spark, "fact"))
     return s, sinks.read_fact(w.spark, path, marts.FACT_COLUMNS)
 
 
@@ -360,11 +360,62 @@ _register("quality_report", _quality_report)
 def _stream(w: Warehouse) -> DataFrame:
     source = sinks.write_table(w.raw_rides, _path(w, "stream-source"))
     target, state = _path(w, "stream-target"), _path(w, "stream-state")
-    incremental.load_available(incremental.ride_stream(w.spark, source), target, state)
+    incremental.load_available(incremental.ride_stream(w.spark, source), target, state, **INDEX_SIZES)
     return incremental.loaded(w.spark, target)
 
 
 _register("stream_incremental", _stream)
+INDEX_SIZES = {"buckets": 16, "cells": 1024}  # of a hundred thousand rides
+
+
+def _timestamp(text: str):
+    return F.lit(text).cast("timestamp")
+
+
+def _bookmarked(w: Warehouse) -> str:
+    """Three runs of one bookmarked load; each extracts its bookmark's moment again."""
+    target = _path(w, "bookmarked")
+    for until in (_timestamp(INCREMENT_AFTER), _timestamp(INCREMENT_UNTIL), None):
+        increments.load_increment(w.raw_rides, target, "daily", until=until, **INDEX_SIZES)
+    return target
+
+
+_register(
+    "bookmark_loads",
+    lambda w: increments.stored_rides(w.spark, _bookmarked(w)).select(*schemas.RIDES.fieldNames(), "batch_id"),
+)
+_register("load_history", lambda w: increments.load_history(w.spark, _bookmarked(w)))
+
+
+def _station_day_stream(w: Warehouse) -> DataFrame:
+    """Three deliveries of rides, in order of their days; each is counted as it comes."""
+    source, closed, state = (_path(w, f"station-days-{n}") for n in ("source", "closed", "state"))
+    start = F.col("start_date")
+    after, until = _timestamp(INCREMENT_AFTER), _timestamp(INCREMENT_UNTIL)
+    for delivery in (start <= after, (start > after) & (start <= until), start > until):
+        w.raw_rides.filter(delivery).write.mode("append").parquet(source)
+        station_days.count_available(incremental.ride_stream(w.spark, source), closed, state)
+    return station_days.counted_days(w.spark, closed, state)
+
+
+_register("stream_station_days", _station_day_stream, _six("sum_minutes"))
+
+
+def _refreshed(w: Warehouse) -> DataFrame:
+    """The stored station-day table after a late load of a week in the middle; only what it changes is counted again."""
+    target, daily = _path(w, "rides"), _path(w, "station-days")
+    start = F.col("start_date")
+    late = (start > _timestamp(INCREMENT_AFTER)) & (start <= _timestamp(INCREMENT_UNTIL))
+    increments.append_batch(w.raw_rides.filter(~late), target, "daily", 0, **INDEX_SIZES)
+    refresh.build_station_days(increments.stored_rides(w.spark, target), w.stg_stations, daily)
+    increments.append_batch(w.raw_rides.filter(late), target, "daily", 1, **INDEX_SIZES)
+    rides = increments.stored_rides(w.spark, target)
+    days = refresh.touched_days(rides.filter("batch_id = 1"))
+    refresh.refresh_station_days(rides, w.stg_stations, daily, days)
+    return refresh.read_station_days(w.spark, daily).select(*DAILY_COLUMNS, refresh.ROLLING)
+
+
+_register("refreshed_station_days", _refreshed, {**DAILY_DIGITS, **_six("rolling_7d_avg_departures")})
 
 # --- models and segments ---
 

@@ -1099,6 +1099,30 @@ oracle(
 FROM rebalancing WHERE {_PICKED}""",
 )
 oracle("stream_incremental", "SELECT * FROM cycle_hire")
+# The window bounds of parity.registry.
+CTES["bookmarked"] = """
+SELECT *, CAST(CASE WHEN start_date <= TIMESTAMP '2024-01-15 00:00:00' THEN 0
+                    WHEN start_date <= TIMESTAMP '2024-01-22 12:00:00' THEN 1 ELSE 2 END AS BIGINT) AS batch_id
+FROM cycle_hire"""
+oracle("bookmark_loads", "SELECT * FROM bookmarked")
+oracle(
+    "load_history",
+    """SELECT 'daily' AS load, batch_id, count(*) AS rides, min(start_date) AS first_start,
+       max(start_date) AS last_start FROM bookmarked GROUP BY batch_id""",
+)
+oracle(
+    "stream_station_days",
+    """SELECT hire_date, start_station_id AS station_id, start_station_name AS station_name,
+       hire_date + INTERVAL 1 DAY <= (SELECT max(start_datetime) FROM stg_rides) - INTERVAL 7 DAY AS is_closed,
+       count(*) AS total_departures, CAST(sum(peak_hour_flag) AS BIGINT) AS peak_departures,
+       round(sum(duration_minutes), 6) AS sum_minutes
+FROM rides_enriched GROUP BY ALL""",
+)
+oracle(
+    "refreshed_station_days",
+    f"""SELECT d.*, r.rolling_7d_avg_departures FROM ({ORACLE["station_daily_stats"]}) d
+JOIN ({ORACLE["station_rolling"]}) r ON d.hire_date = r.hire_date AND d.station_id IS NOT DISTINCT FROM r.station_id""",
+)
 
 
 def _presence(table: str, columns: str) -> list[str]:
