@@ -21,6 +21,7 @@ from dockflow.llm.common import row_digest, stored, unused
 WEIGHTS = (5.0, 2.0, 1.0)
 WORD = r"[^\x20\x09-\x0D]+"
 SETTLED = 1e-9
+UNIT = ["doc_id", "size", "digest", "row"]  # what tells a unit from others of its source, the same for any file splits
 
 
 def targets(sizes: list[float], weights: list[float], most: float = 3.0) -> list[float]:
@@ -30,14 +31,14 @@ def targets(sizes: list[float], weights: list[float], most: float = 3.0) -> list
     while free:
         rest = total - sum(result)
         unit = rest / sum(weights[i] for i in free)
-        full = [i for i in free if unit * weights[i] > most * sizes[i]]
+        full = {i for i in free if unit * weights[i] > most * sizes[i]}
         if not full:
             for i in free:
                 result[i] = unit * weights[i]
             break
         for i in full:
             result[i] = most * sizes[i]
-        free = [i for i in free if i not in set(full)]
+        free = [i for i in free if i not in full]
     return result
 
 
@@ -161,7 +162,7 @@ def _rows(parts: list, flown: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
 
 
 def balanced(units: DataFrame, block_rows: int = 4096, seed: int = 42) -> DataFrame:
-    """Units (source, size, p and others) with p moved to 0 or 1, each source's words and documents in balance.
+    """Units (source, doc_id, size, digest, row, p and others) with p moved to 0 or 1, each source's words and documents in balance.
 
     A block is a share of a source by hash, so a source of any size is many blocks; only one that is down to
     ``block_rows`` undecided units is a single block, and lands.
@@ -176,9 +177,9 @@ def balanced(units: DataFrame, block_rows: int = 4096, seed: int = 42) -> DataFr
         last = most == 1
         dealt = (
             open_rows.join(counts, open_rows["source"].eqNullSafe(counts["source"]))
-            .select(open_rows["*"], F.expr(f"pmod(xxhash64(doc_id, size, row, {level}), blocks)").alias("block"))
+            .select(open_rows["*"], F.expr(f"pmod(xxhash64({', '.join(UNIT)}, {level}), blocks)").alias("block"))
             .repartition("source", "block")
-            .sortWithinPartitions("source", "block", "doc_id", "size", "row")
+            .sortWithinPartitions("source", "block", *UNIT)
         )
         flown = stored(dealt.mapInArrow(_fly(level, seed, last), dealt.schema), f"flight-{level}").drop("block")
         done.append(flown.where("p = 0 OR p = 1"))
@@ -196,16 +197,17 @@ def mixed(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: float = 3
 
     size counts the words of the text (null: 0). Sources take part in code-point order, null last. A source without
     words has target 0 and gives nothing; a document of no words is taken as its source's share says, and adds no word.
-    Repeated rows are documents of their own. An empty table gives no rows. Reruns on the same files agree.
+    Repeated rows are documents of their own, told apart by a running number (``row``). An empty table gives no rows.
+    Reruns agree, also with other file splits or other numbers of tasks: units are dealt and ordered by their own values.
     """
     sized = docs.select(
         F.col("doc_id").cast("bigint"),
         F.col("source").cast("string"),
         F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("bigint").alias("size"),
         row_digest(docs).alias("digest"),
-        F.monotonically_increasing_id().alias("row"),
     )
-    sized = stored(sized, "sizes")
+    counted = sized.groupBy(*sized.columns).count()
+    sized = stored(counted.withColumn("row", F.explode(F.sequence(F.lit(1), "count"))).drop("count"), "sizes")
     plan = source_targets(sized, weights, most)  # a row per source: Spark knows its size
     units = sized.join(plan, sized["source"].eqNullSafe(plan["source"])).select(
         sized["*"],

@@ -58,14 +58,66 @@ def test_every_source_comes_near_its_target(spark):
 
 
 def test_many_levels_of_blocks(spark):
-    rows = [(i, "s", 1 + i % 50, 0.37, i) for i in range(3000)]
-    units = spark.createDataFrame(rows, "doc_id bigint, source string, size bigint, p double, row bigint")
+    rows = [(i, "s", 1 + i % 50, 0.37, i, 1) for i in range(3000)]
+    units = spark.createDataFrame(rows, "doc_id bigint, source string, size bigint, p double, digest bigint, row bigint")
     found = mixing.balanced(units, block_rows=16).collect()
     assert len(found) == 3000 and {r["p"] for r in found} == {0.0, 1.0}
     assert abs(sum(r["p"] * r["size"] for r in found) - 0.37 * sum(r["size"] for r in found)) <= 25
     assert abs(sum(r["p"] for r in found) - 0.37 * 3000) <= 3
 
 
+def copied(rows):
+    return sorted((r["doc_id"] or -1, r["size"], r["digest"], r["row"], r["copies"]) for r in rows)
+
+
+def test_other_splits_give_the_same_mix(spark, tmp_path, monkeypatch):
+    """Many blocks and levels, repeated rows, and the same files cut in other ways."""
+    rows = [(i % 2500, "w " * (1 + i * 7919 % 300), f"s{i % 3}", "en", i % 2) for i in range(5000)]
+    schema = "doc_id bigint, text string, source string, lang string, n_chars bigint"
+    spark.createDataFrame(rows + rows[:700] * 2, schema).repartition(3).write.parquet(str(tmp_path / "docs"))
+    original = mixing.balanced
+    monkeypatch.setattr(mixing, "balanced", lambda units, seed: original(units, block_rows=64, seed=seed))
+    results = []
+    for size, partitions in (("128m", "4"), ("40k", "4"), ("9k", "13")):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        spark.conf.set("spark.sql.files.openCostInBytes", "1k")
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+        try:
+            docs = spark.read.parquet(str(tmp_path / "docs"))
+            if partitions != "4":
+                docs = docs.repartition(7)
+            results.append(copied(mixing.mixed(docs).collect()))
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+            spark.conf.unset("spark.sql.files.openCostInBytes")
+            spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert results[0] == results[1] == results[2]
+    assert len(results[0]) == 6400
+
+
+def test_agrees_with_a_plain_version(spark):
+    """Sizes, targets, flight and landing in plain Python, one block a source, compared row by row."""
+    rows = [(i, "w " * (1 + i * 7919 % 400), None if i % 3 == 0 else f"s{i % 7}", "en", 1) for i in range(900)]
+    rows += rows[:40] + [(None, "a b c", "s1", "en", 1), (5000, None, "s2", "en", 1)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string, lang string, n_chars bigint")
+    found = mixing.mixed(docs).collect()
+    sources = sorted({r[2] for r in rows}, key=lambda s: (s is None, s or ""))
+    sizes = [sum(len(words(r[1])) for r in rows if r[2] == s) for s in sources]
+    wanted = mixing.targets(sizes, [mixing.WEIGHTS[i % 3] for i in range(len(sources))])
+    assert sum(wanted) == pytest.approx(sum(sizes))
+    for source, size, target in zip(sources, sizes, wanted, strict=True):
+        mine = [r for r in found if r["source"] == source]
+        mine.sort(key=lambda r: (r["doc_id"] is not None, r["doc_id"] or 0, r["size"], r["digest"], r["row"]))
+        assert sorted(r["size"] for r in mine) == sorted(len(words(r[1])) for r in rows if r[2] == source)
+        ratio = target / size
+        p, own = [ratio - int(ratio)] * len(mine), [r["size"] for r in mine]
+        random = mixing._seeded(42, 0, source, 0)
+        expected = mixing.landing(mixing.flight(p, own, random), own, p, random)
+        assert [r["copies"] for r in mine] == [int(ratio) + int(x) for x in expected]
+        assert {(r["source_size"], r["target"]) for r in mine} == {(size, target)}
+        assert all(r["taken"] == r["copies"] * r["size"] for r in mine)
+
+
 def test_odd_documents(spark):
     docs = documents(spark)
     rows = mixing.mixed(docs).collect()
