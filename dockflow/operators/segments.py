@@ -116,7 +116,13 @@ def fit_best(scaled: DataFrame, spec: SegmentSpec):
 
 
 def scan_k(points: DataFrame, spec: SegmentSpec, ks=range(2, 8)) -> DataFrame:
-    """Cost and silhouette per number of clusters, the best silhouette marked."""
+    """Cost and silhouette per number of clusters, the best silhouette marked.
+
+    The silhouette is that of all pairs of points (``operators.silhouette``); ``squared_silhouette`` is the evaluator's
+    of Spark, which takes squared distances to the clusters' means.
+    """
+    from dockflow.operators.silhouette import mean_silhouette
+
     scaled = standardized(points, spec).persist()
     evaluator = ClusteringEvaluator(
         featuresCol="scaled", predictionCol="cluster", weightCol="n_rides"
@@ -124,13 +130,15 @@ def scan_k(points: DataFrame, spec: SegmentSpec, ks=range(2, 8)) -> DataFrame:
     rows = []
     for k in ks:
         model = fit_best(scaled, SegmentSpec(spec.features, k, spec.starts, spec.seed))
-        silhouette = evaluator.evaluate(model.transform(scaled))
-        rows.append((k, float(model.summary.trainingCost), float(silhouette)))
+        assigned = model.transform(scaled)
+        squared = evaluator.evaluate(assigned)
+        silhouette = mean_silhouette(assigned.drop("scaled"), spec)
+        rows.append((k, float(model.summary.trainingCost), float(silhouette), float(squared)))
     scaled.unpersist()
     best = max(rows, key=lambda row: row[2])[0]
     return points.sparkSession.createDataFrame(
         [(*row, row[0] == best) for row in rows],
-        "k int, inertia double, silhouette double, is_best boolean",
+        "k int, inertia double, silhouette double, squared_silhouette double, is_best boolean",
     )
 
 

@@ -20,6 +20,7 @@ from dockflow.operators import (
     quality,
     schema_tests,
     segments,
+    silhouette,
     stations,
     trends,
 )
@@ -505,6 +506,15 @@ def _given_3(w: Warehouse) -> tuple[DataFrame, DataFrame]:
 
 
 _register("given_profile_k4", lambda w: _given_4(w)[1])
+_register(
+    "given_silhouette_k4",
+    lambda w: silhouette.cluster_silhouettes(
+        silhouette.point_silhouettes(
+            segments.assign_to(_rider_points(w), segments.RIDER_SPEC, CENTRES_4), segments.RIDER_SPEC
+        )
+    ),
+    _six("silhouette", "silhouette_all"),
+)
 _register("given_profile_k3", lambda w: _given_3(w)[1])
 _register("given_hours_k3", lambda w: segments.hourly_by_segment(_given_3(w)[0]), _six("pct"))
 _register(

@@ -670,6 +670,31 @@ SELECT 'rides' AS series, duration_minutes AS v, 60 AS bins FROM fact
 WHERE {D} AND duration_minutes BETWEEN 1 AND 120"""
 CTES["mart_bins"] = _histogram("mart_minutes", "series")
 oracle("given_profile_k4", "SELECT * FROM profile_4")
+_names = ", ".join(RIDER_SPEC.features)
+_gaps = " + ".join(
+    f"power(CASE WHEN s.{c} = 0 THEN 0 ELSE (a.{c} - b.{c}) / s.{c} END, 2)" for c in RIDER_SPEC.features
+)
+CTES["points_4"] = f"SELECT {_names}, cluster, count(*) AS n FROM assigned_4 GROUP BY ALL"
+CTES["scales_4"] = "SELECT " + ", ".join(f"stddev_pop({c}) AS {c}" for c in RIDER_SPEC.features) + " FROM assigned_4"
+CTES["reach_4"] = f"""
+SELECT {", ".join(f"a.{c}" for c in RIDER_SPEC.features)}, a.cluster, a.n, b.cluster AS other,
+       sum(sqrt({_gaps}) * b.n) AS distance, sum(b.n) AS rides
+FROM points_4 a CROSS JOIN points_4 b CROSS JOIN scales_4 s GROUP BY ALL"""
+CTES["means_4"] = f"""
+SELECT {_names}, cluster, n,
+       max(CASE WHEN other = cluster AND rides > 1 THEN distance / (rides - 1) END) AS a,
+       min(CASE WHEN other <> cluster THEN distance / rides END) AS b
+FROM reach_4 GROUP BY ALL"""
+CTES["silhouettes_4"] = """
+SELECT cluster, n, CASE WHEN a IS NULL OR b IS NULL OR greatest(a, b) = 0 THEN 0 ELSE (b - a) / greatest(a, b) END AS s
+FROM means_4"""
+oracle(
+    "given_silhouette_k4",
+    """SELECT CAST(cluster AS INTEGER) AS cluster, CAST(sum(n) AS BIGINT) AS ride_count,
+       round(sum(s * n) / sum(n), 6) AS silhouette,
+       round((SELECT sum(s * n) / sum(n) FROM silhouettes_4), 6) AS silhouette_all
+FROM silhouettes_4 GROUP BY 1""",
+)
 oracle("given_profile_k3", "SELECT * FROM profile_3")
 oracle(
     "given_hours_k3",
