@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dockflow import constants as K
+from dockflow.operators import uniqueness
 from dockflow.sources import sinks
 
 RESULT_COLUMNS = ["checkpoint", "check_id", "check", "status", "value", "threshold", "severity"]
@@ -76,9 +77,10 @@ def run_check_on(values: DataFrame, checkpoint: str, check: Check) -> DataFrame:
 
 def repeats(table: DataFrame, key: str, null_is_value: bool = False) -> DataFrame:
     """Rows minus distinct keys. NULL is not a key unless ``null_is_value``."""
+    if not null_is_value:
+        return uniqueness.surplus_rows(table, key)
     counted = table.groupBy(F.col(key).alias("k")).agg(F.count(F.lit(1)).alias("n"))
-    distinct = F.count(F.lit(1)) if null_is_value else F.count("k")
-    return counted.agg((F.coalesce(F.sum("n"), F.lit(0)) - distinct).alias("value"))
+    return counted.agg((F.coalesce(F.sum("n"), F.lit(0)) - F.count(F.lit(1))).alias("value"))
 
 
 def orphan_keys(child: DataFrame, child_key: str, parent: DataFrame, parent_key: str) -> DataFrame:
@@ -178,7 +180,7 @@ def post_transform(
         F.count(F.lit(1)).alias("value")
     )
     unique = [
-        ("Q18", "ride_sk unique", fact, "ride_sk"),
+        ("Q18", "ride_sk unique", fact, uniqueness.surrogate_or_number(fact, "ride_sk", "rental_id")),
         ("Q29", "station_id unique", dim_stations, "station_id"),
         ("Q34", "date_id unique", dim_date, "date_id"),
     ]

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dockflow import constants as K
+from dockflow.operators import uniqueness
 from dockflow.operators.quality import orphan_keys, union_all
 
 ZONES = [box[0] for box in K.ZONE_BOXES] + [K.ZONE_ELSE]
@@ -96,8 +97,8 @@ def _failing_rows(test: ColumnTest) -> str:
 
 
 def _keys_repeated(table: DataFrame, column: str) -> DataFrame:
-    keys = table.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("n"))
-    return keys.agg(F.count_if(F.col("n") > 1).alias("t0"))
+    key = uniqueness.surrogate_or_number(table, column, "rental_id") if column == "ride_sk" else column
+    return uniqueness.repeated_keys(table, key).agg(F.count(F.lit(1)).alias("t0"))
 
 
 def _rows_lost(table: DataFrame, column: str, parent: DataFrame, key: str) -> DataFrame:
