@@ -12,7 +12,7 @@ does not. Verbatim copies are found word by word besides, whatever their words w
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import chain, repeat
+from itertools import chain, count, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -23,18 +23,19 @@ from dockflow.llm.common import stored, unused
 from dockflow.llm.licenses import TABLE
 
 WINDOW, STRIDE = 32, 16  # words; a window is two strides
-RANK, OVERSAMPLE, SKETCH = 32, 8, 160
+RANK, OVERSAMPLE, SKETCH = 16, 8, 160
 LEAST_COSINE = 0.3  # what is near is checked word by word
 LEAST_LCS, LEAST_ANSWER = 0.6, 0.5
 SURE_LCS = 0.9  # of an item, or of its question alone: there without a look at the answer
-LEAST_QUESTION = 3  # words of a question that counts alone
-SHORT_ITEM = 8  # words; a shorter item must be there word by word
+LEAST_QUESTION = 3  # words of a question that is looked for by itself
+SHORT_ITEM = 8  # words; a shorter item or question must be there word by word
+RARE_SHARE = 0.01  # a shorter question counts without its answer if chance gives its words to fewer documents than this
 BLOCK_ITEMS = 20_000  # items searched at once: bounds what tasks and the driver hold
 TERMS_PER_ROW = 256  # rows of the basis that travel together
 CHUNK = 1 << 18
-STOP_SHARE, STOP_DOCS = 0.2, 50
 PAIRS = 1 << 16  # candidates that are checked at once
 COLUMNS = 16  # words of an item that are looked up at once
+NEAR, ASKED, WHOLE = range(3)  # a near window; a verbatim question that needs its answer; a verbatim copy that counts
 CELLS = 1 << 23  # cosines that are computed at once
 STRIDES = 1 << 12  # strides whose words are added up at once
 ANSWER = re.compile(r"(?:answer\s*:|\?)(?=\s*\S)(?!.*(?:answer\s*:|\?)\s*\S)(.*)", re.IGNORECASE | re.DOTALL)
@@ -54,7 +55,7 @@ class Items:
     answers: list[list[int]]
     questions: list[int]  # words ahead of the answer; 0 if there is no answer or too few words are ahead of it
     vocabulary: dict[bytes, int]
-    segments: np.ndarray  # item number, first and end word of each segment of an item
+    segments: np.ndarray  # item number, first and end word of each segment of an item that paraphrases are looked for
 
 
 def items_of(rows: list[tuple[int, str | None]]) -> Items:
@@ -69,7 +70,9 @@ def items_of(rows: list[tuple[int, str | None]]) -> Items:
         answers.append([vocabulary[w] for w in words_of(found[1])] if found else [])
         asked = len(words_of(text[: found.start(1)])) if found else 0
         questions.append(asked if LEAST_QUESTION <= asked < len(numbers) else 0)
-        for n in (len(numbers), questions[-1])[: 1 + (questions[-1] > 0)]:  # the whole item, and its question alone
+        for n in (len(numbers), questions[-1]):  # the whole item, and its question alone
+            if n < SHORT_ITEM:
+                continue
             for start in range(0, max(1, n - STRIDE), WINDOW):
                 start = max(0, min(start, n - WINDOW))
                 segments.append((len(ids), start, min(start + WINDOW, n)))
@@ -119,13 +122,11 @@ def _flat(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return flat, total - np.repeat(before, lengths), lengths
 
 
-def inverse_frequencies(terms: DataFrame, size: int, stop_share: float | None = None) -> np.ndarray:
-    """Weights of terms: the logarithm of documents over documents with the term; counts come from every document.
+def inverse_frequencies(terms: DataFrame, size: int) -> np.ndarray:
+    """Weights of terms: the logarithm of one and documents over documents with the term, counted over every document.
 
-    A stop word weighs nothing: a term in more than ``stop_share`` of the documents, and in more than ``STOP_DOCS``. With a
-    share of 1 there is none; the search takes it so, for a passage that many documents hold makes its words common.
+    No term weighs nothing: a passage that many documents hold makes its words common, and is still to be found.
     """
-    stop_share = STOP_SHARE if stop_share is None else stop_share
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts, n = np.zeros(size, dtype=np.int64), 0
@@ -143,8 +144,7 @@ def inverse_frequencies(terms: DataFrame, size: int, stop_share: float | None =
             n = found
         else:
             counts[term] = found
-    weights = np.log1p(max(n, 1) / np.maximum(counts, 1))
-    return np.where(counts > max(stop_share * n, STOP_DOCS), 0.0, weights)
+    return np.log1p(max(n, 1) / np.maximum(counts, 1))
 
 
 def gram_times(terms: DataFrame, weights: np.ndarray, basis: np.ndarray) -> np.ndarray:
@@ -253,14 +253,31 @@ def common_subsequence(masks: dict[int, int], length: int, words: list[int]) ->
     return length - rest.bit_count()
 
 
-def verbatim(flat: np.ndarray, place: np.ndarray, runs: list[list[int]], weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+@dataclass
+class Ragged:
+    """Lists of words of any lengths, one after another."""
+
+    flat: np.ndarray
+    starts: np.ndarray
+    lengths: np.ndarray
+
+    @classmethod
+    def of(cls, lists: list) -> "Ragged":
+        lengths = np.array([len(x) for x in lists], dtype=np.int64)
+        flat = np.fromiter(chain.from_iterable(lists), np.int64, int(lengths.sum()))
+        return cls(flat, np.cumsum(lengths) - lengths, lengths)
+
+    def column(self, rows: np.ndarray, at: int | np.ndarray) -> np.ndarray:
+        """The words at a place of each list, which must be long enough."""
+        return self.flat[self.starts[rows] + at]
+
+
+def verbatim(flat: np.ndarray, place: np.ndarray, runs: Ragged, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Run and first place of every verbatim copy: each run is tried where its rarest word stands."""
-    offsets = np.array([max(range(len(r)), key=lambda i: (weights[r[i]], -i)) for r in runs])
-    lengths = np.array([len(r) for r in runs])
-    padded = np.full((len(runs), lengths.max()), -1, dtype=np.int64)
-    for i, r in enumerate(runs):
-        padded[i, : len(r)] = r
-    anchors = padded[np.arange(len(runs)), offsets]
+    pieces = np.split(runs.flat, runs.starts[1:])
+    offsets = np.array([int(np.argmax(weights[piece])) for piece in pieces])
+    lengths = runs.lengths
+    anchors = runs.column(np.arange(len(lengths)), offsets)
     by_anchor = np.argsort(anchors, kind="stable")
     first = np.searchsorted(anchors[by_anchor], np.arange(len(weights) + 1))
     tries = np.diff(first)
@@ -275,14 +292,13 @@ def verbatim(flat: np.ndarray, place: np.ndarray, runs: list[list[int]], weights
         inside = (start >= 0) & (start + lengths[run] <= len(flat))
         run, start = run[inside], start[inside]
         inside = place[start + lengths[run] - 1] - place[start] == lengths[run] - 1
-        run, start = run[inside], start[inside]
-        for j in range(padded.shape[1]):
-            if not len(run):
-                break
-            word = padded[run, j]
-            same = (word < 0) | (flat[np.minimum(start + j, len(flat) - 1)] == word)
-            run, start = run[same], start[same]
-        hits.append((run, place[start]))
+        run, start, j = run[inside], start[inside], 0
+        while len(run):
+            whole = lengths[run] == j
+            hits.append((run[whole], place[start[whole]]))
+            run, start = run[~whole], start[~whole]
+            same = flat[start + j] == runs.column(run, j)
+            run, start, j = run[same], start[same], j + 1
     none = np.empty(0, dtype=np.int64)
     return tuple(np.concatenate(x) for x in zip((none, none), *hits, strict=True))
 
@@ -300,7 +316,9 @@ def leaks(
     One row per document row and item, for its best place: cosine of the best passage, share of the item's words in common
     order, share of the answer's words (those after a last question mark or "answer:", else the rarest third) that are
     there, and the range of words searched. From ``SURE_LCS`` of the item's words or of its question's on, the answer is not
-    asked for; nor is it where the question alone stands verbatim, if that has ``LEAST_QUESTION`` words. Items shorter than ``SHORT_ITEM`` words must be there with all words in order.
+    asked for; nor is it where the question alone stands verbatim. Items shorter than ``SHORT_ITEM`` words count verbatim
+    only; so do such questions, and they need ``least_answer`` of the answer's words around them unless their own words
+    are rare (``RARE_SHARE``). Questions below ``LEAST_QUESTION`` words are not looked for by themselves.
     Null and empty texts, in either table, match nothing. Repeated rows and repeated items give a row each; a null doc_id
     or item_id stays null. Empty tables give no rows. Other columns are not read. Benchmarks of more than ``block_items``
     items are searched block by block, each against every document.
@@ -332,9 +350,10 @@ OUTPUT = (
 def _block_leaks(docs: DataFrame, items: Items, least_cosine: float, least_lcs: float, least_answer: float) -> DataFrame:
     size = len(items.vocabulary)
     terms = stored(encoded_terms(docs, items.vocabulary), "terms")
-    weights = inverse_frequencies(terms, size, stop_share=1.0)
+    weights = inverse_frequencies(terms, size)
     latent = latent_terms(decomposition(terms, weights)[0], weights)
-    segments = _unit(np.stack([latent[items.texts[i][a:b]].sum(axis=0) for i, a, b in items.segments]))
+    sums = [latent[items.texts[i][a:b]].sum(axis=0) for i, a, b in items.segments]
+    segments = _unit(np.stack(sums)) if sums else np.zeros((0, latent.shape[1]), dtype=np.float32)
     of_segment = items.segments[:, 0]
     answers = [set(a) or _rarest(t, weights) for a, t in zip(items.answers, items.texts, strict=True)]
     masks: list[dict[int, int]] = []
@@ -346,21 +365,19 @@ def _block_leaks(docs: DataFrame, items: Items, least_cosine: float, least_lcs:
     ids, texts, questions = items.ids, items.texts, np.array(items.questions)
     n_runs = len(texts)
     runs_of = np.append(np.arange(n_runs), np.flatnonzero(questions))  # every item, then every question
-    runs = texts + [texts[i][: questions[i]] for i in runs_of[n_runs:]]
-    lengths_of = np.array([len(t) for t in texts])
-    asked = np.full((len(texts), max(map(len, answers))), -1, dtype=np.int64)
-    for item, answer in enumerate(answers):
-        asked[item, : len(answer)] = sorted(answer)
-    n_asked = (asked >= 0).sum(axis=1)
-    held = np.full((len(texts), lengths_of.max()), -1, dtype=np.int64)
-    for item, text in enumerate(texts):
-        held[item, : len(text)] = text
-    rows_at_once = max(64, CELLS // len(segments))
+    runs = Ragged.of(texts + [texts[i][: questions[i]] for i in runs_of[n_runs:]])
+    by_chance = [-np.log(np.expm1(weights[texts[i][: questions[i]]])).sum() for i in runs_of[n_runs:]]
+    alone = (questions[runs_of[n_runs:]] >= SHORT_ITEM) | (np.array(by_chance) <= np.log(RARE_SHARE))
+    kind_of_run = np.append(np.full(n_runs, WHOLE), np.where(alone, WHOLE, ASKED)).astype(np.int8)
+    held, asked = Ragged.of(texts), Ragged.of([sorted(a) for a in answers])
+    lengths_of = held.lengths
+    rows_at_once = max(64, CELLS // max(1, len(segments)))
 
     def candidates(flat: np.ndarray, place: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
         """Item, first place of the window and cosine of every near window; place is document << 32 | word."""
-        used = weights[flat] > 0
-        flat, stride = flat[used], (place[used] >> 32 << 32) + (place[used] & 0xFFFFFFFF) // STRIDE
+        if not len(segments):
+            return
+        stride = (place >> 32 << 32) + (place & 0xFFFFFFFF) // STRIDE
         for lo, hi in _cuts(stride >> 32):
             key, first = np.unique(stride[lo:hi], return_index=True)
             ends = np.append(first, hi - lo)
@@ -379,23 +396,29 @@ def _block_leaks(docs: DataFrame, items: Items, least_cosine: float, least_lcs:
                 i, j = np.nonzero(cosine >= least_cosine)
                 yield of_segment[j], begin[w + i], cosine[i, j]
 
-    def present(words: np.ndarray, item: np.ndarray, first: np.ndarray, last: np.ndarray, sorted_terms: np.ndarray) -> np.ndarray:
-        """How many of each item's words stand between two places; sorted_terms is term << 44 | rank of place."""
+    def present(
+        words: Ragged, item: np.ndarray, first: np.ndarray, last: np.ndarray, sorted_terms: np.ndarray, limit: np.ndarray
+    ) -> np.ndarray:
+        """How many of each item's first ``limit`` words stand between two places; sorted_terms is term << 32 | rank of place."""
         total = np.zeros(len(item), dtype=np.int64)
-        for k in range(0, words.shape[1], COLUMNS):
-            wanted = words[item, k : k + COLUMNS]
-            at = np.searchsorted(sorted_terms, (wanted << 44) + first[:, None])
-            found = sorted_terms[np.minimum(at, len(sorted_terms) - 1)]
-            here = (wanted >= 0) & (found >= (wanted << 44) + first[:, None]) & (found < (wanted << 44) + last[:, None])
-            total += here.sum(axis=1)
-        return total
+        rows = np.flatnonzero(limit > 0)
+        for k in count(0, COLUMNS):
+            rows = rows[limit[rows] > k]
+            if not len(rows):
+                return total
+            at = k + np.arange(COLUMNS)
+            inside = at < limit[rows, None]
+            wanted = words.flat[np.minimum(words.starts[item[rows], None] + at, len(words.flat) - 1)] << 32
+            low = wanted + first[rows, None]
+            found = sorted_terms[np.minimum(np.searchsorted(sorted_terms, low), len(sorted_terms) - 1)]
+            total[rows] += (inside & (found >= low) & (found < wanted + last[rows, None])).sum(axis=1)
 
     def answered(item: np.ndarray, first: np.ndarray, last: np.ndarray, sorted_terms: np.ndarray) -> np.ndarray:
-        return present(asked, item, first, last, sorted_terms) / n_asked[item]
+        return present(asked, item, first, last, sorted_terms, asked.lengths[item]) / asked.lengths[item]
 
     def accepted(item: int, lcs: float, answer: float, words: list[int]) -> bool:
         if lengths_of[item] < SHORT_ITEM:
-            return lcs == 1
+            return False
         if lcs >= max(SURE_LCS, least_lcs) or (lcs >= least_lcs and answer >= least_answer):
             return True
         n = int(questions[item])
@@ -409,30 +432,30 @@ def _block_leaks(docs: DataFrame, items: Items, least_cosine: float, least_lcs:
         for batch in batches:
             flat, at, lengths = _flat(batch)
             place = (np.repeat(np.arange(len(lengths)), lengths) << 32) + at
-            sorted_terms = np.sort((flat.astype(np.int64) << 44) + np.arange(len(flat)))
+            sorted_terms = np.sort((flat.astype(np.int64) << 32) + np.arange(len(flat)))
             best: dict[tuple[int, int], tuple] = {}
             run_of, begun = verbatim(flat, place, runs, weights)
             _, once = np.unique(np.stack([begun >> 32, run_of]), axis=1, return_index=True)
-            copies = (runs_of[run_of[once]], begun[once], np.ones(len(once), dtype=np.float32), True)
-            for item, begin, cosine, sure in chain([copies], ((*c, False) for c in candidates(flat, place))):
+            copies = (runs_of[run_of[once]], begun[once], np.ones(len(once), dtype=np.float32), kind_of_run[run_of[once]])
+            for item, begin, cosine, kinds in chain([copies], ((*c, None) for c in candidates(flat, place))):
                 for k in range(0, len(item), PAIRS):
                     near, start, score = item[k : k + PAIRS], begin[k : k + PAIRS], cosine[k : k + PAIRS]
+                    kind = np.full(len(near), NEAR, np.int8) if kinds is None else kinds[k : k + PAIRS]
                     # The item may stand around the window: look its length further, within the document.
                     doc, length = start >> 32 << 32, lengths_of[near]
                     first = np.searchsorted(place, np.maximum(start - length, doc))
                     last = np.searchsorted(place, np.minimum(start + WINDOW + length, doc + 0xFFFFFFFF))
-                    if not len(near):
-                        continue
                     # No more words can be in common order than are there.
-                    asked_for = questions[near]
-                    likely = sure | (present(held, near, first, last, sorted_terms) >= least_lcs * length)
-                    some = np.flatnonzero(~likely & (asked_for > 0))
-                    for n in np.unique(asked_for[some]):
-                        part = some[asked_for[some] == n]
-                        there = present(held[:, :n], near[part], first[part], last[part], sorted_terms)
-                        likely[part] = there >= SURE_LCS * n
+                    room = last - first
+                    tried = np.flatnonzero((kind == NEAR) & (room >= least_lcs * np.minimum(length, _or_more(questions[near]))))
+                    likely = kind != NEAR
+                    there = present(held, near[tried], first[tried], last[tried], sorted_terms, length[tried])
+                    likely[tried] = there >= least_lcs * length[tried]
+                    some = tried[~likely[tried] & (questions[near[tried]] >= SHORT_ITEM)]
+                    there = present(held, near[some], first[some], last[some], sorted_terms, questions[near[some]])
+                    likely[some] = there >= SURE_LCS * questions[near[some]]
                     likely = np.flatnonzero(likely)
-                    near, score, doc, length, first, last = (x[likely] for x in (near, score, doc, length, first, last))
+                    near, score, doc, length, first, last, kind = (x[likely] for x in (near, score, doc, length, first, last, kind))
                     there = answered(near, first, last, sorted_terms)
                     for c in range(len(near)):
                         key = (int(doc[c] >> 32), int(near[c]))
@@ -440,6 +463,7 @@ def _block_leaks(docs: DataFrame, items: Items, least_cosine: float, least_lcs:
                             continue
                         words = flat[first[c] : last[c]].tolist()
                         lcs = common_subsequence(masks[near[c]], int(length[c]), words) / int(length[c])
+                        sure = kind[c] == WHOLE or (kind[c] == ASKED and there[c] >= least_answer)
                         if not (sure or accepted(int(near[c]), lcs, float(there[c]), words)):
                             continue
                         found = (float(score[c]), lcs, float(there[c]), int(at[first[c]]), int(at[last[c] - 1]))
@@ -457,6 +481,11 @@ def _block_leaks(docs: DataFrame, items: Items, least_cosine: float, least_lcs:
     return terms.select("doc_id", "digest", "terms", "gaps").mapInArrow(run, OUTPUT)
 
 
+def _or_more(questions: np.ndarray) -> np.ndarray:
+    """Lengths of the questions that paraphrases are looked for; where there is none, longer than any item."""
+    return np.where(questions >= SHORT_ITEM, questions, np.iinfo(np.int64).max)
+
+
 def _rarest(text: list[int], weights: np.ndarray) -> set[int]:
     words = sorted(set(text), key=lambda t: (-weights[t], t))
     return set(words[: max(1, len(words) // 3)])
