@@ -10,8 +10,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dockflow import constants as K
+from dockflow.operators import boosting
 
 LINEAR, FOREST, BOOSTED = "Linear Regression", "Random Forest", "Gradient Boosting"
+SECOND_ORDER = "Second-Order Boosting"
 ROWS_PER_TASK = 100_000
 SPLIT_KEYS = ["hire_date", "start_station_id", "hour"]
 
@@ -150,6 +152,15 @@ def train(features: DataFrame, settings: TrainSettings | None = None):
     return models, ranked, ranked.first()["model"]
 
 
+def second_order(features: DataFrame, settings: boosting.BoostSettings | None = None) -> tuple[boosting.BoostedModel, DataFrame]:
+    """The boosted model of second order fitted on the training rows, and its scores on the held-out ones."""
+    train_rows, test_rows = split(features)
+    tasks = max(1, -(-train_rows.count() // ROWS_PER_TASK))
+    model = boosting.fit(train_rows.coalesce(tasks), K.FEATURE_COLUMNS, K.LABEL_COLUMN, settings)
+    predicted = model.transform(test_rows.select(*K.FEATURE_COLUMNS, K.LABEL_COLUMN))
+    return model, scores(predicted.select(F.col(K.LABEL_COLUMN).cast("double").alias("y"), "prediction"), SECOND_ORDER)
+
+
 def save_model(model: PipelineModel, path: str) -> str:
     model.write().overwrite().save(path)
     return path

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from dockflow import constants as K
 from dockflow.operators import (
+    boosting,
     explore,
     features,
     flow,
@@ -473,7 +474,16 @@ def _segment_durations(w: Warehouse) -> DataFrame:
     return segments.durations_by_segment(labelled, K.SEGMENTS_4)
 
 
+# Fewer and larger steps than a full run, which takes ten times as long.
+FEW_ROUNDS = boosting.BoostSettings(rounds=30, step=0.1)
+
+
 _register("train_compare", _train_compare)
+_register(
+    "boosted_scores",
+    lambda w: models.second_order(features.demand_features(w.banded_rides), FEW_ROUNDS)[1],
+    _six("rmse", "mae", "r2"),
+)
 _register("feature_importance", _importance)
 _register("forecast_all", _forecast)
 _register("forecast_totals", lambda w: forecast.forecast_totals(_forecast(w)))

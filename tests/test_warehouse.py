@@ -7,8 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from dockflow.operators import quality, schema_tests
-from dockflow.plans import enrich, marts
-from dockflow.plans.warehouse import PublishSettings, Warehouse, publish, published
+from dockflow.plans import catalog, enrich, marts
+from dockflow.plans.warehouse import POINTER, PublishSettings, Warehouse, publish, published
 from dockflow.sources import sinks, testdata
 from tests.conftest import MEDIUM, SMALL
 from tests.frames import column, ride, rides_frame, rows, station, stations_frame
@@ -274,3 +274,23 @@ def test_views_serve_sql(spark):
 def test_schema_tests_are_complete():
     tests = schema_tests.STAGING_TESTS | schema_tests.MART_TESTS
     assert sum(len(listed) for listed in tests.values()) == 58
+
+
+def test_published_tables_in_the_catalog(spark):
+    w = given(spark, SMALL)
+    folder = sinks.fresh_path(spark, "publish")
+    publish(w, folder, PublishSettings(min_rows=900))
+    names = catalog.register_run(spark, folder, POINTER, "checked")
+    assert "checked.fact_rides" in names
+    assert rows(spark.table("checked.fact_rides").select(*w.fact_rides.columns)) == rows(w.fact_rides)
+    day = spark.sql("SELECT count(*) FROM checked.fact_rides WHERE hire_date = DATE '2024-01-05'")
+    assert day.first()[0] == w.stg_rides.filter("hire_date = DATE '2024-01-05'").count()
+    filled = {r["column_name"]: r["filled"] for r in catalog.described(spark, "checked.fact_rides").collect()}
+    assert filled["rental_id"] == w.stg_rides.count() > filled["end_station_id"]
+    before = rows(catalog.column_listing(spark, "checked.fact_rides"))
+    assert {r[0]: r[1] for r in before} == {c: t for c, t in w.fact_rides.dtypes}
+    sinks.remove(spark, folder)  # the listing reads no file
+    assert rows(catalog.column_listing(spark, "checked.fact_rides")) == before
+    assert "Scan" not in catalog.column_listing(spark, "checked.fact_rides")._jdf.queryExecution().optimizedPlan().toString()
+    for name in names:
+        spark.sql(f"DROP TABLE {name}")
