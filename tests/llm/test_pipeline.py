@@ -1,11 +1,35 @@
 import pytest
 
 import corpus_pipeline
-from dockflow.llm import contamination, simhash
+from dockflow.llm import contamination
 from dockflow.llm.common import stored
 from tests.conftest import MEDIUM, SMALL
 from tests.llm.frames import documents, empty
-from tests.llm.test_simhash import plain_components, plain_fingerprint
+
+
+def least_of_similar(rows):
+    """The smallest doc_id of every group of documents that links of similarity 0.8 or more connect."""
+    sets = [set(zip(*((t or "").lower().split()[i:] for i in range(5)))) or {(t or "").lower()} for _, t in rows]
+    holders, group = {}, list(range(len(rows)))
+
+    def root(i):
+        while group[i] != i:
+            i = group[i]
+        return i
+
+    for i, grams in enumerate(sets):
+        shared = {}
+        for g in grams:
+            for j in holders.setdefault(g, []):
+                shared[j] = shared.get(j, 0) + 1
+            holders[g].append(i)
+        for j, both in shared.items():
+            if both >= 0.8 * (len(grams) + len(sets[j]) - both):
+                group[root(i)] = root(j)
+    least = {}
+    for i, (doc_id, _) in enumerate(rows):
+        least[root(i)] = min(doc_id, least.get(root(i), doc_id))
+    return least
 
 
 def test_stage_by_stage(spark):
@@ -19,10 +43,10 @@ def test_stage_by_stage(spark):
         before = after
     assert len(set(kept["quality"])) == len(kept["quality"]) < docs.count()
     assert len({d for d, _ in kept["quality"]} & bad) <= 0.1 * len(bad)
-    prints = [plain_fingerprint(t) for _, t in kept["quality"]]
-    groups = plain_components(prints, 2)
-    least = {g: min(d for (d, _), h in zip(kept["quality"], groups, strict=True) if h == g) for g in set(groups)}
-    assert sorted(d for d, _ in kept["near_dedup"]) == sorted(least.values())
+    least = least_of_similar(kept["quality"])
+    alone, left = set(least.values()), {d for d, _ in kept["near_dedup"]}
+    assert left >= alone  # no document goes that is not similar to one that stays
+    assert len(left) - len(alone) <= 0.1 * (len(kept["quality"]) - len(alone))
     runs = {}
     for r in spark.read.parquet(f"{MEDIUM}/benchmark.parquet").collect():
         words = contamination.words_of(r["text"])
