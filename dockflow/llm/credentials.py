@@ -13,10 +13,10 @@ from dockflow.llm.common import stored
 ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 
 # A key block ends with its END line, or else where its base64 lines end. A run of five dashes ends the first form.
-PEM_LINE = r"-----(?:BEGIN|END) [A-Z ]{0,20}PRIVATE KEY-----"
+PEM_LINE = r"-----(?:BEGIN|END) [A-Z ]*PRIVATE KEY-----"
 PEM = (
-    r"-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----(?:[^-]*+(?:-{1,4}[^-]++){0,64}+-----END [A-Z ]{0,20}PRIVATE KEY-----"
-    r"|(?:\s*+[A-Za-z0-9+/=]{16,}+){0,1000}+(?:\s*+[A-Za-z0-9+/]{1,15}={1,2})?+)"
+    r"-----BEGIN [A-Z ]*PRIVATE KEY-----(?:[^-]*+(?:-{1,4}[^-]++)*+-----END [A-Z ]*PRIVATE KEY-----"
+    r"|(?:\s*+[A-Za-z0-9+/=]{16,}+)*+(?:\s*+[A-Za-z0-9+/]{1,15}={1,2})?+)"
 )
 PEM_NOISE = r"\\[nrt]|[^A-Za-z0-9+/=]"  # what may stand between the characters of a key: line ends, also escaped, and quotes
 
@@ -31,7 +31,7 @@ KINDS = (
     ("google", r"AIza[0-9A-Za-z_-]{35}", 0, 39, "AIza"),
     ("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", 0, 30, "eyJ"),
     ("pem", PEM, 0, 27, "PRIVATE KEY"),
-    ("url", r"[a-z][a-z0-9+]{1,15}://[A-Za-z0-9._~-]++:[A-Za-z0-9._~!-]{3,}+@[A-Za-z0-9.-]+", 0, 12, "://"),
+    ("url", r"(?:\G|(?<![a-z0-9+]))[a-z0-9+]{2,}+://[A-Za-z0-9._~-]++:[A-Za-z0-9._~!-]{3,}+@[A-Za-z0-9.-]+", 0, 12, "://"),
 )
 BASE_KINDS = 3
 
@@ -48,12 +48,12 @@ def _places(matches: str, pieces: str, order: int) -> Column:
     if kind == "pem":  # the key itself without white space; a header without a key stands for itself
         body = f"regexp_replace(regexp_replace(x.m, {_sql(PEM_LINE)}, ''), {_sql(PEM_NOISE)}, '')"
         value = f"CASE WHEN length({body}) >= {least} THEN {body} ELSE regexp_extract(x.m, {_sql(PEM_LINE)}, 0) END"
-    fold = f"""aggregate(zip_with(slice({pieces}, 1, size({matches})), {matches}, (p, m) -> struct(p AS p, m AS m)),
-        struct(0L AS at, {none} AS out),
-        (acc, x) -> struct(acc.at + length(x.p) + length(x.m) AS at, array_append(acc.out, struct(
-            acc.at + length(x.p) AS start, {order} AS ord, acc.at + length(x.p) + length(x.m) AS end,
-            {value} AS value)) AS out),
-        acc -> acc.out)"""
+    steps = f"zip_with(slice({pieces}, 1, size({matches})), {matches}, (p, m) -> CAST(length(p) + length(m) AS BIGINT))"
+    # Prefix sums by doubling: every round adds what stands 2^r places before, so n matches cost n log n steps.
+    ends = f"""aggregate(sequence(0, CAST(ceil(log2(size({matches}))) AS INT)), {steps},
+        (sums, r) -> transform(sums, (x, i) -> x + IF(i >= shiftleft(1, r), get(sums, i - shiftleft(1, r)), 0L)))"""
+    placed = f"""zip_with({matches}, {ends}, (m, e) -> struct(m AS m, e AS e))"""
+    fold = f"""transform({placed}, x -> struct(x.e - length(x.m) AS start, {order} AS ord, x.e AS end, {value} AS value))"""
     found = f"filter({fold}, s -> length(s.value) >= {least})"
     return F.expr(f"CASE WHEN size({matches}) > 0 THEN {found} ELSE {none} END")
 
@@ -132,8 +132,8 @@ def secret_scan(
     """One row per document: base counts and digest, all spans, and how many of them look live or copied around.
 
     A repository is a value of ``repository`` within an owner; null is an owner or repository of its own. A null or empty
-    text has no spans: zero counts, the digest of the empty string, empty lists. Repeated rows keep a row each and count
-    as one owner. A null doc_id stays null, an empty table gives no rows, other columns are not read.
+    text has no spans: zero counts, the digest of the empty string, empty lists. A very long text is one row of one task:
+    n matches in it cost n log n steps. Repeated rows keep a row each and count as one owner. A null doc_id stays null, an empty table gives no rows, other columns are not read.
     """
     found = stored(candidates(docs, owner, repository), "candidates")
     counts = ownership(found)

@@ -10,6 +10,8 @@ trained. All that passes the driver are the counts by kind and pattern of votes,
 
 import hashlib
 import re
+import string
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,8 +27,8 @@ from dockflow.llm.common import stored
 KINDS = ("email", "ip", "card", "phone", "name", "ssn", "iban", "address", "birth", "local")
 BASE_KINDS = 4
 DOMAIN = re.compile(r"@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
-LOCAL = re.compile(r"[A-Za-z0-9._%+-]+\Z")
-IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+LOCAL = string.ascii_letters + string.digits + "._%+-"  # what may stand before the @
+IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")  # a match inside a run of digits is one from its first digit
 CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
@@ -75,11 +77,9 @@ def _base(text: str) -> dict[str, list[tuple[int, int]]]:
     emails, end = [], 0
     if "@" in text:
         for m in DOMAIN.finditer(text):
-            local = LOCAL.search(text, max(end, m.start() - 4096), m.start()) if m.start() > end else None
-            if local and local.start() > end and local.start() == m.start() - 4096:  # a run longer than the window
-                local = LOCAL.search(text, end, m.start())
-            if local:
-                emails.append((local.start(), end := m.end()))
+            start = _local_start(text, end, m.start())
+            if start < m.start():
+                emails.append((start, end := m.end()))
     ips = [m.span() for m in IP.finditer(text) if all(_small(p) for p in m[0].split("."))]
     cards = []
     for m in CARD.finditer(text):
@@ -93,22 +93,51 @@ def _base(text: str) -> dict[str, list[tuple[int, int]]]:
     return {"email": emails, "ip": ips, "card": cards, "phone": phones}
 
 
+def _local_start(text: str, least: int, at: int) -> int:
+    """Where the run of mail characters before ``at`` begins, not before ``least``: one step a character of the run."""
+    start, width = at, 64
+    while start > least:
+        piece = text[max(least, start - width) : start]
+        left = len(piece.rstrip(LOCAL))
+        start -= len(piece) - left
+        if left:
+            break
+        width *= 2
+    return start
+
+
 def _small(part: str) -> bool:
     return len(part.lstrip("0")) <= 3 and int(part[-3:]) <= 255
 
 
 def _more(text: str, taken: list[tuple[int, int]]) -> Iterator[tuple[str, int, int]]:
     """Further candidates that touch no base span; of two that overlap the first kind has its way."""
-    taken = list(taken)
+    starts, ends = _merged(taken)
     digits = any(d in text for d in "0123456789")
     for kind, needs, pattern in MORE:
         if (needs and not any(n in text for n in needs)) or (kind in FROM_DIGITS and not digits):
             continue
+        own = []
         for m in pattern.finditer(text):
             start, end = m.span(m.lastindex or 0)
-            if not any(a < end and start < b for a, b in taken):
-                taken.append((start, end))
+            before = bisect_left(starts, end) - 1  # the last taken span that begins before this one ends
+            if before < 0 or ends[before] <= start:
+                own.append((start, end))
                 yield kind, start, end
+        if own:
+            starts, ends = _merged([*zip(starts, ends, strict=True), *own])
+
+
+def _merged(spans: list[tuple[int, int]]) -> tuple[list[int], list[int]]:
+    """Starts and ends of the stretches that the spans cover, in order."""
+    starts, ends = [], []
+    for start, end in sorted(spans):
+        if ends and start <= ends[-1]:
+            ends[-1] = max(ends[-1], end)
+        else:
+            starts.append(start)
+            ends.append(end)
+    return starts, ends
 
 
 def _strict(kind: str, found: str) -> int:
@@ -288,6 +317,7 @@ def personal_data(docs: DataFrame, threshold: float = 0.5) -> DataFrame:
 
     spans lists every base span and the further candidates that the classifier gives at least ``threshold``, by kind as
     listed, then start. A null text is empty: zero counts, the digest of the empty string, no spans, a null probability.
+    A very long text is one row of one task; its search takes time in proportion to its length, its spans n log n.
     Repeated rows keep a row each, a null doc_id stays null, an empty table gives no rows, other columns are not read.
     """
     table = stored(candidates(docs), "spans")

@@ -1,7 +1,9 @@
 import hashlib
 import re
+import time
 
 import pytest
+import regex
 
 from dockflow.llm import credentials
 from tests.llm.frames import documents, empty
@@ -86,3 +88,37 @@ def test_private_keys_are_told_apart_by_their_body(spark):
         assert texts[i][int(span.split(":")[1]) : int(span.split(":")[2])] == begin + texts[i].split(begin)[1].removesuffix(" tail")
     assert f"pem:11:{11 + len(begin)}" in found[9]["spans"]
     assert "url:4:" in found[11]["spans"] and "url:4:" in found[12]["spans"]
+
+
+def test_many_matches_in_one_text(spark):
+    hashes = " ".join(hashlib.md5(str(i).encode()).hexdigest() for i in range(100_000))
+    texts = [hashes, "token=" + "a1b2c3d4 token=" * 20_000, "a" * 1_000_000 + "://", "", None]
+    schema = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+    docs = spark.createDataFrame([(i, t, "en", "x", 1) for i, t in enumerate(texts)], schema)
+    begun = time.perf_counter()
+    found = {r["doc_id"]: r for r in credentials.secret_scan(docs).collect()}
+    assert time.perf_counter() - begun < 60
+    for i, text in enumerate(texts):
+        r = found[i]
+        assert (r["n_assign"], r["n_access"], r["n_hex"], r["base_sha256"]) == plain(text)
+    assert found[0]["n_hex"] == 100_000
+
+
+def test_added_spans_agree_with_the_plain_patterns(spark):
+    """Added kinds against the same patterns, run one by one over whole texts by another engine."""
+    texts = [t for t in EXTRA] + [
+        "a+https://me:abc@h.org+ftp://you:defg@i.org 1ssh://u:pass@host Xgit://u:pass@host x://u:pass@host " + "s" * 40 + "://user:word@host",
+        "-----BEGIN " + "VERY " * 30 + "PRIVATE KEY-----\n" + "-a-b" * 200 + "\n-----END PRIVATE KEY-----",
+        "-----BEGIN PRIVATE KEY-----\n" + "\n".join(["A" * 64] * 3_000) + "\nAB==",
+        "gho_" + "a" * 40 + "ghp_short xoxp-" + "1-" * 9 + " eyJhbGciOiJI.eyJzdWIiOiIx.abcdefgh.rest",
+    ]
+    docs = spark.createDataFrame([(i, t, "en", "x", 1) for i, t in enumerate(texts)], "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    found = {r["doc_id"]: r["spans"] for r in credentials.secret_scan(docs).collect()}
+    for i, text in enumerate(texts):
+        want = []
+        for order, (kind, pattern, _, least, _) in enumerate(credentials.KINDS):
+            if order >= credentials.BASE_KINDS:
+                want += [(*m.span(), order, kind) for m in regex.finditer(pattern, text, regex.ASCII) if len(m[0]) >= least]
+        want = [f"{kind}:{s}:{e}" for s, e, _, kind in sorted(want, key=lambda w: (w[0], w[2]))]
+        got = [s for s in found[i].split(",") if s and s.split(":")[0] not in ("assign", "access", "hex")]
+        assert got == want, i

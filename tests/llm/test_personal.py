@@ -1,5 +1,7 @@
 import hashlib
+import random
 import re
+import time
 
 import numpy as np
 import pytest
@@ -88,3 +90,34 @@ def test_reliabilities_are_found():
 
 def test_empty_table(spark):
     assert personal.personal_data(empty(spark)).count() == 0
+
+
+def test_many_matches_and_long_runs_take_time_in_proportion():
+    mails = " ".join(f"Mr Name{'x' * (i % 5)} user{i}@mail.com" for i in range(100_000))
+    texts = [mails, "a" * 1_000_000 + " " + "a" * 500_000 + "@x.com", "1" * 1_000_000, "1." * 300_000, "@a.b" * 100_000]
+    begun = time.perf_counter()
+    found = [personal._base(t) for t in texts]
+    more = list(personal._more(mails, found[0]["email"]))
+    assert time.perf_counter() - begun < 20
+    assert len(found[0]["email"]) == 100_000 and len(more) == 100_000
+    assert found[1]["email"] == [(1_000_001, 1_500_007)]
+    assert len(found[4]["email"]) == 50_000
+
+
+def test_base_and_added_spans_agree_with_plain_search():
+    """Random texts of awkward characters: base spans by their patterns, added ones by a search through all taken spans."""
+    rng = random.Random(5)
+    parts = ["a", "b.c", "@", ".", "1", "22", "+", "-", " ", "(", ")", "Mr Ann", "Name: Bob Lee", "123-45-6789", "(555) 123-4567", "DE89 3704 0044 0532", "born 1990-02-03", "12 Oak Street", "%", "é", "255.1.1.1", "4111111111111111"]
+    for _ in range(3_000):
+        text = "".join(rng.choices(parts, k=rng.randrange(25)))
+        base = personal._base(text)
+        spans = [(k, *m.span()) for k, p, ok in BASE for m in re.finditer(p, text) if ok(m[0])]
+        assert [(k, s, e) for k in base for s, e in base[k]] == spans
+        taken, want = [s[1:] for s in spans], []
+        for kind, needs, pattern in personal.MORE:
+            for m in pattern.finditer(text) if not needs or any(n in text for n in needs) else ():
+                s, e = m.span(m.lastindex or 0)
+                if not any(a < e and s < b for a, b in taken):
+                    taken.append((s, e))
+                    want.append((kind, s, e))
+        assert list(personal._more(text, [s[1:] for s in spans])) == want
