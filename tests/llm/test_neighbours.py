@@ -82,3 +82,26 @@ def test_lists_are_balanced():
     centroids = neighbours.fit(sample, 40)
     sizes = np.bincount(centroids.search(sample, 1)[0][:, 0], minlength=40)
     assert sizes.max() <= 4 * sizes.mean()
+
+
+def test_more_ties_than_neighbours(spark):
+    """Different vectors of one direction tie with each other, and the smallest ids of them are returned."""
+    rows = [(1000 - i, [float(2**(i % 20)) * (1 + i // 20), 0.0], 0) for i in range(60)] + [(5000, [1.0, 0.0], 0), (5001, [0.0, 1.0], 0)]
+    found = search(spark, rows, step=1000)
+    assert found[1000] == [(-1.0, 941 + i) for i in range(5)]
+
+
+def test_border_vectors_only_are_posted_twice():
+    points = np.array([[1, 0], [0.96, 0.28], [0, 1], [-1, 0]], dtype=np.float32)
+    centroids = neighbours.graph_of(points, np.random.default_rng(1))
+    x = neighbours.unit(np.array([[1, 0.01], [0.7, 0.72], [0.98, 0.14]]))
+    ids, take = neighbours.post_lists(x, centroids, 1.6, 6)
+    posts = [set(ids[i][take[i]].tolist()) for i in range(3)]
+    assert posts == [{0}, {1, 2}, {0, 1}]
+
+
+def test_repeats_go_before_the_window(spark):
+    frame = spark.createDataFrame([(i % 3, [1.0, 0.0], 0) for i in range(300)], SCHEMA).select("vec_id", "embedding")
+    found = neighbours.distinct_vectors(frame, 5)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan and [tuple(r["ids"]) for r in found.collect()] == [(0, 1, 2)]
