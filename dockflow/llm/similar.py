@@ -6,6 +6,9 @@ choices of 14 bits; texts at 0.8 share one of 24 cells with probability 0.92, at
 are compared by exclusive-or and bit counts, strips whose population counts differ beyond the radius being skipped. The
 distance is the angle between the sets and, with their sizes, an estimate of the index. A pair whose estimate is near the
 threshold is decided by the shingles themselves: short texts carry them along, longer ones are read again.
+
+The tiles find most links and leave groups that are mostly whole, but they miss some links. So an exact join by prefixes
+of the sets (``prefixes.py``) goes over all texts of different groups then, and no link at the threshold is left out.
 """
 
 from collections.abc import Iterator
@@ -19,6 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from dockflow.llm import prefixes
 from dockflow.llm.common import connected_components, stored, unused
 
 WORDS, LEAST = 5, 0.8
@@ -74,23 +78,26 @@ def cells_of(prints: np.ndarray) -> np.ndarray:
     return cells
 
 
-KIND = "doc_id bigint, digest bigint, node bigint, n bigint, wide binary, few binary"
+KIND = "doc_id bigint, digest bigint, node bigint, n bigint, wide binary, few binary, head binary, odd binary"
+NONE = np.empty(0, "<u8"), np.empty(0, np.int64)
 
 
-def sketches(docs: DataFrame) -> DataFrame:
-    """One row per document: digest of its text, its node (a hash of what it is compared by), and that."""
+def sketches(docs: DataFrame, often: tuple[np.ndarray, np.ndarray] = NONE, least: float = LEAST) -> DataFrame:
+    """One row per document: digest of its text, its node (a hash of its set of shingles), and what it is compared by."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            nodes, sizes, wide, few = [], [], [], []
+            nodes, sizes, wide, few, heads, odd = [], [], [], [], [], []
             for text in batch.column("text").cast(pa.binary()).to_pylist():
                 hashes = shingles(text)
                 prints = wide_fingerprint(hashes)
                 short = len(hashes) <= SHORT
-                nodes.append(xxhash.xxh64_intdigest(hashes.tobytes() if short else prints.tobytes(), len(hashes)))
+                nodes.append(xxhash.xxh64_intdigest(hashes.tobytes(), len(hashes)))
                 sizes.append(len(hashes))
                 wide.append(prints.tobytes())
                 few.append(hashes.tobytes() if short else None)
+                heads.append(prefixes.prefix(hashes, *often, least).tobytes())
+                odd.append(prefixes.parities(hashes).tobytes())
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),
@@ -99,6 +106,8 @@ def sketches(docs: DataFrame) -> DataFrame:
                     pa.array(sizes, pa.int64()),
                     pa.array(wide, pa.binary()),
                     pa.array(few, pa.binary()),
+                    pa.array(heads, pa.binary()),
+                    pa.array(odd, pa.binary()),
                 ],
                 [c.split()[0] for c in KIND.split(", ")],
             )
@@ -333,13 +342,37 @@ def similar_links(nodes: DataFrame, texts: DataFrame, least: float = LEAST, tile
     found = units.mapInArrow(_tiles(least), "a bigint, b bigint, sure boolean")
     alike = stored(found.groupBy("a", "b").agg(F.max("sure").alias("sure")), "similar")
 
-    unsure = alike.where("NOT sure").select("a", "b")
-    wanted = unsure.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(nodes, "node").select("node", "doc", "of")
+    unsure = _decided(alike.where("NOT sure").select("a", "b"), nodes, texts, least)
+    return alike.where("sure").select("a", "b").union(unsure)
+
+
+def _decided(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, least: float) -> DataFrame:
+    """The pairs (a, b) of nodes that reach the threshold by the shingles of their texts."""
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(nodes, "node").select("node", "doc", "of")
     same = F.col("doc").eqNullSafe(F.col("doc_id")) & (F.col("of") == F.col("digest"))
     read = wanted.join(texts, same).groupBy("node").agg(F.first("text").alias("text"))
     for end in ("a", "b"):
-        unsure = unsure.join(read.select(F.col("node").alias(end), F.col("text").alias(f"text_{end}")), end)
-    return alike.where("sure").select("a", "b").union(unsure.mapInArrow(_exact(least), "a bigint, b bigint"))
+        pairs = pairs.join(read.select(F.col("node").alias(end), F.col("text").alias(f"text_{end}")), end)
+    return pairs.select("a", "b", "text_a", "text_b").mapInArrow(_exact(least), "a bigint, b bigint")
+
+
+def grouped_nodes(nodes: DataFrame, texts: DataFrame, often: np.ndarray, least: float, tile_rows: int) -> DataFrame:
+    """(node, root) of the linked nodes: groups by tiles, then by the links between those groups, of which none is lost."""
+    first = stored(connected_components(similar_links(nodes, texts, least, tile_rows)), "groups")
+    roots = first.select(F.col("node").alias("linked"), F.col("root").alias("_root"))
+    placed = nodes.join(roots, F.col("node") == F.col("linked"), "left")
+    placed = stored(placed.select("node", F.coalesce("_root", "node").alias("root"), "n", "head", "odd"), "placed")
+    pairs = stored(prefixes.candidates(placed, often, least), "candidates")
+    between = stored(_decided(pairs, nodes, texts, least), "between")
+    for end in ("a", "b"):
+        named = first.select(F.col("node").alias(end), F.col("root").alias(f"root_{end}"))
+        between = between.join(named, end, "left").withColumn(f"root_{end}", F.coalesce(f"root_{end}", end))
+    last = connected_components(between.selectExpr("root_a AS a", "root_b AS b"))
+    last = stored(last.select(F.col("node").alias("group"), F.col("root").alias("joined")), "joined")
+    # A group's root is its node of least number, so the least root of joined groups is that of the whole.
+    old = first.join(last, F.col("root") == F.col("group"), "left").select("node", F.coalesce("joined", "root").alias("root"))
+    new = last.join(first, F.col("group") == F.col("node"), "left_anti")
+    return old.union(new.select(F.col("group").alias("node"), F.col("joined").alias("root")))
 
 
 def similar_documents(docs: DataFrame, least: float = LEAST, tile_rows: int = TILE_ROWS) -> DataFrame:
@@ -348,13 +381,14 @@ def similar_documents(docs: DataFrame, least: float = LEAST, tile_rows: int = TI
     A null text is empty; texts without words are one group. Equal texts share a node. Repeated rows keep a row each, a
     null doc_id takes part, an empty table gives no rows. Other columns are not read.
     """
-    prints = stored(sketches(docs), "sketches")
+    often = prefixes.frequent(docs, shingles)
+    prints = stored(sketches(docs, often, least), "sketches")
     kept = [c.split()[0] for c in KIND.split(", ")[3:]]
     one = F.min(F.struct("doc_id", "digest"))
     nodes = prints.groupBy("node").agg(one.alias("one"), *[F.first(c).alias(c) for c in kept])
     nodes = stored(nodes.select("*", F.col("one.doc_id").alias("doc"), F.col("one.digest").alias("of")).drop("one"), "nodes")
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64("text").alias("digest"), "text")
-    roots = connected_components(similar_links(nodes, texts, least, tile_rows)).withColumnRenamed("node", "linked")
+    roots = grouped_nodes(nodes, texts, often[0], least, tile_rows).withColumnRenamed("node", "linked")
     placed = prints.select("doc_id", "digest", "node").join(roots, F.col("node") == F.col("linked"), "left")
     return placed.select("doc_id", "digest", F.coalesce("root", "node").alias("root"))
 
