@@ -241,3 +241,17 @@ def test_a_question_without_its_answer_is_found(spark):
     found = {(r["doc_id"], r["item_id"]) for r in contamination.leaks(docs, benchmark).collect()}
     assert found == {(i, i) for i in range(5)} | {(5, 0)}
     assert [r["doc_id"] for r in contamination.decontaminated(docs, benchmark).collect()] == [6]
+
+
+def test_sums_of_short_groups_are_those_of_a_plain_loop():
+    rng = np.random.default_rng(11)
+    table = rng.standard_normal((50, 7)).astype(np.float32)
+    lengths = rng.integers(1, 17, 300)
+    first, index = np.cumsum(lengths) - lengths, rng.integers(0, 50, lengths.sum())
+    factor = rng.random(len(index)).astype(np.float32)
+    for given in (None, factor):
+        found = contamination._added(table, index, first, given)
+        weights = np.ones(len(index)) if given is None else given
+        plain = [(table[index[a : a + n]] * weights[a : a + n, None]).sum(axis=0) for a, n in zip(first, lengths, strict=True)]
+        assert found.dtype == np.float32 and np.allclose(found, plain, atol=1e-5)
+    assert contamination._added(table, index[:0], first[:0]).shape == (0, 7)
