@@ -6,7 +6,6 @@ lost whatever the order is. The order only decides the work: what many texts hol
 """
 
 from collections.abc import Callable, Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -19,6 +18,7 @@ SAMPLE = 1 << 14  # texts whose shingles are counted
 OFTEN, MOST = 3, 1 << 17  # a shingle of so many of them is frequent; so many of the most frequent ones are ordered
 PIECE = 1 << 15  # a posting list of more rows of different groups is cut, and every two pieces of it are compared
 PAIRS = 1 << 20  # pairs that are looked at once
+GATHERED = 1 << 10  # a list of more rows that meet is a block of its own
 SLACK = 1e-6  # of sums of whole numbers and rounded products; what it lets through is decided by the sets
 FEWEST = 64  # bits of a bitmap
 
@@ -65,11 +65,30 @@ def parities(hashes: np.ndarray) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8), bitorder="little")
 
 
+def least_differences(odd: list[bytes], a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """For pairs of bitmaps (by number): no fewer shingles are in one set only than bits differ.
+
+    The wider bitmap is folded to the other's width; pairs of the same widths are compared together.
+    """
+    words = np.array([len(x) // 8 for x in odd], dtype=np.int64)
+    start = np.cumsum(words) - words
+    flat = np.frombuffer(b"".join(odd), "<u8")
+    short, wide = np.where(words[a] <= words[b], a, b), np.where(words[a] <= words[b], b, a)
+    out = np.zeros(len(a), dtype=np.int64)
+    for few, many in np.unique(np.stack([words[short], words[wide]], axis=1), axis=0).tolist():
+        same = np.flatnonzero((words[short] == few) & (words[wide] == many))
+        step = max(1, PAIRS // many)
+        for part in (same[at : at + step] for at in range(0, len(same), step)):
+            narrow = flat[start[short[part], None] + np.arange(few)]
+            folded = flat[start[wide[part], None] + np.arange(many)].reshape(len(part), -1, few)
+            differ = np.bitwise_xor.reduce(folded, axis=1) ^ narrow
+            out[part] = np.bitwise_count(differ).sum(axis=1, dtype=np.int64)
+    return out
+
+
 def least_difference(a: bytes, b: bytes) -> int:
-    """No fewer shingles are in one set only than bits differ; the wider bitmap is folded to the other's width."""
-    a, b = (np.frombuffer(x, "<u8") for x in (a, b))
-    short, wide = (a, b) if len(a) <= len(b) else (b, a)
-    return int(np.bitwise_count(np.bitwise_xor.reduce(wide.reshape(-1, len(short)), axis=0) ^ short).sum())
+    """``least_differences`` of one pair."""
+    return int(least_differences([a, b], np.array([0]), np.array([1]))[0])
 
 
 POST = "shingle bigint, node bigint, root bigint, place bigint"
@@ -143,54 +162,83 @@ def _pairs(unit: np.ndarray, root: np.ndarray) -> Iterator[tuple[np.ndarray, np.
         done = until
 
 
-def _candidates(least: float):
-    def found(unit: np.ndarray, node: np.ndarray, root: np.ndarray, place: np.ndarray) -> Iterator[pa.RecordBatch]:
-        n, position, side = place >> 32, (place & 0xFFFFFFFF) >> 2, place & 3
-        rest = n - position  # the shingles from this one on
-        for i, j in _pairs(unit, root):
-            common = np.minimum(rest[i], rest[j])
-            near = common * (1 + least) >= least * (n[i] + n[j]) - SLACK
-            near &= np.minimum(n[i], n[j]) >= least * np.maximum(n[i], n[j]) - SLACK
-            near &= (side[i] != side[j]) | (side[i] == 0)
-            a, b = node[i[near]], node[j[near]]
-            pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)]), axis=1) if len(a) else np.stack([a, b])
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in pairs], ["a", "b"])
+def _near(unit: np.ndarray, root: np.ndarray, place: np.ndarray, least: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The pairs of one unit and different roots whose sizes and positions leave room for the threshold."""
+    n, position, side = place >> 32, (place & 0xFFFFFFFF) >> 2, place & 3
+    rest = n - position  # the shingles from this one on
+    for i, j in _pairs(unit, root):
+        common = np.minimum(rest[i], rest[j])
+        near = common * (1 + least) >= least * (n[i] + n[j]) - SLACK
+        near &= np.minimum(n[i], n[j]) >= least * np.maximum(n[i], n[j]) - SLACK
+        near &= (side[i] != side[j]) | (side[i] == 0)
+        yield i[near], j[near]
+
+
+def _whole(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
+    """Tables of whole runs of one key: the last run of a batch may go on in the next one."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        keys = batch.column(key).to_numpy()
+        change = np.flatnonzero(keys[1:] != keys[:-1])
+        cut = int(change[-1]) + 1 if len(change) else 0
+        if cut:
+            held.append(batch.slice(0, cut))
+        if held and (cut or held[-1].column(key)[-1].as_py() != keys[0]):
+            yield pa.Table.from_batches(held)
+            held = []
+        held.append(batch.slice(cut))
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+MET = "block bigint, unit bigint, node bigint, place bigint"
+
+
+def _met(least: float):
+    """The rows of every unit that have a near one of another root there, with the block that they are compared in."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[list[np.ndarray]] = []
-        for batch in chain(batches, [None]):
-            if batch is None:
-                ready, held = held, []
-            else:
-                columns = [batch.column(c).to_numpy() for c in ("unit", "node", "root", "place")]
-                if not len(columns[0]):
-                    continue
-                # The last unit of a batch may go on in the next one.
-                cut = int(np.searchsorted(columns[0], columns[0][-1]))
-                ready, last = [*held, [c[:cut] for c in columns]], [c[cut:] for c in columns]
-                if not cut and held and held[-1][0][-1] == columns[0][-1]:
-                    held.append(last)
-                    continue
-                same = held and not cut  # a new unit that fills this batch: the one before is done
-                ready, held = (held if same else ready), [last]
-            if ready:
-                yield from found(*(np.concatenate(x) for x in zip(*ready, strict=True)))
+        for table in _whole(batches, "unit"):
+            unit, node, root, place = (table.column(c).to_numpy() for c in ("unit", "node", "root", "place"))
+            met = np.zeros(len(unit), bool)
+            for i, j in _near(unit, root, place, least):
+                met[i] = met[j] = True
+            unit, node, place = unit[met], node[met], place[met]
+            if not len(unit):
+                continue
+            begin = np.flatnonzero(np.append(True, unit[1:] != unit[:-1]))
+            count = np.diff(np.append(begin, len(unit)))
+            block = np.where(count <= GATHERED, np.minimum.reduceat(node, begin), unit[begin])
+            columns = np.repeat(block, count), unit, node, place
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], [c.split()[0] for c in MET.split(", ")])
 
     return run
 
 
 def _possible(least: float):
-    """The pairs whose bitmaps leave room for the threshold."""
+    """Pairs of a block's units that are near and whose bitmaps leave room for the threshold."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            values = (batch.column(c).to_pylist() for c in ("n_a", "n_b", "odd_a", "odd_b"))
-            # both >= least * (a + b - both) with both = (a + b - difference) / 2
-            keep = [
-                (m + n - least_difference(x, y)) * (1 + least) >= 2 * least * (m + n) - SLACK
-                for m, n, x, y in zip(*values, strict=True)
-            ]
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+        for table in _whole(batches, "block"):
+            block, node, root, n = (table.column(c).to_numpy() for c in ("block", "node", "root", "n"))
+            odd, posts = table.column("odd").to_pylist(), table.column("posts").combine_chunks()
+            row = np.repeat(np.arange(len(node)), posts.value_lengths().to_numpy())
+            unit, place = (posts.flatten().field(c).to_numpy() for c in ("unit", "place"))
+            order = np.lexsort([root[row], unit, block[row]])
+            row, unit, place = row[order], unit[order], place[order]
+            run_of = np.cumsum(np.append(True, (unit[1:] != unit[:-1]) | (block[row[1:]] != block[row[:-1]])))
+            for i, j in _near(run_of, root[row], place, least):
+                if not len(i):
+                    continue
+                pairs = np.unique(np.minimum(row[i], row[j]) * len(node) + np.maximum(row[i], row[j]))
+                a, b = pairs // len(node), pairs % len(node)
+                # both >= least * (a + b - both) with both = (a + b - difference) / 2
+                both = n[a] + n[b]
+                keep = (both - least_differences(odd, a, b)) * (1 + least) >= 2 * least * both - SLACK
+                a, b = node[a[keep]], node[b[keep]]
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
 
     return run
 
@@ -199,10 +247,13 @@ def candidates(nodes: DataFrame, keys: np.ndarray, least: float, piece: int = PI
     """Pairs (a, b) of nodes of different roots, all that reach the threshold among them.
 
     ``nodes`` has node, root, n, head (``prefix``) and odd (``parities``); no two nodes hold the same set.
+    Rows of posting lists, not pairs, are moved: near copies below the threshold share many shingles, and are as many pairs
+    under each as the square of their number. Lists of one least node make a block, to which each node brings its bitmap
+    once, and only pairs that the bitmaps leave come out.
     """
     rows = units(nodes, keys, piece).repartition("unit").sortWithinPartitions("unit", "root")
-    pairs = rows.mapInArrow(_candidates(least), "a bigint, b bigint").distinct()
-    for end in ("a", "b"):
-        named = nodes.select(F.col("node").alias(end), F.col("n").alias(f"n_{end}"), F.col("odd").alias(f"odd_{end}"))
-        pairs = pairs.join(named, end)
-    return pairs.select("a", "b", "n_a", "n_b", "odd_a", "odd_b").mapInArrow(_possible(least), "a bigint, b bigint")
+    met = rows.mapInArrow(_met(least), MET).repartition("node")
+    posts = met.groupBy("node", "block").agg(F.collect_list(F.struct("unit", "place")).alias("posts"))
+    blocks = posts.join(nodes.select("node", "root", "n", "odd"), "node")
+    blocks = blocks.repartition("block").sortWithinPartitions("block")
+    return blocks.mapInArrow(_possible(least), "a bigint, b bigint").distinct()

@@ -100,3 +100,86 @@ def test_pairs_of_a_list_come_once_and_in_parts(monkeypatch):
     assert max(map(len, parts)) <= 7
     wanted = [(i, j) for i in range(60) for j in range(i + 1, 60) if unit[i] == unit[j] and root[i] != root[j]]
     assert sorted(p for part in parts for p in part) == wanted
+
+
+def rows_from_python(plan):
+    """Rows that the Python operators of an executed plan have given back."""
+    name, made = plan.nodeName(), plan.metrics().get("pythonNumRowsReceived")
+    rows = [made.get().value()] if made.isDefined() and name == "MapInArrow" else []
+    if name == "AdaptiveSparkPlan":
+        below = [plan.executedPlan()]
+    elif name.endswith("QueryStage"):
+        below = [plan.plan()]
+    else:
+        below = [plan.children().apply(k) for k in range(plan.children().size())]
+    return rows + [r for b in below for r in rows_from_python(b)]
+
+
+def test_near_copies_below_the_threshold_give_no_rows_for_every_pair(spark):
+    rng = random.Random(3)
+    base = [f"w{i}" for i in range(200)]
+    texts = []
+    for i in range(320):
+        words = list(base)
+        for k, at in enumerate(rng.sample(range(200), 3)):
+            words[at] = f"own{i}of{k}"
+        texts.append(" ".join(words))
+
+    def measured(count):
+        docs = spark.createDataFrame(list(enumerate(texts[:count])), "doc_id bigint, text string").repartition(4)
+        often = prefixes.frequent(docs, similar.shingles)
+        prints = similar.sketches(docs, often).withColumn("root", similar.F.col("node"))
+        doc = {r["node"]: r["doc_id"] for r in prints.select("node", "doc_id").collect()}
+        pairs = prefixes.candidates(prints, often[0], 0.8)
+        found = {tuple(sorted((doc[r["a"]], doc[r["b"]]))) for r in pairs.collect()}
+        return found, max(rows_from_python(pairs._jdf.queryExecution().executedPlan()))
+
+    (_, few), (found, many) = measured(80), measured(320)
+    assert 0 < many < 8 * few  # four times the texts are sixteen times the pairs
+    sets = [similar.shingles(t.encode()) for t in texts]
+    links = set()
+    for j, b in enumerate(sets):
+        for i, a in enumerate(sets[:j]):
+            both = len(np.intersect1d(a, b, assume_unique=True))
+            if both >= 0.8 * (len(a) + len(b) - both):
+                links.add((i, j))
+    assert links and links <= found and len(found) < 320 * 319 / 4
+
+
+def test_runs_of_a_key_stay_whole_and_batches_do_not_matter(spark):
+    rng = np.random.default_rng(9)
+    keys = np.sort(rng.integers(0, 12, 200))
+    table = prefixes.pa.table({"key": keys, "row": np.arange(200)})
+    for size in (1, 2, 7, 50, 300):
+        parts = [t.column("key").to_numpy() for t in prefixes._whole(iter(table.to_batches(max_chunksize=size)), "key")]
+        assert np.array_equal(np.concatenate(parts), keys)
+        assert all(a[-1] != b[0] for a, b in zip(parts, parts[1:], strict=False))
+    assert list(prefixes._whole(iter([]), "key")) == []
+
+    rows = [(i, " ".join(words)) for i, words in enumerate(texts_of_few_words(random.Random(11), 30))]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    often = prefixes.frequent(docs, similar.shingles)
+    prints = similar.sketches(docs, often).dropDuplicates(["node"]).withColumn("root", similar.F.col("node"))
+    option, found = "spark.sql.execution.arrow.maxRecordsPerBatch", []
+    before = spark.conf.get(option)
+    try:
+        for size in (before, "3"):
+            spark.conf.set(option, size)
+            found.append({tuple(r) for r in prefixes.candidates(prints, often[0], 0.8, 4).collect()})
+    finally:
+        spark.conf.set(option, before)
+    assert found[0] and found[0] == found[1]
+
+
+def test_bitmaps_of_all_widths_are_compared_as_one_by_one():
+    rng = np.random.default_rng(4)
+    odd = [prefixes.parities(rng.integers(0, 1 << 62, n).astype("<u8")).tobytes() for n in rng.integers(0, 400, 60)]
+    a, b = rng.integers(0, 60, 500), rng.integers(0, 60, 500)
+    wanted = []
+    for x, y in ((np.frombuffer(odd[i], "<u8"), np.frombuffer(odd[j], "<u8")) for i, j in zip(a, b, strict=True)):
+        x, y = (x, y) if len(x) <= len(y) else (y, x)
+        folded = [0] * len(x)
+        for k, word in enumerate(y.tolist()):
+            folded[k % len(x)] ^= word
+        wanted.append(sum((p ^ q).bit_count() for p, q in zip(folded, x.tolist(), strict=True)))
+    assert prefixes.least_differences(odd, a, b).tolist() == wanted
