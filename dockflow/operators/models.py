@@ -1,5 +1,7 @@
 """Demand models on Spark ML: ridge baseline, random forest, gradient boosting."""
 
+import json
+import time
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
@@ -8,12 +10,13 @@ from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.regression import LinearRegression
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dockflow import constants as K
 from dockflow.operators import boosting
 from dockflow.operators.binned import BinnedForestRegressor, BinnedGBTRegressor
+from dockflow.sources import sinks
 
 LINEAR, FOREST, BOOSTED = "Linear Regression", "Random Forest", "Gradient Boosting"
 SECOND_ORDER = "Second-Order Boosting"
@@ -169,7 +172,22 @@ def second_order(features: DataFrame, settings: boosting.BoostSettings | None =
 
 
 def save_model(model: PipelineModel, path: str) -> str:
-    model.write().overwrite().save(path)
+    """Save a fitted pipeline. Trees that lie in files are copied from there: as objects they can exceed the driver's memory."""
+    *first, last = model.stages
+    stored = getattr(last, "stored", None)
+    if stored is None:
+        model.write().overwrite().save(path)
+        return path
+    spark = SparkSession.active()
+    sinks.remove(spark, path)
+    uids = [stage.uid for stage in model.stages]
+    folders = [f"{path}/stages/{i:0{len(str(len(uids)))}d}_{uid}" for i, uid in enumerate(uids)]
+    for stage, folder in zip(first, folders):
+        stage.write().save(folder)
+    sinks.copy(spark, stored, folders[-1])
+    about = {"class": "org.apache.spark.ml.PipelineModel", "timestamp": int(time.time() * 1000), "sparkVersion": spark.version}
+    text = json.dumps({**about, "uid": model.uid, "paramMap": {"stageUids": uids}, "defaultParamMap": {}})
+    spark.createDataFrame([(text,)], "value string").coalesce(1).write.text(f"{path}/metadata")
     return path
 
 

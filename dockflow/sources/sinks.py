@@ -25,6 +25,13 @@ def remove(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def copy(spark: SparkSession, path: str, target: str) -> None:
+    """Copy a file or folder, which stays."""
+    hadoop, conf = spark._jvm.org.apache.hadoop.fs, spark._jsc.hadoopConfiguration()
+    source, fresh = hadoop.Path(path), hadoop.Path(target)
+    hadoop.FileUtil.copy(source.getFileSystem(conf), source, fresh.getFileSystem(conf), fresh, False, conf)
+
+
 def matching(spark: SparkSession, pattern: str) -> list[str]:
     """The paths that match a pattern, in order."""
     path = spark._jvm.org.apache.hadoop.fs.Path(pattern)

@@ -105,3 +105,12 @@ def test_rows_that_are_all_alike_or_none(spark, label):
         return
     for kind, settings in ((binned.BinnedGBTRegressor, BOOST), (binned.BinnedForestRegressor, FOREST)):
         assert {r.prediction for r in kind(**settings).fit(points).transform(points).collect()} == {1.0}
+
+
+def test_a_forest_is_saved_from_its_files(spark, rows):
+    fitted = models.forest_pipeline(models.TrainSettings(forest_trees=4, forest_depth=5)).fit(rows)
+    path = models.save_model(fitted, models.save_model(fitted, sinks.fresh_path(spark, "model")))  # replaces itself
+    again = models.load_model(path)
+    assert [s.uid for s in again.stages] == [s.uid for s in fitted.stages]
+    assert again.stages[-1].toDebugString == fitted.stages[-1].toDebugString
+    assert again.transform(rows).select("prediction").collect() == fitted.transform(rows).select("prediction").collect()
