@@ -426,14 +426,16 @@ TRAINED: dict[tuple[str, str], tuple] = {}
 
 
 def _trained(w: Warehouse) -> tuple:
-    """All models fitted with the settings of the full run, their ranking, and the folder of the winner.
+    """Importances of all models fitted with the settings of the full run, their ranking, and the folder of the winner.
 
     Trained once per application and folder of tables; the queries below are its table, its importances and forecasts.
     """
     key = (w.spark.sparkContext.applicationId, w.folder)
     if key not in TRAINED:
         fitted, ranked, best = models.train(features.demand_features(w.banded_rides))
-        TRAINED[key] = fitted, ranked, models.save_model(fitted[best], _path(w, "demand-model"))
+        path = models.save_model(fitted[best], _path(w, "demand-model"))
+        # The driver keeps no model: the trees of a forest take a good part of its memory.
+        TRAINED[key] = models.feature_importance(fitted, w.spark), ranked, path
     return TRAINED[key]
 
 
@@ -442,7 +444,7 @@ def _train_compare(w: Warehouse) -> DataFrame:
 
 
 def _importance(w: Warehouse) -> DataFrame:
-    return models.feature_importance(_trained(w)[0], w.spark)
+    return _trained(w)[0]
 
 
 def _forecast(w: Warehouse) -> DataFrame:
