@@ -4,8 +4,10 @@ Ride features take few distinct values, so equal rides are counted first and clu
 points: the same centres and costs as on single rides, at a fraction of the rows.
 """
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+from pyspark import inheritable_thread_target
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import VectorAssembler
@@ -16,6 +18,8 @@ from dockflow import constants as K
 from dockflow.functions.numeric import percent, weighted_avg
 from dockflow.operators.explore import histogram
 
+FITS_AT_ONCE = 10
+
 
 @dataclass(frozen=True)
 class SegmentSpec:
@@ -111,29 +115,39 @@ def _kmeans(k: int, seed: int) -> KMeans:
 
 def fit_best(scaled: DataFrame, spec: SegmentSpec):
     """The lowest cost out of several starts."""
-    fits = [_kmeans(spec.k, spec.seed + i).fit(scaled) for i in range(spec.starts)]
-    return min(fits, key=lambda model: model.summary.trainingCost)
+    return fit_each(scaled, [spec])[0]
+
+
+def fit_each(scaled: DataFrame, specs: list[SegmentSpec]) -> list:
+    """The best model of every spec; starts run at the same time, since the jobs of one leave most cores idle."""
+    fit = inheritable_thread_target(scaled.sparkSession)(lambda k, seed: _kmeans(k, seed).fit(scaled))
+    with ThreadPoolExecutor(FITS_AT_ONCE) as pool:
+        started = [[pool.submit(fit, spec.k, spec.seed + i) for i in range(spec.starts)] for spec in specs]
+        return [min((f.result() for f in fits), key=lambda model: model.summary.trainingCost) for fits in started]
 
 
 def scan_k(points: DataFrame, spec: SegmentSpec, ks=range(2, 8)) -> DataFrame:
     """Cost and silhouette per number of clusters, the best silhouette marked.
 
-    The silhouette is that of all pairs of points (``operators.silhouette``); ``squared_silhouette`` is the evaluator's
-    of Spark, which takes squared distances to the clusters' means.
+    The silhouette is that of all pairs of points (``operators.silhouette``), whose distances are taken once for all ``ks``;
+    ``squared_silhouette`` is the evaluator's of Spark, which takes squared distances to the clusters' means.
     """
-    from dockflow.operators.silhouette import mean_silhouette
+    from dockflow.operators.silhouette import mean_silhouettes
 
     scaled = standardized(points, spec).persist()
-    evaluator = ClusteringEvaluator(
-        featuresCol="scaled", predictionCol="cluster", weightCol="n_rides"
-    )
-    rows = []
-    for k in ks:
-        model = fit_best(scaled, SegmentSpec(spec.features, k, spec.starts, spec.seed))
-        assigned = model.transform(scaled)
-        squared = evaluator.evaluate(assigned)
-        silhouette = mean_silhouette(assigned.drop("scaled"), spec)
-        rows.append((k, float(model.summary.trainingCost), float(silhouette), float(squared)))
+    models = fit_each(scaled, [SegmentSpec(spec.features, k, spec.starts, spec.seed) for k in ks])
+    columns = [f"cluster_{k}" for k in ks]
+    assigned = scaled
+    for column, model in zip(columns, models):
+        assigned = model.setPredictionCol(column).transform(assigned)
+    squared = [
+        ClusteringEvaluator(featuresCol="scaled", predictionCol=column, weightCol="n_rides").evaluate(assigned) for column in columns
+    ]
+    silhouettes = mean_silhouettes(assigned.drop("scaled"), spec, columns)
+    rows = [
+        (k, float(model.summary.trainingCost), float(pairs), float(means))
+        for k, model, pairs, means in zip(ks, models, silhouettes, squared)
+    ]
     scaled.unpersist()
     best = max(rows, key=lambda row: row[2])[0]
     return points.sparkSession.createDataFrame(
