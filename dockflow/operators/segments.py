@@ -4,10 +4,8 @@ Ride features take few distinct values, so equal rides are counted first and clu
 points: the same centres and costs as on single rides, at a fraction of the rows.
 """
 
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark import inheritable_thread_target
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import VectorAssembler
@@ -18,7 +16,7 @@ from dockflow import constants as K
 from dockflow.functions.numeric import percent, weighted_avg
 from dockflow.operators.explore import histogram
 
-FITS_AT_ONCE = 10
+SAME_COST = 1e-9  # by which costs of equal clusters differ at most, from the order of sums
 
 
 @dataclass(frozen=True)
@@ -115,15 +113,23 @@ def _kmeans(k: int, seed: int) -> KMeans:
 
 def fit_best(scaled: DataFrame, spec: SegmentSpec):
     """The lowest cost out of several starts."""
-    return fit_each(scaled, [spec])[0]
+    fits = [_kmeans(spec.k, spec.seed + i).fit(scaled) for i in range(spec.starts)]
+    return min(fits, key=lambda model: model.summary.trainingCost)
 
 
-def fit_each(scaled: DataFrame, specs: list[SegmentSpec]) -> list:
-    """The best model of every spec; starts run at the same time, since the jobs of one leave most cores idle."""
-    fit = inheritable_thread_target(scaled.sparkSession)(lambda k, seed: _kmeans(k, seed).fit(scaled))
-    with ThreadPoolExecutor(FITS_AT_ONCE) as pool:
-        started = [[pool.submit(fit, spec.k, spec.seed + i) for i in range(spec.starts)] for spec in specs]
-        return [min((f.result() for f in fits), key=lambda model: model.summary.trainingCost) for fits in started]
+def fit_each(scaled: DataFrame, spec: SegmentSpec, ks: list[int]) -> list:
+    """The model of lowest cost out of several starts for every number of clusters.
+
+    All starts are followed to their end in one job (``operators.starts``), then Spark fits the best of each. Of starts that
+    end alike the first counts, so clusters may be numbered otherwise than by ``fit_best``.
+    """
+    from dockflow.operators.starts import costs
+
+    seeds = [spec.seed + i for i in range(spec.starts)]
+    found = costs(scaled, _kmeans(spec.k, spec.seed), [(k, seed) for k in ks for seed in seeds])
+    least = [min(found[k, seed] for seed in seeds) for k in ks]
+    best = [next(seed for seed in seeds if found[k, seed] <= low * (1 + SAME_COST)) for k, low in zip(ks, least)]
+    return [_kmeans(k, seed).fit(scaled) for k, seed in zip(ks, best)]
 
 
 def scan_k(points: DataFrame, spec: SegmentSpec, ks=range(2, 8)) -> DataFrame:
@@ -135,7 +141,7 @@ def scan_k(points: DataFrame, spec: SegmentSpec, ks=range(2, 8)) -> DataFrame:
     from dockflow.operators.silhouette import mean_silhouettes
 
     scaled = standardized(points, spec).persist()
-    models = fit_each(scaled, [SegmentSpec(spec.features, k, spec.starts, spec.seed) for k in ks])
+    models = fit_each(scaled, spec, [*ks])
     columns = [f"cluster_{k}" for k in ks]
     assigned = scaled
     for column, model in zip(columns, models):
