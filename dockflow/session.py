@@ -1,6 +1,8 @@
 """Session settings the library relies on."""
 
+import gc
 import os
+import time
 
 from pyspark.sql import SparkSession
 
@@ -46,3 +48,11 @@ def build_session(
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel(os.environ.get("SPARK_LOG_LEVEL", "ERROR"))
     return spark
+
+
+def let_go(spark: SparkSession) -> None:
+    """Free what the driver no longer uses: Python's handles, objects, then broadcasts, which Spark drops once their handles are gone."""
+    for _ in range(2):
+        gc.collect()
+        spark._jvm.System.gc()
+        time.sleep(0.5)  # for Spark's cleaner

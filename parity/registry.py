@@ -28,6 +28,7 @@ from dockflow.operators import (
 from dockflow.plans import marts, placed, refresh
 from dockflow.plans.enrich import DAILY_COLUMNS, station_rolling
 from dockflow.plans.warehouse import Warehouse
+from dockflow.session import let_go
 from dockflow.sources import increments, readers, schemas, sinks, testdata
 from dockflow.streaming import incremental, station_days
 
@@ -434,8 +435,10 @@ def _trained(w: Warehouse) -> tuple:
     if key not in TRAINED:
         fitted, ranked, best = models.train(features.demand_features(w.banded_rides))
         path = models.save_model(fitted[best], _path(w, "demand-model"))
-        # The driver keeps no model: the trees of a forest take a good part of its memory.
         TRAINED[key] = models.feature_importance(fitted, w.spark), ranked, path
+        # The driver keeps no model: the trees of a forest take a good part of its memory, and one is loaded next.
+        del fitted
+        let_go(w.spark)
     return TRAINED[key]
 
 
